@@ -1,0 +1,31 @@
+"""Stage counts taken during the write pass instead of separate count jobs.
+
+``DataFrame.observe`` attaches named aggregate metrics to a plan; they are
+filled by whichever action runs it (here: the table write), so counting costs
+no extra scan.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+
+def observed(df: DataFrame, name: str, **extra) -> tuple[DataFrame, Observation]:
+    """Attach a row counter (``rows``) and optional extra metrics to ``df``.
+
+    ``extra`` maps metric names to boolean Columns; each is counted with
+    ``count_if``. Read ``obs.get`` after the action that consumes ``df``."""
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics += [F.count_if(cond).alias(metric) for metric, cond in extra.items()]
+    return df.observe(obs, *metrics), obs
+
+
+def observed_aggs(df: DataFrame, name: str, **aggs) -> tuple[DataFrame, Observation]:
+    """Like :func:`observed` but ``aggs`` maps metric names to aggregate Columns."""
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
+    metrics = [F.count(F.lit(1)).alias("rows")] + [a.alias(k) for k, a in aggs.items()]
+    return df.observe(obs, *metrics), obs
