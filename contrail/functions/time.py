@@ -20,7 +20,9 @@ MAX_EPOCH_S = 253402300799
 
 
 def _epoch_ntz() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    # A SQL literal: a Python datetime would be converted through the local
+    # and session time zones.
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
 
 
 def _col(c: str | Column) -> Column:
