@@ -106,7 +106,7 @@ def run_silver(
             raise FileNotFoundError("no committed bronze run; land a snapshot first")
         run, path = cur["run_ts"], cur["output_path"]
     else:
-        m = store.manifest().filter((F.col("stage") == "bronze") & (F.col("run_ts") == run)).first()
+        m = store.find("bronze", run)
         if m is None:
             raise KeyError(f"bronze run {run} is not committed")
         path = m["output_path"]

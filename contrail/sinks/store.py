@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,32 +42,45 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.manifest_path = f"{self.root}/_manifest"
+        self._cache: list[Row] | None = None
 
     # -- manifest -----------------------------------------------------------
+    # The manifest is tiny (one row per commit); its rows are kept on the
+    # driver after a read and refreshed after every commit by this writer.
+
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
     def manifest(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(S.MANIFEST_SCHEMA).parquet(self.manifest_path)
-        except AnalysisException:
+        if not self._exists(self.manifest_path):
             return self.spark.createDataFrame([], S.MANIFEST_SCHEMA)
+        return self.spark.read.schema(S.MANIFEST_SCHEMA).parquet(self.manifest_path)
 
-    def _current_row(self, stage: str) -> Row | None:
-        m = self.manifest().filter(F.col("stage") == stage)
-        return m.agg(F.max_by(F.struct(*m.columns), F.col("version")).alias("r")).select("r.*").first()
+    def _rows(self) -> list[Row]:
+        if self._cache is None:
+            self._cache = self.manifest().collect()
+        return self._cache
 
     def current(self, stage: str) -> Row | None:
-        row = self._current_row(stage)
-        return row if row is not None and row["version"] is not None else None
+        rows = [r for r in self._rows() if r["stage"] == stage and r["version"] is not None]
+        return max(rows, key=lambda r: r["version"]) if rows else None
+
+    def find(self, stage: str, run_ts: str) -> Row | None:
+        """The newest commit of ``stage`` for ``run_ts``."""
+        rows = [r for r in self._rows() if r["stage"] == stage and r["run_ts"] == run_ts]
+        return max(rows, key=lambda r: r["version"]) if rows else None
 
     def committed_batch(self, stage: str, batch_id: int) -> bool:
-        m = self.manifest().filter((F.col("stage") == stage) & (F.col("batch_id") == batch_id))
-        return m.limit(1).count() > 0
+        return any(r["stage"] == stage and r["batch_id"] == batch_id for r in self._rows())
 
     def commit(self, c: Commit) -> None:
         row = (c.run_ts, c.stage, int(c.version), c.path, int(c.record_count), c.batch_id)
         self.spark.createDataFrame([row], S.MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
             self.manifest_path
         )
+        self._cache = None
 
     # -- versions -----------------------------------------------------------
 
