@@ -133,17 +133,33 @@ SILVER_STORED_SCHEMA = T.StructType(
 )
 
 
+BLANK_PART = "__blank__"
+
+
+def country_tag(country: str) -> str:
+    return country if country != "" else BLANK_PART
+
+
 def with_country_part(df: DataFrame) -> DataFrame:
     """Partition helper: blank countries read back as null partitions, and
     numeric-looking names would be retyped, so partition by a tagged copy and
     keep ``origin_country`` as data."""
     c = F.col("origin_country")
-    return df.withColumn(S.COUNTRY_PART, F.coalesce(F.nullif(c, F.lit("")), F.lit("__blank__")))
+    return df.withColumn(S.COUNTRY_PART, F.coalesce(F.nullif(c, F.lit("")), F.lit(BLANK_PART)))
 
 
-def read_silver(store: TableStore, version: int | None = None) -> DataFrame | None:
+def read_silver(
+    store: TableStore, version: int | None = None, countries: list[str] | None = None
+) -> DataFrame | None:
+    """The committed Silver table. ``countries`` restricts it to those origin
+    countries through the partition column, so only their folders are listed
+    and read (partition pruning)."""
     df = store.read("silver", SILVER_STORED_SCHEMA, version)
-    return None if df is None else df.drop(S.COUNTRY_PART)
+    if df is None:
+        return None
+    if countries is not None:
+        df = df.filter(F.col(S.COUNTRY_PART).isin([country_tag(c) for c in countries]))
+    return df.drop(S.COUNTRY_PART)
 
 
 # ---------------------------------------------------------------------------

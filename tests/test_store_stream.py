@@ -1,5 +1,7 @@
 """Upsert semantics, versioned store, jobs end to end, incremental = batch."""
 
+import contextlib
+import io
 import json
 
 from pyspark.sql import functions as F
@@ -132,3 +134,18 @@ def test_incremental_equals_batch_fold_and_restart(spark, scratch):
     q2 = run_incremental(spark, f"{scratch}/bronze", store, f"{scratch}/ckpt")
     q2.awaitTermination()
     assert store.manifest().filter("stage = 'silver'").count() == versions
+
+
+def test_read_silver_prunes_country_partitions(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    states = [_js(f"{i:06x}", f"A{i}", NOW, country=c) for i, c in enumerate(["X", "Y", "", "X", "7"])]
+    run_bronze(spark, _envelopes(spark, {"20231114_220000": states}), f"{scratch}/bronze", store, min_rows=1)
+    run_silver(spark, store, min_rows=1)
+    df = read_silver(store, countries=["X", ""])
+    assert sorted(r.origin_country for r in df.collect()) == ["", "X", "X"]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    part = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
+    assert part and "country_part" in part[0] and "__blank__" in part[0]
+    assert sorted(r.origin_country for r in read_silver(store, countries=["7"]).collect()) == ["7"]
