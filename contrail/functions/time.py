@@ -48,7 +48,10 @@ def epoch_to_text(c: str | Column, tz: str | None = None) -> Column:
     """
     if tz == "session":
         return F.from_unixtime(_col(c))
-    return F.date_format(epoch_to_ntz(c), "yyyy-MM-dd HH:mm:ss")
+    # Casting timestamp_ntz to text is zone-free (date_format would convert
+    # through the session zone and shift wall-clock times inside DST gaps).
+    # Whole seconds only, so the text never carries a fraction.
+    return epoch_to_ntz(c).cast("string")
 
 
 def ntz_to_epoch(c: str | Column) -> Column:

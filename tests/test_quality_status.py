@@ -199,3 +199,21 @@ def test_count_gate_on_frame(spark):
     with pytest.raises(DataQualityError):
         count_gate(df, 1001)
     assert math.isfinite(1.0) and F is not None
+
+
+def test_time_helpers_zone_free_across_dst(spark):
+    from contrail.functions.time import epoch_to_text, ntz_to_epoch, run_ts_to_epoch
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = spark.range(1).select(
+                ntz_to_epoch(F.expr("TIMESTAMP_NTZ '2024-07-01 00:00:00'")).alias("summer"),
+                ntz_to_epoch(F.expr("TIMESTAMP_NTZ '1969-12-31 23:59:59'")).alias("neg"),
+                epoch_to_text(F.lit(1710037800)).alias("gap"),  # 02:30 UTC: inside the LA DST gap
+                run_ts_to_epoch(F.lit("20240331_013000")).alias("run"),  # inside the Berlin DST gap
+            ).first()
+            assert (r.summer, r.neg, r.gap, r.run) == (1719792000, -1, "2024-03-10 02:30:00", 1711848600), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
