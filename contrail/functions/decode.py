@@ -121,9 +121,10 @@ def state_json(df_cols: dict[str, Column] | None = None) -> Column:
         dtype = S.state_type(name)
         if isinstance(dtype, T.StringType):
             # to_json of a one-element array gives an escaped JSON string
-            # (or null); drop the enclosing brackets.
+            # (or null); drop the enclosing brackets by position (a regex
+            # would stop at line terminators such as U+2028 that JSON keeps raw).
             enc = F.to_json(F.array(c.cast("string")))
-            txt = F.regexp_extract(enc, r"^\[(.*)\]$", 1)
+            txt = enc.substr(F.lit(2), F.length(enc) - 2)
         else:
             txt = F.coalesce(c.cast("string"), F.lit("null"))
         parts.append(txt)

@@ -14,7 +14,8 @@ scanned once with no shuffle. Above the threshold it falls back to a
 sort-merge join (AQE handles skewed keys).
 
 With ``order_by`` the merge is a recency merge instead: for each key the greater
-row by ``order_by`` wins, ``new`` winning ties. That merge is commutative and
+row by ``order_by`` wins (then by the remaining columns; ``new`` wins only
+between identical rows). That merge is commutative and
 idempotent, so replaying a batch, or snapshots arriving out of order, gives the
 same table as processing them once in order.
 """
@@ -47,10 +48,13 @@ def upsert(
             new_keys = F.broadcast(new_keys)
         kept = existing.join(new_keys, keys, "left_anti")
         return new.unionByName(kept, allowMissingColumns=True)
+    # ``_src`` is the last column, so it only separates rows that are equal in
+    # every other column: the winner does not depend on which batch a row
+    # arrived in.
     tagged = new.withColumn("_src", F.lit(1)).unionByName(
         existing.withColumn("_src", F.lit(0)), allowMissingColumns=True
     )
-    return pick_winner(tagged, keys, list(order_by) + ["_src"]).drop("_src")
+    return pick_winner(tagged, keys, list(order_by)).drop("_src")
 
 
 def newer_only_order(df: DataFrame) -> list[str]:
