@@ -43,6 +43,7 @@ from contrail.plans import (
     inactive_flights,
     register_gold,
     silver,
+    silver_latest,
     sql_audit,
     top_countries,
     visible,
@@ -86,7 +87,7 @@ def _sv(spark: SparkSession, d: str) -> DataFrame:
 
 def _gold(spark: SparkSession, d: str) -> DataFrame:
     """Gold of a first Silver write: one row per aircraft, status at AS_OF."""
-    return gold(latest_per_aircraft(silver(_sv(spark, d), AS_OF)))
+    return gold(silver_latest(_sv(spark, d), AS_OF))
 
 
 def q_bronze_decode(spark, d):
@@ -178,12 +179,10 @@ def q_silver_upsert(spark, d):
     last_day = sv.agg(F.max("snapshot_day")).first()[0]
     prev_as_of = day_end_epoch(last_day - _dt.timedelta(days=1))
     new_as_of = day_end_epoch(last_day)
-    existing = latest_per_aircraft(
-        silver(sv.filter(F.col("snapshot_day") < F.lit(last_day)), prev_as_of, run_ts=run_stamp(prev_as_of))
-    )
-    new = latest_per_aircraft(
-        silver(sv.filter(F.col("snapshot_day") == F.lit(last_day)), new_as_of, run_ts=run_stamp(new_as_of))
+    existing = silver_latest(
+        sv.filter(F.col("snapshot_day") < F.lit(last_day)), prev_as_of, run_ts=run_stamp(prev_as_of)
     )
+    new = silver_latest(sv.filter(F.col("snapshot_day") == F.lit(last_day)), new_as_of, run_ts=run_stamp(new_as_of))
     return visible(upsert(existing, new))
 
 

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from contrail import schema as S
 from contrail.functions.time import run_stamp
-from contrail.operators.dedup import latest_per_aircraft
 from contrail.operators.observe import observed
 from contrail.operators.quality import check_count, complete, geo_in_range, null_critical, quarantine_rows
 from contrail.operators.upsert import newer_only_order, upsert
-from contrail.plans.layers import gold, silver
+from contrail.plans.layers import dedup_count, gold, silver_latest
 from contrail.sinks.store import Commit, TableStore, read_silver, with_country_part, write_quarantine
 from contrail.sources.bronze import DataQualityError, land_snapshots, landed_counts, read_states
 
@@ -130,9 +129,8 @@ def run_silver(
         check_count(n_in, min_rows, what=f"state vectors in run {run}")
         if quarantine_dir:
             write_quarantine(quarantine_rows(states), quarantine_dir)
-        rows = silver(states, as_of, run_ts=run, drop_blank_country=drop_blank_country)
-        rows, dedup_obs = observed(rows, "silver_deduped")
-        new = latest_per_aircraft(rows)
+        deduped = dedup_count(states, drop_blank_country=drop_blank_country)
+        new = silver_latest(states, as_of, run_ts=run, drop_blank_country=drop_blank_country)
         existing = read_silver(store)
         merged = upsert(existing, new, order_by=newer_only_order(new) if newer_only else None)
         merged, out_obs = observed(merged, "silver_table")
@@ -141,7 +139,6 @@ def run_silver(
         )
     finally:
         states.unpersist()
-    deduped = int(dedup_obs.get["rows"])
     counts = {"input": n_in, **{k: int(v) for k, v in in_obs.get.items() if k != "rows"},
               "deduped": deduped, "table_rows": int(out_obs.get["rows"])}
     store.commit(Commit("silver", version, out_path, deduped, run_ts=run))

@@ -7,22 +7,46 @@ from pyspark.sql import functions as F
 
 from contrail import schema as S
 from contrail.functions import status as st
-from contrail.operators.dedup import dedup_states
+from contrail.operators.dedup import dedup_states, pick_winner
 from contrail.operators.derive import epoch_to_text, flight_status, source_type, with_ingestion_time
 from contrail.operators.quality import clean_rows
 
 
-def silver(
-    states: DataFrame,
+def derive_silver(
+    rows: DataFrame,
     as_of: int | Column,
     *,
     run_col: str | None = None,
     run_ts: str | None = None,
-    drop_blank_country: bool = False,
     inactive_s: int = S.INACTIVE_AFTER_S,
     expired_s: int = S.EXPIRED_AFTER_S,
     airborne_label: str = S.STATUS_AIRBORNE,
     tz: str | None = None,
+) -> DataFrame:
+    """Clean state rows -> Silver columns: status / reason / source type at
+    ``as_of``, epoch columns as text, ingestion time, hidden bookkeeping."""
+    d = flight_status(rows, as_of, inactive_s=inactive_s, expired_s=expired_s, airborne_label=airborne_label)
+    d = source_type(d)
+    d = d.withColumn(S.LAST_CONTACT_EPOCH, F.col("last_contact"))
+    d = epoch_to_text(d, tz=tz)
+    d = with_ingestion_time(d, as_of)
+    run = F.col(run_col) if run_col else F.lit(run_ts).cast("string")
+    return d.select(*S.SILVER_COLUMNS, S.LAST_CONTACT_EPOCH, run.alias(S.RUN_COL))
+
+
+def _clean(states: DataFrame, run_col: str | None, drop_blank_country: bool) -> DataFrame:
+    cols = list(S.STATE_COLUMNS) + ([run_col] if run_col else [])
+    return clean_rows(states, drop_blank_country=drop_blank_country).select(*cols)
+
+
+def silver(
+    states: DataFrame,
+    as_of: int | Column,
+    *,
+    run_col: str | None = None,
+    run_ts: str | None = None,
+    drop_blank_country: bool = False,
+    **derive_kw,
 ) -> DataFrame:
     """Decoded states -> Silver rows (one per (icao24, last_contact), per run).
 
@@ -32,16 +56,39 @@ def silver(
     several runs are processed together with ``run_col``). Output: the 21
     Silver columns + hidden ``_last_contact_s`` and ``_run_ts``.
     """
-    cols = list(S.STATE_COLUMNS) + ([run_col] if run_col else [])
-    clean = clean_rows(states, drop_blank_country=drop_blank_country).select(*cols)
+    clean = _clean(states, run_col, drop_blank_country)
     d = dedup_states(clean, run_col=run_col)
-    d = flight_status(d, as_of, inactive_s=inactive_s, expired_s=expired_s, airborne_label=airborne_label)
-    d = source_type(d)
-    d = d.withColumn(S.LAST_CONTACT_EPOCH, F.col("last_contact"))
-    d = epoch_to_text(d, tz=tz)
-    d = with_ingestion_time(d, as_of)
-    run = F.col(run_col) if run_col else F.lit(run_ts).cast("string")
-    return d.select(*S.SILVER_COLUMNS, S.LAST_CONTACT_EPOCH, run.alias(S.RUN_COL))
+    return derive_silver(d, as_of, run_col=run_col, run_ts=run_ts, **derive_kw)
+
+
+def silver_latest(
+    states: DataFrame,
+    as_of: int | Column,
+    *,
+    run_col: str | None = None,
+    run_ts: str | None = None,
+    drop_blank_country: bool = False,
+    **derive_kw,
+) -> DataFrame:
+    """One Silver row per aircraft: equal to ``latest_per_aircraft(silver(...))``.
+
+    The latest order (run, last_contact, time_position, callsign, rest) refines
+    the dedup order, so the dedup winner of the newest group is the latest row
+    and the dedup shuffle can be skipped: one aggregate whose map side already
+    emits at most one row per aircraft per task, instead of shuffling every
+    (mostly unique) row at full width first."""
+    clean = _clean(states, run_col, drop_blank_country)
+    order = ([run_col] if run_col else []) + ["last_contact", "time_position", "callsign"]
+    latest = pick_winner(clean, ["icao24"], order)
+    return derive_silver(latest, as_of, run_col=run_col, run_ts=run_ts, **derive_kw)
+
+
+def dedup_count(states: DataFrame, *, run_col: str | None = None, drop_blank_country: bool = False) -> int:
+    """Rows ``silver`` would keep (distinct (run, icao24, last_contact) of clean
+    rows), from a narrow distinct on the key columns only."""
+    keys = ([run_col] if run_col else []) + ["icao24", "last_contact"]
+    clean = clean_rows(states, drop_blank_country=drop_blank_country)
+    return clean.select(*keys).distinct().count()
 
 
 def visible(df: DataFrame, columns=S.SILVER_COLUMNS) -> DataFrame:

@@ -27,11 +27,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from contrail import schema as S
 from contrail.functions.time import run_ts_to_epoch
-from contrail.operators.dedup import latest_per_aircraft
 from contrail.operators.observe import observed_aggs
 from contrail.operators.quality import quarantine_rows
 from contrail.operators.upsert import upsert
-from contrail.plans.layers import silver
+from contrail.plans.layers import silver_latest
 from contrail.sinks.store import Commit, TableStore, read_silver, with_country_part, write_quarantine
 from contrail.sources.bronze import RUN_STAMP_RX, decode_states
 
@@ -54,8 +53,7 @@ def process_batch(
     if quarantine_dir:
         write_quarantine(quarantine_rows(states), quarantine_dir, batch_id=batch_id)
     as_of_col = run_ts_to_epoch(F.col("run_ts")) if as_of is None else as_of
-    rows = silver(states, as_of_col, run_col="run_ts")
-    new = latest_per_aircraft(rows)  # ordered by run, then recency
+    new = silver_latest(states, as_of_col, run_col="run_ts")  # newest run, then recency
     merged = upsert(read_silver(store), new, order_by=RECENCY_ORDER)
     merged, obs = observed_aggs(merged, "silver_batch", last_run=F.max(S.RUN_COL))
     version, path = store.write_version(
