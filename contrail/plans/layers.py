@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.functions import status as st
 from contrail.operators.dedup import dedup_states, pick_winner
-from contrail.operators.derive import epoch_to_text, flight_status, source_type, with_ingestion_time
+from contrail.functions import time as tfn
 from contrail.operators.quality import clean_rows
 
 
@@ -24,14 +24,24 @@ def derive_silver(
     tz: str | None = None,
 ) -> DataFrame:
     """Clean state rows -> Silver columns: status / reason / source type at
-    ``as_of``, epoch columns as text, ingestion time, hidden bookkeeping."""
-    d = flight_status(rows, as_of, inactive_s=inactive_s, expired_s=expired_s, airborne_label=airborne_label)
-    d = source_type(d)
-    d = d.withColumn(S.LAST_CONTACT_EPOCH, F.col("last_contact"))
-    d = epoch_to_text(d, tz=tz)
-    d = with_ingestion_time(d, as_of)
-    run = F.col(run_col) if run_col else F.lit(run_ts).cast("string")
-    return d.select(*S.SILVER_COLUMNS, S.LAST_CONTACT_EPOCH, run.alias(S.RUN_COL))
+    ``as_of``, epoch columns as text, ingestion time, hidden bookkeeping.
+
+    One projection (the same expressions as the ``flight_status`` /
+    ``source_type`` / ``epoch_to_text`` / ``with_ingestion_time`` steps), so the
+    plan is built and analysed once."""
+    kw = dict(inactive_s=inactive_s, expired_s=expired_s)
+    exprs = {
+        "time_position": tfn.epoch_to_text("time_position", tz),
+        "last_contact": tfn.epoch_to_text("last_contact", tz),
+        "status": st.status(as_of, airborne_label=airborne_label, **kw),
+        "status_reason": st.status_reason(as_of, **kw),
+        "source_type": st.source_type(),
+        "ingestion_time": tfn.ntz_literal(as_of),
+        S.LAST_CONTACT_EPOCH: F.col("last_contact"),
+        S.RUN_COL: F.col(run_col) if run_col else F.lit(run_ts).cast("string"),
+    }
+    cols = S.SILVER_COLUMNS + (S.LAST_CONTACT_EPOCH, S.RUN_COL)
+    return rows.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in cols])
 
 
 def _clean(states: DataFrame, run_col: str | None, drop_blank_country: bool) -> DataFrame:

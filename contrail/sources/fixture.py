@@ -31,6 +31,9 @@ N_NATIONS = 25
 AS_OF = 1706659199  # 2024-01-30 23:59:59 UTC
 DAY_END_SUFFIX = "_235959"
 
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+NATION_SCHEMA = "n_nationkey int, n_name string, n_regionkey int"
+
 
 def _k() -> F.Column:
     return F.get_json_object("props", "$.k").try_cast("int")
@@ -38,12 +41,14 @@ def _k() -> F.Column:
 
 def state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """17 state-vector columns + ``snapshot_day`` (date) + ``run_ts`` (day-end stamp)."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
+    # Known schemas: no footer read at planning time.
+    ev = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    nation = spark.read.schema(NATION_SCHEMA).parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
     cols = ["event_id", "ts", "user_id", "event_type", "value"]
-    base = ev.select(*cols, _k().alias("k"), F.lit("").alias("suffix"))
-    dup = ev.filter(F.col("event_id") % DUPLICATE_EVERY == 0).select(*cols, _k().alias("k"), F.lit("D").alias("suffix"))
-    e = base.unionByName(dup).withColumn("ep", ntz_to_epoch("ts"))
+    ep = ntz_to_epoch("ts").alias("ep")
+    base = ev.select(*cols, _k().alias("k"), ep, F.lit("").alias("suffix"))
+    dup = ev.filter(F.col("event_id") % DUPLICATE_EVERY == 0).select(*cols, _k().alias("k"), ep, F.lit("D").alias("suffix"))
+    e = base.unionByName(dup)
     # nation is a fixed 25-row dimension; the planner broadcasts it from its
     # file statistics (autoBroadcastJoinThreshold), no hint needed.
     j = e.join(nation, (F.col("user_id") % N_NATIONS) == F.col("n_nationkey").cast("bigint"))
@@ -78,7 +83,8 @@ def state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("spi"),
         F.when(k == K_NULL_SOURCE, F.lit(None).cast("bigint")).otherwise((k % 6).cast("bigint")).alias("position_source"),
         day.alias("snapshot_day"),
-        F.concat(F.date_format(day, "yyyyMMdd"), F.lit(DAY_END_SUFFIX)).alias("run_ts"),
+        # date -> 'yyyy-MM-dd' text is zone-free; drop the dashes
+        F.concat(F.translate(day.cast("string"), "-", ""), F.lit(DAY_END_SUFFIX)).alias("run_ts"),
     )
 
 
