@@ -194,8 +194,9 @@ def _pipeline(spark, d) -> TableStore:
     ensure_checkpoint_dir(spark)
     root = scratch_dir(spark, "pipeline")
     store = TableStore(spark, f"{root}/store")
-    sv = _sv(spark, d).withColumn("run_ts", F.lit(run_stamp(AS_OF)))
-    run_bronze(spark, to_envelopes(sv, time_col=F.col("last_contact")), f"{root}/bronze", store)
+    run = run_stamp(AS_OF)
+    sv = _sv(spark, d).withColumn("run_ts", F.lit(run))
+    run_bronze(spark, to_envelopes(sv, time_col=F.col("last_contact")), f"{root}/bronze", store, runs=[run])
     silver_res = run_silver(spark, store, as_of=AS_OF, quarantine_dir=f"{root}/quarantine")
     gold_res = run_gold(spark, store)
     store.last_counts = {**silver_res.counts, **gold_res.counts}  # type: ignore[attr-defined]

@@ -36,17 +36,13 @@ def upsert(
     keys: Sequence[str] = ("icao24",),
     *,
     order_by: Sequence[str] | None = None,
-    broadcast_new: bool | None = None,
 ) -> DataFrame:
     keys = list(keys)
     if existing is None:
         return new
     existing = existing.select(*[c for c in new.columns if c in existing.columns])
     if order_by is None:
-        new_keys = new.select(*keys)
-        if broadcast_new:
-            new_keys = F.broadcast(new_keys)
-        kept = existing.join(new_keys, keys, "left_anti")
+        kept = existing.join(new.select(*keys), keys, "left_anti")
         return new.unionByName(kept, allowMissingColumns=True)
     # ``_src`` is the last column, so it only separates rows that are equal in
     # every other column: the winner does not depend on which batch a row

@@ -53,12 +53,16 @@ def run_bronze(
     min_rows: int = S.BRONZE_MIN_ROWS,
     body_col: str = "body",
     run_col: str = "run_ts",
+    runs: list[str] | None = None,
 ) -> list[RunResult]:
     """Land responses, gate each run on its state count and commit the runs
     that pass. Runs below ``min_rows`` stay uncommitted (invisible to Silver)
-    and are reported by raising after the passing runs are committed."""
+    and are reported by raising after the passing runs are committed.
+    ``runs`` lists the run stamps in ``responses`` when the caller knows them
+    (saves one pass over the responses)."""
     land_snapshots(responses, bronze_dir, body_col=body_col, run_col=run_col)
-    runs = [r[run_col] for r in responses.select(F.col(run_col).cast("string")).distinct().collect()]
+    if runs is None:
+        runs = [r[run_col] for r in responses.select(F.col(run_col).cast("string")).distinct().collect()]
     counts = {r[run_col]: r["n_states"] for r in landed_counts(spark, bronze_dir, run_col=run_col)
               .filter(F.col(run_col).isin(runs)).collect()}
     out, failed = [], []
