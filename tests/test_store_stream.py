@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contrail import schema as S
 from contrail.operators import latest_per_aircraft, upsert
-from contrail.plans.jobs import run_bronze, run_gold, run_silver
+from contrail.plans.jobs import read_gold, run_bronze, run_gold, run_silver
 from contrail.plans.layers import silver, visible
 from contrail.sinks import TableStore, read_quarantine, read_silver
 from contrail.sources import land_snapshots
@@ -99,6 +99,10 @@ def test_jobs_end_to_end(spark, scratch):
         ("bronze", 1), ("bronze", 2), ("gold", 1), ("silver", 1), ("silver", 2)
     ]
     assert read_silver(store, version=1).count() == 6  # time travel
+    # local layout: Gold partitioned by country, same rows and columns when read back
+    g2 = run_gold(spark, store, partition_by="origin_country")
+    back = read_gold(store)
+    assert g2.version == 2 and back.count() == 11 and sorted(back.columns) == sorted(S.GOLD_COLUMNS)
 
 
 def test_bronze_gate_blocks_small_run(spark, scratch):
@@ -149,3 +153,27 @@ def test_read_silver_prunes_country_partitions(spark, scratch):
     part = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
     assert part and "country_part" in part[0] and "__blank__" in part[0]
     assert sorted(r.origin_country for r in read_silver(store, countries=["7"]).collect()) == ["7"]
+
+
+def test_incremental_array_files_and_quarantine(spark, scratch):
+    import os
+
+    base = scratch.replace("file:", "")
+    os.makedirs(f"{base}/raw", exist_ok=True)
+    snap1 = [_js("000001", "A", NOW - 60), _js("000002", "B", NOW - 60), _js("bad001", "X", NOW, lat=95.0)]
+    snap2 = [_js("000001", "A2", NOW), ["short"]]
+    with open(f"{base}/raw/aircraft_data_20231114_220000.json", "w") as f:
+        json.dump(snap1, f, indent=4)
+    with open(f"{base}/raw/aircraft_data_20231114_221000.json", "w") as f:
+        json.dump(snap2, f, indent=4)
+    store = TableStore(spark, f"{scratch}/store")
+    q = run_incremental(
+        spark, f"{base}/raw", store, f"{scratch}/ckpt", fmt="array", quarantine_dir=f"{scratch}/q",
+        max_files_per_trigger=1,
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    table = {r.icao24: (r.callsign, r.status) for r in read_silver(store).collect()}
+    assert table == {"000001": ("A2", "AIRBORNE"), "000002": ("B", "AIRBORNE")}
+    qrows = sorted((r.dq_reason, r.run_ts) for r in read_quarantine(spark, f"{scratch}/q").collect())
+    assert qrows == [("invalid_geo", "20231114_220000"), ("malformed", "20231114_221000")]
