@@ -190,7 +190,7 @@ def q_gold_layer(spark, d):
     return _gold(spark, d)
 
 
-def _pipeline(spark, d) -> TableStore:
+def _pipeline(spark, d) -> tuple[TableStore, dict]:
     ensure_checkpoint_dir(spark)
     root = scratch_dir(spark, "pipeline")
     store = TableStore(spark, f"{root}/store")
@@ -199,19 +199,19 @@ def _pipeline(spark, d) -> TableStore:
     run_bronze(spark, to_envelopes(sv, time_col=F.col("last_contact")), f"{root}/bronze", store, runs=[run])
     silver_res = run_silver(spark, store, as_of=AS_OF, quarantine_dir=f"{root}/quarantine")
     gold_res = run_gold(spark, store)
-    store.last_counts = {**silver_res.counts, **gold_res.counts}  # type: ignore[attr-defined]
-    return store
+    return store, {**silver_res.counts, **gold_res.counts}
 
 
 def q_stage_counts(spark, d):
-    counts = _pipeline(spark, d).last_counts
+    _, counts = _pipeline(spark, d)
     order = ["input", "malformed", "null_records", "invalid_geo", "clean", "deduped",
              "table_rows", "gold_input", "gold_rows"]
     return spark.createDataFrame([(k, int(counts[k])) for k in order], "stage string, n bigint")
 
 
 def q_run_manifest(spark, d):
-    return _pipeline(spark, d).manifest().select("stage", "record_count")
+    store, _ = _pipeline(spark, d)
+    return store.manifest().select("stage", "record_count")
 
 
 def q_incremental_silver(spark, d):

@@ -11,6 +11,7 @@ from contrail.operators.derive import (  # noqa: F401
 from contrail.operators.observe import observed  # noqa: F401
 from contrail.operators.quality import (  # noqa: F401
     check_count,
+    classify,
     clean_rows,
     complete_rows,
     count_gate,

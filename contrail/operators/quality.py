@@ -83,6 +83,23 @@ def invalid_geo(df: DataFrame, *, distinct: bool = False) -> DataFrame:
     return df.filter(geo_out_of_range())
 
 
+def classify(states: DataFrame, *, blank_country: bool = True, drop_blank_country: bool = False) -> DataFrame:
+    """Add ``dq_reason`` (why a row is logged: the first of 'malformed',
+    'null_records', 'invalid_geo'; null when not logged) and ``dq_keep``
+    (whether it continues to Silver). Blank / 'NULL' countries get both a reason
+    and ``dq_keep`` = true. One projection; no rows are moved."""
+    ok = _decoded_ok(states)
+    keep = ok & complete() & F.coalesce(geo_in_range(), F.lit(False))
+    if drop_blank_country:
+        keep = keep & ~F.col("origin_country").isin(*S.MISSING_COUNTRY_MARKERS)
+    reason = (
+        F.when(~ok, F.lit("malformed"))
+        .when(null_critical(blank_country=blank_country), F.lit("null_records"))
+        .when(geo_out_of_range(), F.lit("invalid_geo"))
+    )
+    return states.withColumns({"dq_reason": reason, "dq_keep": keep})
+
+
 def clean_rows(states: DataFrame, *, drop_blank_country: bool = False) -> DataFrame:
     """Rows that continue to Silver: decodable, complete, in range."""
     return valid_geo(complete_rows(states, drop_blank_country=drop_blank_country))

@@ -217,3 +217,24 @@ def test_time_helpers_zone_free_across_dst(spark):
             assert (r.summer, r.neg, r.gap, r.run) == (1719792000, -1, "2024-03-10 02:30:00", 1711848600), zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_classify_reason_and_keep(spark):
+    from contrail.operators import classify
+
+    df = frame(
+        spark,
+        state(callsign="ok"),
+        state(callsign="blank", country=""),
+        state(callsign="nolat", lat=None),
+        state(callsign="far", lat=91.0),
+        state(callsign="blank_far", country="", lat=91.0),
+    )
+    got = {r.callsign: (r.dq_reason, r.dq_keep) for r in classify(df).collect()}
+    assert got == {
+        "ok": (None, True),
+        "blank": ("null_records", True),
+        "nolat": ("null_records", False),
+        "far": ("invalid_geo", False),
+        "blank_far": ("null_records", False),
+    }
