@@ -18,89 +18,68 @@ from pyspark.sql import types as T
 
 from contrail import schema as S
 
-# Non-finite numbers (NaN, Infinity) come back from the JSON reader wrapped in
-# quotes; strip them before casting.
-_QUOTE = '"'
-
-
-def _num_text(x: Column) -> Column:
-    return F.btrim(x, F.lit(_QUOTE))
-
-
-def to_double(x: Column) -> Column:
-    t = _num_text(x)
-    low = F.lower(t)
-    return (
-        F.when(low == "true", F.lit(1.0))
-        .when(low == "false", F.lit(0.0))
-        .otherwise(t.try_cast("double"))
-    )
-
-
-def to_bigint(x: Column) -> Column:
-    """Integer text casts directly; a fractional number truncates toward zero
-    like Python's ``int(float)``; NaN, infinities and overflow have no reading."""
-    t = _num_text(x)
-    low = F.lower(t)
-    return (
-        F.when(low == "true", F.lit(1).cast("bigint"))
-        .when(low == "false", F.lit(0).cast("bigint"))
-        .otherwise(F.coalesce(t.try_cast("bigint"), t.try_cast("double").try_cast("bigint")))
-    )
-
-
-def to_boolean(x: Column) -> Column:
-    """JSON booleans by value, numbers by non-zero, empty text / containers are
-    false, any other text is true (truthiness)."""
-    t = _num_text(x)
-    low = F.lower(t)
-    num = t.try_cast("double")
-    return (
-        F.when(low == "true", F.lit(True))
-        .when(low == "false", F.lit(False))
-        .when(num.isNotNull(), num != 0)
-        .when(x.isin("", "[]", "{}"), F.lit(False))
-        .when(x.isNotNull(), F.lit(True))
-    )
-
-
-def typed(x: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.LongType):
-        return to_bigint(x)
-    if isinstance(dtype, T.DoubleType):
-        return to_double(x)
-    if isinstance(dtype, T.BooleanType):
-        return to_boolean(x)
-    return x
-
-
-def state_columns(arr: Column) -> list[Column]:
-    """17 typed columns from an ``array<string>`` state; ``sensors`` is always null."""
+# Element text -> typed value, as SQL expression templates over ``{e}`` (one
+# JSON element's text). Each template is a single expression, built by the JVM
+# parser in one call.
+#
+# * JSON true/false count as 1/0 in numeric positions (Python int(True) == 1).
+# * Non-finite numbers (NaN, Infinity) come back from the JSON reader wrapped in
+#   quotes; the quotes are stripped only when the plain cast fails.
+# * A fractional number in an integer position truncates toward zero like
+#   Python's int(float); NaN, infinities and overflow have no integer reading.
+# * Booleans: JSON true/false by value, numbers by non-zero, empty text or
+#   empty containers false, any other text true (truthiness).
+_NUM = "coalesce(try_cast({e} AS DOUBLE), try_cast(btrim({e}, '\"') AS DOUBLE))"
+_SQL = {
+    "double": "CASE WHEN {e} = 'true' THEN 1.0D WHEN {e} = 'false' THEN 0.0D ELSE " + _NUM + " END",
+    "bigint": (
+        "CASE WHEN {e} = 'true' THEN 1L WHEN {e} = 'false' THEN 0L "
+        "ELSE coalesce(try_cast({e} AS BIGINT), try_cast(" + _NUM + " AS BIGINT)) END"
+    ),
+    "boolean": (
+        "CASE WHEN {e} = 'true' THEN true WHEN {e} = 'false' THEN false "
+        "WHEN " + _NUM + " IS NOT NULL THEN " + _NUM + " <> 0 "
+        "WHEN {e} IN ('', '[]', '{{}}') THEN false WHEN {e} IS NOT NULL THEN true END"
+    ),
+}
+
+
+def typed_sql(element: str, dtype: T.DataType) -> str:
+    """SQL text of the typed reading of ``element`` (itself SQL text)."""
+    tmpl = _SQL.get(dtype.simpleString())
+    return element if tmpl is None else tmpl.format(e=element)
+
+
+def typed(x: Column | str, dtype: T.DataType) -> Column:
+    """Column form of :func:`typed_sql` (``x`` a column name or SQL text)."""
+    return F.expr(typed_sql(x if isinstance(x, str) else str(x), dtype))
+
+
+def state_columns(arr: str = "_arr") -> list[Column]:
+    """17 typed columns from an ``array<string>`` column; ``sensors`` is always null."""
     out = []
     for i, name in enumerate(S.STATE_COLUMNS):
         dtype = S.state_type(name)
         if name == "sensors":
             out.append(F.lit(None).cast(dtype).alias(name))
         else:
-            out.append(typed(F.get(arr, i), dtype).alias(name))
+            out.append(F.expr(typed_sql(f"get({arr}, {i})", dtype)).alias(name))
     return out
 
 
-def decode_error(arr: Column) -> Column:
-    """Why a parsed state cannot be used: 'unparsable' (not a JSON array),
-    'short_row' (fewer than 17 elements), 'bad_value' (a numeric element with no
-    numeric reading). Null when the row decodes cleanly."""
-    bad = F.lit(False)
-    for i, name in enumerate(S.STATE_COLUMNS):
-        dtype = S.state_type(name)
-        if name == "sensors" or not isinstance(dtype, (T.LongType, T.DoubleType)):
-            continue
-        e = F.get(arr, i)
-        bad = bad | (e.isNotNull() & typed(e, dtype).isNull())
-    return (
-        F.when(arr.isNull(), "unparsable")
-        .when(F.size(arr) < len(S.STATE_COLUMNS), "short_row")
-        .when(bad, "bad_value")
+def decode_error(arr: str = "_arr") -> Column:
+    """Why a parsed state cannot be used, over already typed columns:
+    'unparsable' (not a JSON array), 'short_row' (fewer than 17 elements),
+    'bad_value' (a numeric element with no numeric reading). Null when clean."""
+    bad = " OR ".join(
+        f"(get({arr}, {i}) IS NOT NULL AND `{name}` IS NULL)"
+        for i, name in enumerate(S.STATE_COLUMNS)
+        if name != "sensors" and S.state_type(name).simpleString() in ("bigint", "double")
+    )
+    return F.expr(
+        f"CASE WHEN {arr} IS NULL THEN 'unparsable' "
+        f"WHEN size({arr}) < {len(S.STATE_COLUMNS)} THEN 'short_row' "
+        f"WHEN {bad} THEN 'bad_value' END"
     )
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail import schema as S
 from contrail.functions.decode import decode_error, state_columns
 
 ENVELOPE_SCHEMA = "struct<time: bigint, states: array<string>>"
@@ -100,11 +101,16 @@ def decode_states(df: DataFrame, *, value_col: str = "value", fmt: str = "line")
         raw = F.to_json(F.col("_arr"))
     else:
         raise ValueError(f"unknown bronze format {fmt!r}")
-    arr = F.col("_arr")
-    err = decode_error(arr)
-    return staged.select(
+    # Typed values first, the error flag second: the flag reads the typed
+    # columns, so every cast runs once (the two projections stay separate
+    # because the typed expressions are referenced twice).
+    # The raw text is only rendered for malformed rows.
+    extra = ["_text"] if fmt == "line" else []
+    typed = staged.select(*keep, *state_columns("_arr"), "_arr", *extra)
+    err = decode_error("_arr")
+    return typed.select(
         *keep,
-        *state_columns(arr),
+        *S.STATE_COLUMNS,
         err.alias("_decode_error"),
         F.when(err.isNotNull(), raw).alias("_raw"),
     )
