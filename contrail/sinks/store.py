@@ -2,7 +2,7 @@
 
 Layout under one root (a shared folder)::
 
-    <root>/_manifest/            one small Parquet file per commit (MANIFEST_SCHEMA)
+    <root>/_manifest/            one small JSON file per commit (MANIFEST_SCHEMA)
     <root>/<stage>/v=000001/     a complete table version
     <root>/<stage>/v=000002/ ...
 
@@ -18,6 +18,8 @@ Single writer per stage is assumed, as with a scheduled job.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -48,15 +50,19 @@ class TableStore:
     # The manifest is tiny (one row per commit); its rows are kept on the
     # driver after a read and refreshed after every commit by this writer.
 
-    def _exists(self, path: str) -> bool:
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        p, fs = self._fs(path)
+        return fs.exists(p)
 
     def manifest(self) -> DataFrame:
         if not self._exists(self.manifest_path):
             return self.spark.createDataFrame([], S.MANIFEST_SCHEMA)
-        return self.spark.read.schema(S.MANIFEST_SCHEMA).parquet(self.manifest_path)
+        return self.spark.read.schema(S.MANIFEST_SCHEMA).json(self.manifest_path)
 
     def _rows(self) -> list[Row]:
         if self._cache is None:
@@ -76,10 +82,27 @@ class TableStore:
         return any(r["stage"] == stage and r["batch_id"] == batch_id for r in self._rows())
 
     def commit(self, c: Commit) -> None:
-        row = (c.run_ts, c.stage, int(c.version), c.path, int(c.record_count), c.batch_id)
-        self.spark.createDataFrame([row], S.MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.manifest_path
-        )
+        """Append one commit record: a small JSON file written under a hidden
+        name (readers skip names starting with '_') and renamed into place, so
+        a reader sees the whole record or nothing."""
+        rec = {
+            "run_ts": c.run_ts,
+            "stage": c.stage,
+            "version": int(c.version),
+            "output_path": c.path,
+            "record_count": int(c.record_count),
+            "batch_id": c.batch_id,
+        }
+        name = f"{c.stage}-{int(c.version):06d}-{uuid.uuid4().hex[:8]}.json"
+        tmp, fs = self._fs(f"{self.manifest_path}/_tmp-{name}")
+        final, _ = self._fs(f"{self.manifest_path}/{name}")
+        out = fs.create(tmp, False)
+        try:
+            out.write(bytearray(json.dumps(rec).encode("utf-8") + b"\n"))
+        finally:
+            out.close()
+        if not fs.rename(tmp, final):
+            raise OSError(f"could not commit {name} to {self.manifest_path}")
         self._cache = None
 
     # -- versions -----------------------------------------------------------
