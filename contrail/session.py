@@ -9,7 +9,6 @@ none configured (tests, local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,7 +52,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = conf or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/contrail/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or os.path.isabs(path)
