@@ -15,7 +15,9 @@ sort-merge join (AQE handles skewed keys).
 
 With ``order_by`` the merge is a recency merge instead: for each key the greater
 row by ``order_by`` wins (then by the remaining columns; ``new`` wins only
-between identical rows). That merge is commutative and
+between identical rows). Only the rows of keys present in ``new`` are
+aggregated; the rest of ``existing`` passes through an anti-join. That merge is
+commutative and
 idempotent, so replaying a batch, or snapshots arriving out of order, gives the
 same table as processing them once in order.
 """
@@ -44,13 +46,21 @@ def upsert(
     if order_by is None:
         kept = existing.join(new.select(*keys), keys, "left_anti")
         return new.unionByName(kept, allowMissingColumns=True)
-    # ``_src`` is the last column, so it only separates rows that are equal in
-    # every other column: the winner does not depend on which batch a row
-    # arrived in.
+    # Only keys present in ``new`` can change: compete those rows (new +
+    # matching existing) in one aggregate and pass every other existing row
+    # through. Both joins take the small key set of ``new``, so the large
+    # table is scanned, not shuffled, whenever that set is under the
+    # broadcast threshold. ``_src`` is the last column, so it only separates
+    # rows that are equal in every other column: the winner does not depend on
+    # which batch a row arrived in.
+    new_keys = new.select(*keys)
+    touched = existing.join(new_keys, keys, "left_semi")
+    kept = existing.join(new_keys, keys, "left_anti")
     tagged = new.withColumn("_src", F.lit(1)).unionByName(
-        existing.withColumn("_src", F.lit(0)), allowMissingColumns=True
+        touched.withColumn("_src", F.lit(0)), allowMissingColumns=True
     )
-    return pick_winner(tagged, keys, list(order_by)).drop("_src")
+    winners = pick_winner(tagged, keys, list(order_by)).drop("_src")
+    return winners.unionByName(kept, allowMissingColumns=True)
 
 
 def newer_only_order(df: DataFrame) -> list[str]:

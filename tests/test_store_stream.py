@@ -177,3 +177,21 @@ def test_incremental_array_files_and_quarantine(spark, scratch):
     assert table == {"000001": ("A2", "AIRBORNE"), "000002": ("B", "AIRBORNE")}
     qrows = sorted((r.dq_reason, r.run_ts) for r in read_quarantine(spark, f"{scratch}/q").collect())
     assert qrows == [("invalid_geo", "20231114_220000"), ("malformed", "20231114_221000")]
+
+
+def test_recency_merge_shuffles_only_touched_keys(spark, scratch):
+    big = spark.range(50_000).select(
+        F.format_string("%06x", "id").alias("icao24"), F.col("id").alias("v"), F.lit(0).alias("r")
+    )
+    big.write.parquet(f"{scratch}/existing")
+    spark.createDataFrame([("000001", 7, 1), ("0ffff0", 9, 1), ("000002", -1, -1)], "icao24 string, v long, r int") \
+        .write.parquet(f"{scratch}/new")
+    existing, new = spark.read.parquet(f"{scratch}/existing"), spark.read.parquet(f"{scratch}/new")
+    out = upsert(existing, new, order_by=["r"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    rows = {r.icao24: (r.v, r.r) for r in out.collect()}
+    assert len(rows) == 50_001
+    assert rows["000001"] == (7, 1) and rows["0ffff0"] == (9, 1)
+    assert rows["000002"] == (2, 0)  # older new row loses to the existing one
+    assert upsert(upsert(existing, new, order_by=["r"]), new, order_by=["r"]).count() == 50_001  # idempotent
