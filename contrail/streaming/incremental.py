@@ -63,13 +63,26 @@ def process_batch(
     store.commit(Commit("silver", version, path, n, run_ts=last_run, batch_id=batch_id))
 
 
-def bronze_stream(spark: SparkSession, bronze_dir: str, *, fmt: str = "line", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming text source over a Bronze folder with the run stamp of each file."""
+def bronze_stream(
+    spark: SparkSession,
+    bronze_dir: str,
+    *,
+    fmt: str = "line",
+    max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
+) -> DataFrame:
+    """Streaming text source over a Bronze folder with the run stamp of each file.
+
+    The file source lists the folder on every trigger; with ``archive_dir``
+    processed files are moved there (``cleanSource=archive``), so the listing
+    stays proportional to the backlog instead of the whole history."""
     reader = spark.readStream.format("text")
     if fmt == "array":
         reader = reader.option("wholetext", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     raw = reader.load(bronze_dir)
     return raw.select(
         "value",
@@ -89,9 +102,12 @@ def run_incremental(
     processing_time: str | None = None,
     as_of: int | None = None,
     quarantine_dir: str | None = None,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental Silver stream; returns the running query."""
-    src = bronze_stream(spark, bronze_dir, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
+    src = bronze_stream(
+        spark, bronze_dir, fmt=fmt, max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir
+    )
 
     def _each(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, store, fmt=fmt, as_of=as_of, quarantine_dir=quarantine_dir)

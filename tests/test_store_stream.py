@@ -195,3 +195,22 @@ def test_recency_merge_shuffles_only_touched_keys(spark, scratch):
     assert rows["000001"] == (7, 1) and rows["0ffff0"] == (9, 1)
     assert rows["000002"] == (2, 0)  # older new row loses to the existing one
     assert upsert(upsert(existing, new, order_by=["r"]), new, order_by=["r"]).count() == 50_001  # idempotent
+
+
+def test_incremental_archives_processed_files(spark, scratch):
+    import glob
+
+    runs = {f"2023111{d}_120000": [_js("000001", f"C{d}", NOW + d)] for d in range(4)}
+    land_snapshots(_envelopes(spark, runs), f"{scratch}/bronze")
+    store = TableStore(spark, f"{scratch}/store")
+    q = run_incremental(
+        spark, f"{scratch}/bronze", store, f"{scratch}/ckpt", archive_dir=f"{scratch}/archive",
+        max_files_per_trigger=1,
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    assert [r.callsign for r in read_silver(store).collect()] == ["C3"]
+    # files committed by earlier batches are moved out of the listed folder
+    base = scratch.replace("file:", "")
+    archived = glob.glob(f"{base}/archive/**/*.txt", recursive=True)
+    assert archived
