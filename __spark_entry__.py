@@ -12,8 +12,16 @@ engines in ``contrail.sources.fixture``. Every query reads the whole tables.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import sys
 from collections.abc import Callable
 
+# The package lives next to this file; make it importable however this module
+# is loaded (executors never need it: there are no Python UDFs).
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
