@@ -267,14 +267,17 @@ def q_gold_sql(spark, d):
 
 def q_sql_audit(spark, d):
     conv = spark.read.parquet(f"{d}/conversations.parquet")
-    raw = conv.select("conv_id", "turn", F.lit("raw").alias("kind"), F.col("text").alias("q"))
-    templated = conv.select(
-        "conv_id",
-        "turn",
-        F.lit("templated").alias("kind"),
-        F.concat(F.lit(TEMPLATE_PREFIX), F.col("text"), F.lit("'")).alias("q"),
+    # Each turn is audited twice, as a raw statement and interpolated into a
+    # SELECT template: one scan, two statements per row.
+    kinds = F.array(
+        F.struct(F.lit("raw").alias("kind"), F.col("text").alias("q")),
+        F.struct(
+            F.lit("templated").alias("kind"),
+            F.concat(F.lit(TEMPLATE_PREFIX), F.col("text"), F.lit("'")).alias("q"),
+        ),
     )
-    return sql_audit(raw.unionByName(templated)).select("conv_id", "turn", "kind", "allowed", "rule", "message")
+    stmts = conv.select("conv_id", "turn", F.explode(kinds).alias("s")).select("conv_id", "turn", "s.kind", "s.q")
+    return sql_audit(stmts).select("conv_id", "turn", "kind", "allowed", "rule", "message")
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -50,9 +50,9 @@ def typed_sql(element: str, dtype: T.DataType) -> str:
     return element if tmpl is None else tmpl.format(e=element)
 
 
-def typed(x: Column | str, dtype: T.DataType) -> Column:
-    """Column form of :func:`typed_sql` (``x`` a column name or SQL text)."""
-    return F.expr(typed_sql(x if isinstance(x, str) else str(x), dtype))
+def typed(x: str, dtype: T.DataType) -> Column:
+    """Column form of :func:`typed_sql`; ``x`` is a column name or SQL text."""
+    return F.expr(typed_sql(x, dtype))
 
 
 def state_columns(arr: str = "_arr") -> list[Column]:
