@@ -18,7 +18,7 @@ from contrail.functions.time import run_stamp
 from contrail.operators.observe import observed
 from contrail.operators.quality import check_count, complete, geo_in_range, null_critical, quarantine_rows
 from contrail.operators.upsert import newer_only_order, upsert
-from contrail.plans.layers import dedup_count, gold, silver_latest
+from contrail.plans.layers import gold, silver_latest
 from contrail.sinks.store import Commit, TableStore, read_silver, with_country_part, write_quarantine
 from contrail.sources.bronze import DataQualityError, land_snapshots, landed_counts, read_states
 
@@ -116,24 +116,31 @@ def run_silver(
     as_of = stamp_epoch(run) if as_of is None else int(as_of)
 
     states = read_states(spark, path, fmt=fmt).withColumn("run_ts", F.lit(run))
+    ok = F.col("_decode_error").isNull()
+    clean = ok & complete() & F.coalesce(geo_in_range(), F.lit(False))
+    if drop_blank_country:
+        clean = clean & ~F.col("origin_country").isin(*S.MISSING_COUNTRY_MARKERS)
     states, in_obs = observed(
         states,
         "silver_input",
-        malformed=F.col("_decode_error").isNotNull(),
-        null_records=F.col("_decode_error").isNull() & null_critical(),
-        invalid_geo=F.col("_decode_error").isNull() & complete() & ~F.coalesce(geo_in_range(), F.lit(False)),
-        clean=F.col("_decode_error").isNull() & complete() & F.coalesce(geo_in_range(), F.lit(False))
-        & (~F.col("origin_country").isin(*S.MISSING_COUNTRY_MARKERS) if drop_blank_country else F.lit(True)),
+        malformed=~ok,
+        null_records=ok & null_critical(),
+        invalid_geo=ok & complete() & ~F.coalesce(geo_in_range(), F.lit(False)),
+        clean=clean,
     )
     # Two consumers (quarantine, Silver): keep the decoded run once. A lost
     # executor's blocks are recomputed from the Bronze files.
     states = states.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_in = states.count()
+        # One job fills the cache and counts both the input (gate) and the rows
+        # dedup keeps: distinct (icao24, last_contact) of clean rows, where a
+        # struct key keeps a null last_contact as its own group.
+        key = F.when(clean, F.struct("icao24", "last_contact"))
+        row = states.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("deduped")).first()
+        n_in, deduped = int(row["n"]), int(row["deduped"])
         check_count(n_in, min_rows, what=f"state vectors in run {run}")
         if quarantine_dir:
             write_quarantine(quarantine_rows(states), quarantine_dir)
-        deduped = dedup_count(states, drop_blank_country=drop_blank_country)
         new = silver_latest(states, as_of, run_ts=run, drop_blank_country=drop_blank_country)
         existing = read_silver(store)
         merged = upsert(existing, new, order_by=newer_only_order(new) if newer_only else None)
