@@ -103,7 +103,8 @@ class TableStore:
             out.close()
         if not fs.rename(tmp, final):
             raise OSError(f"could not commit {name} to {self.manifest_path}")
-        self._cache = None
+        if self._cache is not None:  # single writer: our record is the only new one
+            self._cache = [*self._cache, Row(**{f.name: rec[f.name] for f in S.MANIFEST_SCHEMA.fields})]
 
     # -- versions -----------------------------------------------------------
 
