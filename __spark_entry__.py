@@ -58,7 +58,7 @@ from contrail.plans import (
 )
 from contrail.plans.jobs import run_bronze, run_gold, run_silver
 from contrail.session import ensure_checkpoint_dir, scratch_dir
-from contrail.sinks import TableStore, read_quarantine, read_silver, write_quarantine
+from contrail.sinks import TableStore, read_quarantine, read_silver, run_config, write_quarantine
 from contrail.sources import (
     decode_states,
     land_snapshots,
@@ -222,6 +222,11 @@ def q_run_manifest(spark, d):
     return store.manifest().select("stage", "record_count")
 
 
+def q_run_config(spark, d):
+    store, _ = _pipeline(spark, d)
+    return run_config(store).select("run_ts", "total_records", "silver_record_count", "gold_record_count")
+
+
 def q_incremental_silver(spark, d):
     ensure_checkpoint_dir(spark)
     root = scratch_dir(spark, "incremental")
@@ -301,6 +306,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_layer": q_gold_layer,
     "stage_counts": q_stage_counts,
     "run_manifest": q_run_manifest,
+    "run_config": q_run_config,
     "incremental_silver": q_incremental_silver,
     "airborne_in_bbox": q_airborne_in_bbox,
     "airborne_by_origin": q_airborne_by_origin,
@@ -515,6 +521,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM (VALUES ('bronze', (SELECT input FROM c)), ('silver', (SELECT deduped FROM c)), "
             "('gold', (SELECT gold_rows FROM c))) AS t(stage, record_count)"
         ),
+        "run_config": (
+            f"{_pipeline_counts()}"
+            "SELECT '" + run_stamp(AS_OF) + "' AS run_ts, input AS total_records, deduped AS silver_record_count, "
+            "gold_rows AS gold_record_count FROM c"
+        ),
         "incremental_silver": _incremental_sql(),
         "airborne_in_bbox": (
             f"{_BASE}SELECT count(*) AS n_airborne FROM flights_gold WHERE status = '{S.STATUS_AIRBORNE}' "

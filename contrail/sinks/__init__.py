@@ -5,6 +5,7 @@ from contrail.sinks.store import (  # noqa: F401
     TableStore,
     read_quarantine,
     read_silver,
+    run_config,
     with_country_part,
     write_quarantine,
 )

@@ -148,6 +148,23 @@ class TableStore:
         return version, path
 
 
+def run_config(store: TableStore) -> DataFrame:
+    """Current view of the manifest: one row per run with the newest path and
+    record count of each stage (``raw_file_path``, ``total_records``,
+    ``silver_output_path``, …). A grouped max_by and a pivot over known stages;
+    no job until used."""
+    m = store.manifest()
+    latest = m.groupBy("run_ts", "stage").agg(
+        F.max_by(F.struct("output_path", "record_count"), "version").alias("c")
+    )
+    stages = [st for st, _, _ in S.RUN_CONFIG_KEYS]
+    wide = latest.groupBy("run_ts").pivot("stage", stages).agg(F.first("c").alias("c"))
+    cols = [F.col("run_ts")]
+    for st, path_key, count_key in S.RUN_CONFIG_KEYS:
+        cols += [F.col(st).getField("output_path").alias(path_key), F.col(st).getField("record_count").alias(count_key)]
+    return wide.select(*cols)
+
+
 # ---------------------------------------------------------------------------
 # Silver storage helpers
 # ---------------------------------------------------------------------------
