@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema as S
-from contrail.functions.decode import decode_error, state_columns
+from contrail.functions.decode import decode_error, state_columns, state_json
 
 ENVELOPE_SCHEMA = "struct<time: bigint, states: array<string>>"
 RUN_STAMP_RX = r"([0-9]{8}_[0-9]{6})"
@@ -160,8 +160,6 @@ def read_states(
 
 def to_state_lines(states: DataFrame, *extra: str) -> DataFrame:
     """Typed state vectors -> positional JSON text (``value``), plus ``extra`` columns."""
-    from contrail.functions.decode import state_json
-
     return states.select(*extra, state_json().alias("value"))
 
 
@@ -170,8 +168,6 @@ def to_envelopes(states: DataFrame, *, time_col: Column, run_col: str = "run_ts"
 
     One envelope per state keeps every row independent (no grouping of a whole
     run into one value)."""
-    from contrail.functions.decode import state_json
-
     body = F.concat(
         F.lit('{"time":'),
         F.coalesce(time_col.cast("string"), F.lit("null")),
