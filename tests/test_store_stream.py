@@ -4,6 +4,8 @@ import contextlib
 import io
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from contrail import schema as S
@@ -214,3 +216,16 @@ def test_incremental_archives_processed_files(spark, scratch):
     base = scratch.replace("file:", "")
     archived = glob.glob(f"{base}/archive/**/*.txt", recursive=True)
     assert archived
+
+
+@pytest.mark.parametrize("newer_only,expect", [(False, "OLDER"), (True, "NEWER")])
+def test_silver_job_late_snapshot(spark, scratch, newer_only, expect):
+    store = TableStore(spark, f"{scratch}/store")
+    newer = {"20231114_230000": [_js("000001", "NEWER", NOW)]}
+    older = {"20231114_220000": [_js("000001", "OLDER", NOW - 3600)]}
+    run_bronze(spark, _envelopes(spark, newer), f"{scratch}/bronze", store, min_rows=1)
+    run_silver(spark, store, min_rows=1)
+    # the older snapshot arrives late and is processed afterwards
+    run_bronze(spark, _envelopes(spark, older), f"{scratch}/bronze", store, min_rows=1)
+    run_silver(spark, store, run="20231114_220000", min_rows=1, newer_only=newer_only)
+    assert [r.callsign for r in read_silver(store).collect()] == [expect]
