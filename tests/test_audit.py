@@ -49,3 +49,43 @@ def test_gold_sql_guards_and_runs(spark):
     assert gold_sql(spark, "SELECT count(*) AS n FROM flights_gold").first().n == 1
     with pytest.raises(UnsafeQueryError, match="Blocked keyword detected: DROP"):
         gold_sql(spark, "SELECT 1; DROP TABLE flights_gold")
+
+
+# Python-side evaluation of the same rules, used as the oracle for parity.
+def _python_rule(sql: str):
+    import re
+
+    from contrail import schema as S
+
+    q = sql.strip().upper()
+    if not q.startswith(S.GUARD_PREFIX):
+        return "not_select"
+    for kw in S.GUARD_KEYWORDS:
+        if kw in q:
+            return kw
+    for pat in S.GUARD_PATTERNS:
+        if re.search(pat, q):
+            return pat
+    return None
+
+
+def test_guard_matches_python_rules_on_random_statements(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    pieces = st.sampled_from([
+        "select", "SELECT ", " from t", " union ", " union all ", "select", ";", "; ", "--", "/*", "*/",
+        "xp_", "drop", "created_at", "exec", "é", "ü", "_", "1", " ", "\t", "\n", "\x0b", "\x1c", "\xa0",
+        " ", "　", "'", "a", "Z",
+    ])
+    stmts = st.lists(st.text(st.sampled_from("ab;- \t\n\x0b\xa0 é1_"), max_size=3) | pieces, max_size=8).map("".join)
+
+    @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(stmts, min_size=1, max_size=30))
+    def check(batch):
+        df = spark.createDataFrame([(i, q) for i, q in enumerate(batch)], "stmt_id bigint, q string")
+        got = {r.stmt_id: r.rule for r in sql_audit(df).collect()}
+        for i, q in enumerate(batch):
+            assert got[i] == _python_rule(q), (q, got[i], _python_rule(q))
+
+    check()
