@@ -44,11 +44,12 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.manifest_path = f"{self.root}/_manifest"
-        self._cache: list[Row] | None = None
+        self._cache: dict | None = None  # stage -> (newest commit, max batch id)
 
     # -- manifest -----------------------------------------------------------
-    # The manifest is tiny (one row per commit); its rows are kept on the
-    # driver after a read and refreshed after every commit by this writer.
+    # The manifest grows by one record per commit. The driver only keeps a
+    # bounded summary of it: per stage the newest commit and the highest
+    # committed batch id (streaming batch ids only increase; single writer).
 
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -64,22 +65,29 @@ class TableStore:
             return self.spark.createDataFrame([], S.MANIFEST_SCHEMA)
         return self.spark.read.schema(S.MANIFEST_SCHEMA).json(self.manifest_path)
 
-    def _rows(self) -> list[Row]:
+    def _summary(self) -> dict:
         if self._cache is None:
-            self._cache = self.manifest().collect()
+            m = self.manifest()
+            rows = m.groupBy("stage").agg(
+                F.max_by(F.struct(*m.columns), "version").alias("latest"),
+                F.max("batch_id").alias("max_batch"),
+            ).collect()
+            self._cache = {r["stage"]: (r["latest"], r["max_batch"]) for r in rows}
         return self._cache
 
     def current(self, stage: str) -> Row | None:
-        rows = [r for r in self._rows() if r["stage"] == stage and r["version"] is not None]
-        return max(rows, key=lambda r: r["version"]) if rows else None
+        entry = self._summary().get(stage)
+        return entry[0] if entry else None
 
     def find(self, stage: str, run_ts: str) -> Row | None:
-        """The newest commit of ``stage`` for ``run_ts``."""
-        rows = [r for r in self._rows() if r["stage"] == stage and r["run_ts"] == run_ts]
-        return max(rows, key=lambda r: r["version"]) if rows else None
+        """The newest commit of ``stage`` for ``run_ts`` (one-row query)."""
+        m = self.manifest().filter((F.col("stage") == stage) & (F.col("run_ts") == run_ts))
+        row = m.agg(F.max_by(F.struct(*m.columns), "version").alias("r")).first()
+        return row["r"] if row is not None and row["r"] is not None else None
 
     def committed_batch(self, stage: str, batch_id: int) -> bool:
-        return any(r["stage"] == stage and r["batch_id"] == batch_id for r in self._rows())
+        entry = self._summary().get(stage)
+        return entry is not None and entry[1] is not None and batch_id <= entry[1]
 
     def commit(self, c: Commit) -> None:
         """Append one commit record: a small JSON file written under a hidden
@@ -104,7 +112,11 @@ class TableStore:
         if not fs.rename(tmp, final):
             raise OSError(f"could not commit {name} to {self.manifest_path}")
         if self._cache is not None:  # single writer: our record is the only new one
-            self._cache = [*self._cache, Row(**{f.name: rec[f.name] for f in S.MANIFEST_SCHEMA.fields})]
+            row = Row(**{f.name: rec[f.name] for f in S.MANIFEST_SCHEMA.fields})
+            _, max_batch = self._cache.get(c.stage, (None, None))
+            if c.batch_id is not None:
+                max_batch = c.batch_id if max_batch is None else max(max_batch, c.batch_id)
+            self._cache[c.stage] = (row, max_batch)
 
     # -- versions -----------------------------------------------------------
 
