@@ -229,3 +229,18 @@ def test_silver_job_late_snapshot(spark, scratch, newer_only, expect):
     run_bronze(spark, _envelopes(spark, older), f"{scratch}/bronze", store, min_rows=1)
     run_silver(spark, store, run="20231114_220000", min_rows=1, newer_only=newer_only)
     assert [r.callsign for r in read_silver(store).collect()] == [expect]
+
+
+def test_incremental_late_arrival_does_not_overwrite(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    newer = {"20231115_120000": [_js("000001", "NEWER", NOW + 86400), _js("000002", "ONLY_NEW", NOW)]}
+    older = {"20231114_120000": [_js("000001", "OLDER", NOW), _js("000003", "ONLY_OLD", NOW)]}
+    land_snapshots(_envelopes(spark, newer), f"{scratch}/bronze")
+    run_incremental(spark, f"{scratch}/bronze", store, f"{scratch}/ckpt").awaitTermination()
+    # the older snapshot lands afterwards (later modification time) and is streamed next
+    land_snapshots(_envelopes(spark, older), f"{scratch}/bronze")
+    q = run_incremental(spark, f"{scratch}/bronze", store, f"{scratch}/ckpt")
+    q.awaitTermination()
+    assert q.exception() is None
+    table = {r.icao24: r.callsign for r in read_silver(store).collect()}
+    assert table == {"000001": "NEWER", "000002": "ONLY_NEW", "000003": "ONLY_OLD"}
