@@ -15,10 +15,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "contrail") -> SparkSession:
-    """Session for tests and local benchmarks (UI off, AQE on)."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "contrail", event_log_dir: str | None = None
+) -> SparkSession:
+    """Session for tests and local benchmarks (UI off, AQE on). With
+    ``event_log_dir`` Spark writes its event log there (job/stage/task times)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
