@@ -121,14 +121,14 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--local", type=int, default=0, help="run on local[N] instead of the configured cluster")
     sub = p.add_subparsers(dest="command", required=True)
 
-    s = sub.add_parser("land")
+    s = sub.add_parser("land", help="land API response files as Bronze runs (gated, committed)")
     s.add_argument("--responses", required=True, help="folder of API response JSON files")
     s.add_argument("--bronze", required=True)
     s.add_argument("--store", required=True)
     s.add_argument("--run-ts", help="run stamp yyyyMMdd_HHmmss (default: from each file name)")
     s.add_argument("--min-rows", type=int, default=1000)
 
-    s = sub.add_parser("silver")
+    s = sub.add_parser("silver", help="process a committed Bronze run into the Silver table")
     s.add_argument("--store", required=True)
     s.add_argument("--run")
     s.add_argument("--as-of", type=int)
@@ -137,12 +137,12 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--newer-only", action="store_true")
     s.add_argument("--drop-blank-country", action="store_true")
 
-    s = sub.add_parser("gold")
+    s = sub.add_parser("gold", help="rewrite Gold from the current Silver table")
     s.add_argument("--store", required=True)
     s.add_argument("--partition-by-country", action="store_true")
     s.add_argument("--restatus-as-of", type=int)
 
-    s = sub.add_parser("incremental")
+    s = sub.add_parser("incremental", help="stream new Bronze files into Silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--store", required=True)
     s.add_argument("--checkpoint", required=True)
@@ -152,7 +152,7 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--quarantine")
     s.add_argument("--archive")
 
-    s = sub.add_parser("sql")
+    s = sub.add_parser("sql", help="guarded read-only SQL over flights_gold")
     s.add_argument("--store", required=True)
     s.add_argument("query")
     s.add_argument("--output", help="write the whole result as Parquet here")
