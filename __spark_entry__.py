@@ -71,6 +71,14 @@ from contrail.sources import (
 from contrail.sources.fixture import AS_OF, DUCKDB_VIEW, day_end_epoch
 from contrail.streaming import run_incremental
 
+try:  # the training-data operators; everything else works without them
+    import corpus_pipeline
+    from contrail.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "contrail.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # Parameters of the registered questions.
@@ -325,7 +333,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    if llm_queries is None:
+        return dict(_QUERIES)
+    return {**_QUERIES, **llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 # ---------------------------------------------------------------------------
@@ -475,7 +485,10 @@ def oracle_sql() -> dict[str, str]:
     v = f"WITH {DUCKDB_VIEW.strip()}\n"
     silver_all = f"{_BASE}, dd AS ({_winner('clean', 'icao24, last_contact', _DEDUP_ORDER)})\n"
     complete = f"SELECT * FROM sv WHERE {_COMPLETE}"
-    return {
+    more = {} if llm_queries is None else dict(llm_queries.ORACLE_SQL)
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return more | {
         "bronze_decode": f"{v}SELECT {cols} FROM sv",
         "land_snapshots": f"{v}SELECT run_ts, count(*) AS n_states, count(*) AS n_decoded FROM sv GROUP BY run_ts",
         "latest_snapshot": (
