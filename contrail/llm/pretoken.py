@@ -105,76 +105,195 @@ class PreTokens:
         self.first = np.searchsorted(self.starts, self.bounds)  # of each text, and the total
         self.hash = span_hashes(chars, self.starts, self.ends)
 
+    @classmethod
+    def of_words(cls, words: list[str]) -> PreTokens:
+        """Given pre-tokens, not split again."""
+        pre = cls.__new__(cls)
+        pre.text = "".join(words)
+        pre.chars = np.frombuffer(pre.text.encode("utf-32-le", "replace"), np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        pre.starts, pre.ends = np.concatenate(([0], ends[:-1])), ends
+        pre.bounds, pre.first = np.array([0, len(pre.chars)]), np.array([0, len(words)])
+        pre.hash = span_hashes(pre.chars, pre.starts, pre.ends)
+        return pre
+
     def __getitem__(self, i: int) -> str:
         return self.text[self.starts[i] : self.ends[i]]
 
 
 class Coder:
-    """Ids of pre-tokens, each distinct one encoded once and kept while there is room.
+    """What a codec makes of pre-tokens, each distinct one coded once and kept while there is room.
 
-    ``encode`` turns a list of pre-tokens into a list of id lists. The store is a
-    sorted hash table with the ids one after another; it starts afresh when it holds
-    ``most`` words, so its memory doesn't grow with the input.
+    ``code`` turns a list of pre-tokens into payloads, each (size for each pre-token, all values in
+    order); the first payload is the ids. The store is an open-addressing table from hash to place
+    in the payloads' arrays. When it holds ``most`` words, those that were looked up only once
+    leave, so its memory doesn't grow with the input.
     """
 
-    def __init__(self, encode, most: int = 600_000):
-        self.encode, self.most = encode, most
-        self._clear()
+    SLOT_BITS = 22
+
+    def __init__(self, code, most: int = 1_200_000):
+        self.code, self.most = code, most
+        self.keys, self.uses, self.payloads = np.zeros(0, np.uint64), np.zeros(0, np.int64), None
+        self.slot = np.full(1 << self.SLOT_BITS, -1, np.int32)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.SLOT_BITS)).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Index of each key among those held, -1 for an unknown one."""
+        found = np.full(len(keys), -1, np.int32)
+        place, pending = self._place(keys), np.arange(len(keys))
+        while len(pending):
+            index = self.slot[place]
+            hit = index >= 0
+            hit[hit] = self.keys[index[hit]] == keys[pending[hit]]
+            found[pending[hit]] = index[hit]
+            go_on = (index >= 0) & ~hit
+            pending, place = pending[go_on], (place[go_on] + 1) & (len(self.slot) - 1)
+        return found
 
-    def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    def _enter(self, index: np.ndarray) -> None:
+        """Fill the slots of the keys at ``index``."""
+        place = self._place(self.keys[index])
+        while len(index):
+            free = self.slot[place] < 0
+            self.slot[place[free]] = index[free]
+            lost = self.slot[place] != index
+            index, place = index[lost], (place[lost] + 1) & (len(self.slot) - 1)
+
+    def _shrink(self) -> None:
+        """Keep the words used most, half of ``most`` of them at the most."""
+        often = np.flatnonzero(self.uses > 1)
+        if len(often) > self.most // 2:
+            often = np.sort(often[np.argsort(-self.uses[often], kind="stable")[: self.most // 2]])
+        self.keys, self.uses = self.keys[often], np.ones(len(often), np.int64)
+        for k, (at, size, data) in enumerate(self.payloads):
+            at, size = at[often], size[often]
+            ends = np.cumsum(size)
+            self.payloads[k] = (ends - size, size, _gather(data, at, size))
+        self.slot[:] = -1
+        self._enter(np.arange(len(often), dtype=np.int32))
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        if len(self.keys) + len(keys) > self.most and len(self.keys):
-            self._clear()
-        got = self.encode(words)
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.concatenate([np.asarray(x, np.uint32) for x in got]) if len(got) else np.zeros(0, np.uint32)
-        at = len(self.ids) + np.cumsum(size) - size
-        keys = np.concatenate((self.keys, keys))
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.at = np.concatenate((self.at, at))[order]
-        self.size = np.concatenate((self.size, size))[order]
-        self.ids = np.concatenate((self.ids, flat))
-
-    def lookup(self, pre: PreTokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in ids, number of ids) of each pre-token, and ids."""
-        keys, where, back = np.unique(pre.hash, return_index=True, return_inverse=True)
-        long = (pre.ends - pre.starts)[where] > HASHED_CHARS
-        at = np.searchsorted(self.keys, keys)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == keys[known]
-        new = np.flatnonzero(~known & ~long)
-        if len(new):
-            if len(self.keys) + len(new) > self.most:
-                new = np.flatnonzero(~long)
-                self._clear()
-            self._learn(keys[new], [pre[i] for i in where[new]])
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        place = self.at[at][back] if len(self.keys) else np.zeros(len(back), np.int64)
-        size = self.size[at][back] if len(self.keys) else np.zeros(len(back), np.int64)
-        ids = self.ids
-        far = np.flatnonzero(pre.ends - pre.starts > HASHED_CHARS)
+        """Keep new, distinct keys."""
+        got = self.code(words)
+        if self.payloads is None:
+            self.payloads = [(np.zeros(0, np.int64), np.zeros(0, np.int64), data[:0]) for _, data in got]
+        for k, (size, data) in enumerate(got):
+            at0, size0, data0 = self.payloads[k]
+            at = len(data0) + np.cumsum(size) - size
+            self.payloads[k] = (np.concatenate((at0, at)), np.concatenate((size0, size)), np.concatenate((data0, data)))
+        index = np.arange(len(self.keys), len(self.keys) + len(keys), dtype=np.int32)
+        self.keys = np.concatenate((self.keys, keys))
+        self.uses = np.concatenate((self.uses, np.zeros(len(keys), np.int64)))
+        self._enter(index)
+
+    def lookup(self, pre: PreTokens) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each payload: place and size of each pre-token's values, and the values."""
+        if not len(pre.starts):
+            return [(np.zeros(0, np.int64), np.zeros(0, np.int64), x[2]) for x in self.payloads or []]
+        long = pre.ends - pre.starts > HASHED_CHARS
+        if len(self.keys) + len(pre.starts) > self.most and len(self.keys) > self.most // 2:
+            self._shrink()
+        found = self._find(pre.hash)
+        unknown = np.flatnonzero((found < 0) & ~long)
+        if len(unknown):
+            keys, first = np.unique(pre.hash[unknown], return_index=True)
+            self._learn(keys, [pre[i] for i in unknown[first].tolist()])
+            found[unknown] = self._find(pre.hash[unknown])
+        short, far = found[~long], np.flatnonzero(long)
+        self.uses += np.bincount(short, minlength=len(self.keys))
+        extra = None
         if len(far):
-            texts = [pre[i] for i in far]
-            distinct = list(dict.fromkeys(texts))
-            coded = dict(zip(distinct, self.encode(distinct), strict=True))
-            sizes = np.array([len(coded[t]) for t in texts], np.int64)
-            place[far] = len(ids) + np.cumsum(sizes) - sizes
-            size[far] = sizes
-            ids = np.concatenate([ids, *(np.asarray(coded[t], np.uint32) for t in texts)])
-        return place, size, ids
-
-    def ids_of(self, pre: PreTokens) -> tuple[np.ndarray, np.ndarray]:
+            texts = [pre[i] for i in far.tolist()]
+            distinct = {t: k for k, t in enumerate(dict.fromkeys(texts))}
+            extra = self.code(list(distinct))
+            which = np.array([distinct[t] for t in texts])
+        out = []
+        for k in range(len(self.payloads or extra)):
+            at, size, data = self.payloads[k] if self.payloads else (np.zeros(1, np.int64), np.zeros(1, np.int64), extra[k][1][:0])
+            place, n = at[found], size[found]
+            if extra:
+                more, values = extra[k]
+                place[far], n[far] = (len(data) + np.cumsum(more) - more)[which], more[which]
+                data = np.concatenate((data, values))
+            out.append((place, n, data))
+        return out
+
+    def ids_of(self, pre: PreTokens, payload: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and the bounds of each text in them."""
-        place, size, ids = self.lookup(pre)
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        out = ids[np.repeat(place - (ends - size), size) + np.arange(total)] if total else np.zeros(0, np.uint32)
-        bounds = np.concatenate(([0], ends))[pre.first]
-        return out, bounds
+        return self.spread(pre, self.lookup(pre))[payload]
+
+    def spread(self, pre: PreTokens, found: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The payloads' values in text order, and the bounds of each text in them."""
+        out = [(_gather(data, at, n), np.concatenate(([0], np.cumsum(n)))[pre.first]) for at, n, data in found]
+        return out or [(np.zeros(0, np.uint32), np.zeros(len(pre.bounds), np.int64))] * 2
+
+
+def _gather(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """data[at:at + size] of all pairs, one after another."""
+    ends = np.cumsum(size)
+    if not len(ends) or not ends[-1]:
+        return data[:0]
+    return data[np.repeat(at - (ends - size), size) + np.arange(ends[-1])]
+
+
+def encode_words(words: list[str], encode, widths: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """[(number of ids of each pre-token, all ids)] with few calls of a library.
+
+    ``encode`` gives a text's ids and ``widths`` each id's bytes. Pre-tokens of letters are
+    encoded many at a time: with a space before them they stay apart in one text; without, a line
+    feed, itself one id, parts them. All others are encoded one by one.
+    """
+    sizes, parts = np.zeros(len(words), np.int64), [None] * len(words)
+    spaced, bare, rest = [], [], []
+    for i, w in enumerate(words):
+        (spaced if w[0] == " " and w[1:].isalpha() else bare if w.isalpha() else rest).append(i)
+    for which, mark in ((spaced, ""), (bare, "\n")):
+        for k in range(0, len(which), 20_000):
+            some = which[k : k + 20_000]
+            ids = np.asarray(encode(mark.join([*(words[i] for i in some), ""])), np.uint32)
+            ends = np.cumsum(widths[ids])
+            stop = np.cumsum([len(words[i].encode()) + len(mark) for i in some])
+            bounds = np.searchsorted(ends, stop, side="left") + 1
+            if not np.array_equal(ends[bounds - 1], stop):  # a sign that the library splits otherwise
+                rest += some
+                continue
+            start = np.concatenate(([0], bounds[:-1]))
+            for i, s, e in zip(some, start.tolist(), (bounds - len(mark)).tolist(), strict=True):
+                parts[i] = ids[s:e]
+    for i in rest:
+        parts[i] = np.asarray(encode(words[i]), np.uint32)
+    sizes[:] = [len(x) for x in parts]
+    return [(sizes, np.concatenate(parts).astype(np.uint32))]
+
+
+@cache
+def id_widths(path: str) -> np.ndarray:
+    """Bytes of each id of a rank file."""
+    table = ranks(path)
+    out = np.zeros(max(table.values()) + 1, np.int64)
+    for token, rank in table.items():
+        out[rank] = len(token)
+    return out
+
+
+def public_file(name: str) -> str:
+    """A file by its path, or a public tokenizer's file by its bare name."""
+    import os
+
+    import public_tokenizers
+
+    return name if os.path.sep in name else public_tokenizers.path(name)
+
+
+@cache
+def rank_coder(name: str) -> Coder:
+    """A Coder over a rank file, kept by the worker from task to task."""
+    path = public_file(name)
+    encode = encoding(path).encode_ordinary
+    return Coder(lambda words: encode_words(words, encode, id_widths(path)))
 
 
 def batches(column: pa.Array | pa.ChunkedArray):

@@ -7,20 +7,93 @@ the contract's columns from the operator's output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from contrail.llm import simhash
+from contrail.llm import ann, bpe, packing, quality, quality_rules, simhash, token_count, toxicity, url_filter
+from contrail.llm.labelled import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, expected_grade, tail_probability, kept."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    out = quality.score(docs.select("doc_id", "text"), model, drop_text=True)
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "expected_grade", "tail_probability", "kept")
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, block_probability. The labelled table: the urls that a rule decides."""
+    pages = _table(spark, sf_dir, "pages")
+    ruled = url_filter.rule_column(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")))
+    labelled = pages.select("url", (ruled["verdict"] == url_filter.BLOCK).alias("blocked"))
+    return url_filter.judge(pages, url_filter.train(labelled))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after three edits taken from its own columns:
+    its source goes in front, 40 characters at a third go, 10 at two thirds become its language."""
+    docs = _table(spark, sf_dir, "documents")
+    n = F.length(F.coalesce("text", F.lit("")))
+
+    def edit(start, size, text):
+        return F.struct(start.cast("int").alias("start"), (start + size).cast("int").alias("stop"), text.alias("text"))
+
+    edits = F.array(
+        edit(F.lit(0), F.lit(0), F.concat(F.col("source"), F.lit(" "))),
+        edit(F.floor(n / 3), F.lit(40), F.lit("")),
+        edit(F.floor(2 * n / 3), F.lit(10), F.col("lang")),
+    )
+    return token_count.count_with_edits(docs.select("doc_id", "text", edits.alias("edits")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted, is_toxic (by the threshold of the document's language)."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs.select("doc_id", "text", "lang"), model, drop_text=True)
+    return out.select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "is_toxic",
+    )
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed"
+    )
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_url_filters": op2_url_filters,
     "op3_simhash": op3_simhash,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_token_counts": op5_token_counts,
+    "op6_toxicity": op6_toxicity,
+    "op8_bpe": op8_bpe,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

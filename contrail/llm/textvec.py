@@ -26,6 +26,9 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators of alphanumeric words: ASCII signs that are neither digit nor letter.
+SIGNS = np.zeros(256, bool)
+SIGNS[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -100,15 +103,15 @@ def text_slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.nd
 
 
 class Words:
-    """The words (maximal runs without ASCII white space) of some texts.
+    """The words (maximal runs without a separator byte, by default ASCII white space) of some texts.
 
     ``starts`` and ``ends`` are byte places, ``doc`` the text of each word,
     ``bytes`` the texts' bytes (A-Z lower-cased if ``lower``).
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True, separators=_SPACE):
         self.bytes, self.n_docs = (_LOWER[data] if lower else data), len(offsets) - 1
-        inside = ~_SPACE[data]
+        inside = ~separators[data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
