@@ -4,9 +4,9 @@ P(grade <= k) = sigmoid(cut_k - x.w) with one weight vector w over hashed featur
 all grades, and ordered cut points cut_0 < cut_1 < ... . It gives each document an expected grade
 and the probability of the top grades, by which documents are selected.
 
-Features are frequencies, so a text of any length is scored whole in one pass: hashed byte
-trigrams, hashed word shapes (upper case, digits, signs, length) and whether a word repeats the one
-before. The model is fitted on the driver, on a bounded sample of labelled rows (``FIT_ROWS``).
+Features are square roots of frequencies, so no word or trigram outweighs the rest and a text of any
+length is scored whole in one pass: hashed byte
+trigrams, hashed word shapes (case, digits, signs, length) and four signs of odd words. The model is fitted on the driver, on a bounded sample of labelled rows (``FIT_ROWS``).
 
 Null text reads as empty, an empty text scores by the cut points alone. Repeated rows stay. With no
 labelled row, grades and probabilities are null and all documents are kept; with a single grade that
@@ -15,6 +15,7 @@ grade is certain. An empty table gives no rows. Columns of the input that clash
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,15 +25,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.llm.labelled import labelled_sample
-from contrail.llm.textvec import Words, doc_sums, mix, prepare, text_slices
+from contrail.llm.textvec import Words, mix, prepare, text_slices
 
 #: Most labelled rows that the model is fitted on.
 FIT_ROWS = 4_096
 #: A document is kept if P(grade is at least the selected one) reaches this.
-KEEP_PROBABILITY = 0.5
+KEEP_PROBABILITY = 0.4
 TRIGRAM_BITS, SHAPE_BITS = 12, 9
-N_FEATURES = (1 << TRIGRAM_BITS) + (1 << SHAPE_BITS)
-_ROUNDS, _RATE, _RIDGE = 400, 0.05, 2e-3
+#: Signs of a word: repeats the one before, has no letter or digit, is upper-case, ends in two signs.
+FLAGS = 4
+N_FEATURES = (1 << TRIGRAM_BITS) + (1 << SHAPE_BITS) + FLAGS
+_ROWS = 256
+_ROUNDS, _RATE, _RIDGE = 300, 0.01, 5e-2
 
 _KIND = np.full(256, 4, np.uint8)  # 0 lower, 1 upper, 2 digit, 3 sign, 4 beyond ASCII
 _KIND[:128] = 3
@@ -70,15 +74,32 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, n
         shape = np.zeros(len(h), np.uint64)
         for count in (*has, size):
             shape = shape * np.uint64(4) + np.minimum(count, 3).astype(np.uint64)
-        upper_only = (has[1] > 1) & (has[0] == 0)
-        shape = shape * np.uint64(4) + upper_only * np.uint64(2) + again
         shape = (mix(shape) >> np.uint64(64 - SHAPE_BITS)).astype(np.int64)
+        sign = _KIND[data] == 3
+        flags = [again, (has[0] + has[1] + has[2] + has[4]) == 0, (has[1] > 1) & (has[0] == 0),
+                 (size > 2) & sign[w.ends - 1] & sign[np.maximum(w.ends - 2, 0)]]
     else:
-        shape = np.zeros(0, np.int64)
+        shape, flags = np.zeros(0, np.int64), [np.zeros(0, bool)] * FLAGS
     groups.append((shape + (1 << TRIGRAM_BITS), w.first_word))
+    for k, flag in enumerate(flags):  # the words without the sign go to the last feature, which isn't used
+        groups.append((np.where(flag, N_FEATURES - FLAGS + k, N_FEATURES), w.first_word))
     return groups
 
 
+def vectors(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of root frequencies, _ROWS texts at a time: in each group of features the squares sum to 1."""
+    groups = _features(data, offsets)
+    for first in range(0, len(offsets) - 1, _ROWS):
+        last = min(first + _ROWS, len(offsets) - 1)
+        out = np.zeros((last - first, N_FEATURES), np.float32)
+        for which, bounds in groups:
+            for d in range(first, last):
+                own = which[bounds[d] : bounds[d + 1]]
+                if len(own):
+                    out[d - first] += np.sqrt(np.bincount(own, minlength=N_FEATURES + 1)[:-1] / len(own))
+        yield out
+
+
 @dataclass
 class OrdinalModel:
     """Weights by hashed feature, cut points and the grades in order."""
@@ -90,10 +111,7 @@ class OrdinalModel:
     def logits(self, column) -> np.ndarray:
         out = []
         for _, data, offsets in text_slices(column):
-            total = np.zeros(len(offsets) - 1)
-            for at, bounds in _features(data, offsets):
-                total += doc_sums(self.weights[at], bounds) / np.maximum(np.diff(bounds), 1)
-            out.append(total)
+            out += [x @ self.weights for x in vectors(data, offsets)]
         return np.concatenate(out) if out else np.zeros(0)
 
     def at_least(self, logits: np.ndarray) -> np.ndarray:
@@ -105,7 +123,7 @@ class OrdinalModel:
 
 
 def fit_ordinal(x: np.ndarray, y: np.ndarray) -> OrdinalModel:
-    """Maximum likelihood with a ridge, by Adam on the whole sample. x: frequencies, y: grades."""
+    """Maximum likelihood with a ridge, by Adam on the whole sample. x: feature rows (changed in place), y: grades."""
     grades = np.unique(y)
     k = np.searchsorted(grades, y)
     if len(grades) == 1:
@@ -114,7 +132,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray) -> OrdinalModel:
     x -= mean
     scale = 1 / np.maximum(x.std(0), 1e-4)
     scale[x.std(0) == 0] = 0
-    x *= scale / np.sqrt(x.shape[1])
+    x *= scale
     n, m = x.shape
     share = np.cumsum(np.bincount(k, minlength=len(grades)))[:-1] / n
     start = np.log(share / (1 - share))
@@ -140,7 +158,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray) -> OrdinalModel:
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
         p = (p - _RATE * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
-    weights = p[:m] * scale / np.sqrt(m)
+    weights = p[:m] * scale
     cuts = p[m] + np.concatenate(([0], np.cumsum(np.exp(p[m + 1 :]))))
     return OrdinalModel(weights.astype(np.float64), cuts + mean @ weights, grades)
 
@@ -156,13 +174,7 @@ def train(
         for batch in batches:
             at, value = [], []
             for _, data, offsets in text_slices(batch.column("text")):
-                groups = _features(data, offsets)
-                for d in range(len(offsets) - 1):
-                    x = np.zeros(N_FEATURES, np.float32)
-                    for which, bounds in groups:
-                        own = which[bounds[d] : bounds[d + 1]]
-                        if len(own):
-                            x += np.bincount(own, minlength=N_FEATURES).astype(np.float32) / len(own)
+                for x in (row for part in vectors(data, offsets) for row in part):
                     some = np.flatnonzero(x)
                     at.append(some.astype(np.uint16).tobytes())
                     value.append(x[some].tobytes())

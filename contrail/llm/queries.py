@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import ann, bpe, packing, quality, quality_rules, simhash, token_count, toxicity, url_filter
+from contrail.llm import ann, bpe, licenses, packing, quality, quality_rules, simhash, token_count, toxicity, url_filter
 from contrail.llm.labelled import held_out
 
 
@@ -69,6 +69,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ QUERIES = {
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_license_scans": op7_license_scans,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
