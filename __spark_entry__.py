@@ -11,7 +11,6 @@ engines in ``contrail.sources.fixture``. Every query reads the whole tables.
 
 from __future__ import annotations
 
-import datetime as _dt
 import os
 import sys
 from collections.abc import Callable
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema as S
-from contrail.functions.time import run_stamp
+from contrail.functions.time import run_stamp, run_ts_to_epoch
 from contrail.operators import (
     complete_rows,
     dedup_states,
@@ -41,11 +40,14 @@ from contrail.operators import (
     upsert,
     valid_geo,
 )
+from contrail.operators.dedup import pick_winner
 from contrail.operators.quality import clean_rows
+from contrail.operators.upsert import newer_only_order
 from contrail.plans import (
     adsb_share,
     airborne,
     climb_descend,
+    derive_silver,
     gold,
     gold_sql,
     inactive_flights,
@@ -56,7 +58,7 @@ from contrail.plans import (
     top_countries,
     visible,
 )
-from contrail.plans.jobs import run_bronze, run_gold, run_silver
+from contrail.plans.jobs import RunResult, read_gold, run_bronze, run_gold, run_silver_pending
 from contrail.session import ensure_checkpoint_dir, scratch_dir
 from contrail.sinks import TableStore, read_quarantine, read_silver, run_config, write_quarantine
 from contrail.sources import (
@@ -68,7 +70,7 @@ from contrail.sources import (
     to_envelopes,
     to_state_lines,
 )
-from contrail.sources.fixture import AS_OF, DUCKDB_VIEW, day_end_epoch
+from contrail.sources.fixture import AS_OF, DUCKDB_VIEW
 from contrail.streaming import run_incremental
 
 try:  # the training-data operators; everything else works without them
@@ -90,6 +92,14 @@ GOLD_SQL = (
 )
 TEMPLATE_PREFIX = "SELECT * FROM flights_gold WHERE callsign = '"
 INCREMENTAL_FILES_PER_TRIGGER = 10
+FIRST_RUN_AS_OF = AS_OF - 15 * 86400  # the pipeline's first run holds the snapshots up to this instant
+
+# Lines that replace the regular ones in the decode checks, by the fixture's k (= 10 * vertical_rate + 50).
+K_CUT, K_SHORT, K_SUFFIX, K_EPOCH, K_LIST = 91, 90, 89, 88, 87
+SHORT_LINE = '["a","b"]'
+SUFFIX_LINE = '["00x089","S","X",1,2,3.5,"12d",0,false,0,0,0,[1,2],0,"1200",false,0]'
+EPOCH_LINE = '["00x088","E","X",1,253402300800,3.5,4.5,0,false,0,0,0,null,0,"1200",false,0]'
+LIST_LINE = '["00x087","L","X",1,2,3.5,4.5,10,true,0,0,0,[1,2],7.5,"7700",true,1]'
 
 
 # ---------------------------------------------------------------------------
@@ -106,9 +116,23 @@ def _gold(spark: SparkSession, d: str) -> DataFrame:
     return gold(silver_latest(_sv(spark, d), AS_OF))
 
 
+def _decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The fixture as JSON lines, some of them damaged, decoded again (with ``run_ts``)."""
+    sv = _sv(spark, d).withColumn("k", F.round(F.col("vertical_rate") * 10 + 50).cast("int"))
+    k, line = F.col("k"), F.col("value")
+    broken = (
+        F.when(k == K_CUT, F.substring(line, 1, 9))
+        .when(k == K_SHORT, F.lit(SHORT_LINE))
+        .when(k == K_SUFFIX, F.lit(SUFFIX_LINE))
+        .when(k == K_EPOCH, F.lit(EPOCH_LINE))
+        .when(k == K_LIST, F.lit(LIST_LINE))
+        .otherwise(line)
+    )
+    return decode_states(to_state_lines(sv, "k", "run_ts").select("run_ts", broken.alias("value")))
+
+
 def q_bronze_decode(spark, d):
-    lines = to_state_lines(_sv(spark, d))
-    return decode_states(lines).select(*S.STATE_COLUMNS)
+    return _decoded(spark, d).select(*S.STATE_COLUMNS, "_decode_error", "_raw")
 
 
 def q_land_snapshots(spark, d):
@@ -162,8 +186,8 @@ def q_invalid_geo_distinct(spark, d):
 def q_quarantine(spark, d):
     ensure_checkpoint_dir(spark)
     path = scratch_dir(spark, "quarantine")
-    write_quarantine(quarantine_rows(_sv(spark, d)), path)
-    return read_quarantine(spark, path).select(*S.STATE_COLUMNS, "dq_reason", "run_ts")
+    write_quarantine(quarantine_rows(_decoded(spark, d)), path)
+    return read_quarantine(spark, path).select(*S.STATE_COLUMNS, "_decode_error", "_raw", "dq_reason", "run_ts")
 
 
 def q_dedup_states(spark, d):
@@ -190,44 +214,71 @@ def q_silver_layer(spark, d):
     return visible(silver(_sv(spark, d), AS_OF))
 
 
-def q_silver_upsert(spark, d):
-    sv = _sv(spark, d)
-    last_day = sv.agg(F.max("snapshot_day")).first()[0]
-    prev_as_of = day_end_epoch(last_day - _dt.timedelta(days=1))
-    new_as_of = day_end_epoch(last_day)
-    existing = silver_latest(
-        sv.filter(F.col("snapshot_day") < F.lit(last_day)), prev_as_of, run_ts=run_stamp(prev_as_of)
+def _two_sides(spark, d, days_shared: int) -> tuple[DataFrame, DataFrame]:
+    """Silver rows, one per aircraft, of two runs: the snapshots before the last day, and those of the
+    last day (and ``days_shared`` days before it, which are then in both runs). One reduction for both sides."""
+    sv = clean_rows(_sv(spark, d))
+    last = sv.agg(F.max("snapshot_day")).scalar()
+    day = F.col("snapshot_day")
+    sides = F.array_compact(F.array(F.when(day < last, F.lit(0)), F.when(day >= F.date_sub(last, days_shared), F.lit(1))))
+    both = sv.select(*S.STATE_COLUMNS, last.alias("last_day"), F.explode(sides).alias("side"))
+    # A share of the new run's aircraft is unknown to the old one.
+    shifted = F.when((F.col("side") == 1) & (F.col("time_position") % 10 == 0), F.concat(F.lit("x"), F.col("icao24")))
+    both = both.withColumn("icao24", F.coalesce(shifted, F.col("icao24")))
+    winners = pick_winner(both, ["side", "icao24"], ["last_contact", "time_position", "callsign"])
+    run_day = F.when(F.col("side") == 1, F.col("last_day")).otherwise(F.date_sub("last_day", 1))
+    winners = winners.withColumn("run", F.concat(F.translate(run_day.cast("string"), "-", ""), F.lit("_235959")))
+    return tuple(
+        derive_silver(winners.filter(F.col("side") == side), run_ts_to_epoch(F.col("run")), run_col="run") for side in (0, 1)
     )
-    new = silver_latest(sv.filter(F.col("snapshot_day") == F.lit(last_day)), new_as_of, run_ts=run_stamp(new_as_of))
-    return visible(upsert(existing, new))
+
+
+def q_silver_upsert(spark, d):
+    return visible(upsert(*_two_sides(spark, d, days_shared=0)))
+
+
+def q_silver_upsert_newer(spark, d):
+    """Recency merge: reports of the day before the last are in both runs, unchanged, with another status."""
+    existing, new = _two_sides(spark, d, days_shared=1)
+    return visible(upsert(existing, new, order_by=newer_only_order(new)))
 
 
 def q_gold_layer(spark, d):
     return _gold(spark, d)
 
 
-def _pipeline(spark, d) -> tuple[TableStore, dict]:
-    ensure_checkpoint_dir(spark)
-    root = scratch_dir(spark, "pipeline")
-    store = TableStore(spark, f"{root}/store")
-    run = run_stamp(AS_OF)
-    sv = _sv(spark, d).withColumn("run_ts", F.lit(run))
-    run_bronze(spark, to_envelopes(sv, time_col=F.col("last_contact")), f"{root}/bronze", store, runs=[run])
-    silver_res = run_silver(spark, store, as_of=AS_OF, quarantine_dir=f"{root}/quarantine")
-    gold_res = run_gold(spark, store)
-    return store, {**silver_res.counts, **gold_res.counts}
+_pipelines: dict[tuple[str, str], tuple[TableStore, list[RunResult]]] = {}
+
+
+def _pipeline(spark, d) -> tuple[TableStore, list[RunResult]]:
+    """Land two runs, bring both into Silver, publish Gold twice (plain, then by status).
+
+    Done once for each application and input folder; the keys below read what it stored."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _pipelines:
+        ensure_checkpoint_dir(spark)
+        root = scratch_dir(spark, "pipeline")
+        store = TableStore(spark, f"{root}/store")
+        stamps = [run_stamp(FIRST_RUN_AS_OF), run_stamp(AS_OF)]
+        sv = _sv(spark, d)
+        run = F.when(F.col("run_ts") <= stamps[0], F.lit(stamps[0])).otherwise(F.lit(stamps[1]))
+        responses = to_envelopes(sv.withColumn("run_ts", run), time_col=F.col("last_contact"))
+        run_bronze(spark, responses, f"{root}/bronze", store, runs=stamps)
+        results = run_silver_pending(spark, store, quarantine_dir=f"{root}/quarantine")
+        results += [run_gold(spark, store), run_gold(spark, store, partition_by="status")]
+        _pipelines[at] = (store, results)
+    return _pipelines[at]
 
 
 def q_stage_counts(spark, d):
-    _, counts = _pipeline(spark, d)
-    order = ["input", "malformed", "null_records", "invalid_geo", "clean", "deduped",
-             "table_rows", "gold_input", "gold_rows"]
-    return spark.createDataFrame([(k, int(counts[k])) for k in order], "stage string, n bigint")
+    _, results = _pipeline(spark, d)
+    rows = [(r.stage, r.version, k, int(n)) for r in results for k, n in r.counts.items()]
+    return spark.createDataFrame(rows, "job string, version bigint, stage string, n bigint")
 
 
 def q_run_manifest(spark, d):
     store, _ = _pipeline(spark, d)
-    return store.manifest().select("stage", "record_count")
+    return store.manifest().select("stage", "version", "run_ts", "record_count")
 
 
 def q_run_config(spark, d):
@@ -235,6 +286,22 @@ def q_run_config(spark, d):
     return run_config(store).select("run_ts", "total_records", "silver_record_count", "gold_record_count")
 
 
+def q_silver_written(spark, d):
+    store, _ = _pipeline(spark, d)
+    return visible(read_silver(store))
+
+
+def q_gold_written(spark, d):
+    store, _ = _pipeline(spark, d)
+    return read_gold(store, version=1)
+
+
+def q_gold_written_partitioned(spark, d):
+    """The second Gold version with the values of its partition folders."""
+    store, results = _pipeline(spark, d)
+    return spark.read.parquet(results[-1].path)
+
+
 def q_incremental_silver(spark, d):
     ensure_checkpoint_dir(spark)
     root = scratch_dir(spark, "incremental")
@@ -280,14 +347,15 @@ def q_gold_sql(spark, d):
 
 def q_sql_audit(spark, d):
     conv = spark.read.parquet(f"{d}/conversations.parquet")
-    # Each turn is audited twice, as a raw statement and interpolated into a
-    # SELECT template: one scan, two statements per row.
+    # Each turn is audited three times: as a raw statement, interpolated into a SELECT
+    # template, and with the user's turns missing. One scan, three statements per row.
     kinds = F.array(
         F.struct(F.lit("raw").alias("kind"), F.col("text").alias("q")),
         F.struct(
             F.lit("templated").alias("kind"),
             F.concat(F.lit(TEMPLATE_PREFIX), F.col("text"), F.lit("'")).alias("q"),
         ),
+        F.struct(F.lit("missing").alias("kind"), F.when(F.col("role") != "user", F.col("text")).alias("q")),
     )
     stmts = conv.select("conv_id", "turn", F.explode(kinds).alias("s")).select("conv_id", "turn", "s.kind", "s.q")
     return sql_audit(stmts).select("conv_id", "turn", "kind", "allowed", "rule", "message")
@@ -311,10 +379,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "epoch_to_text": q_epoch_to_text,
     "silver_layer": q_silver_layer,
     "silver_upsert": q_silver_upsert,
+    "silver_upsert_newer": q_silver_upsert_newer,
     "gold_layer": q_gold_layer,
     "stage_counts": q_stage_counts,
     "run_manifest": q_run_manifest,
     "run_config": q_run_config,
+    "silver_written": q_silver_written,
+    "gold_written": q_gold_written,
+    "gold_written_partitioned": q_gold_written_partitioned,
     "incremental_silver": q_incremental_silver,
     "airborne_in_bbox": q_airborne_in_bbox,
     "airborne_by_origin": q_airborne_by_origin,
@@ -357,33 +429,43 @@ def _text(c: str) -> str:
     return f"strftime(make_timestamp({c} * 1000000), '%Y-%m-%d %H:%M:%S')"
 
 
+# The expected values are spelled out here, not imported, so a wrong constant in the library shows.
+_STATE = (
+    "icao24, callsign, origin_country, time_position, last_contact, longitude, latitude, baro_altitude, on_ground, "
+    "velocity, true_track, vertical_rate, sensors, geo_altitude, squawk, spi, position_source"
+)
+_SILVER = _STATE + ", status, status_reason, source_type, ingestion_time"
+_GOLD = (
+    "icao24, callsign, origin_country, latitude, longitude, baro_altitude, velocity, on_ground, true_track, "
+    "vertical_rate, time_position, last_contact, status, status_reason, source_type, ingestion_time"
+)
+
+
 def _status(a: str) -> str:
     return (
-        f"CASE WHEN on_ground = TRUE THEN '{S.STATUS_LANDED}' "
-        f"WHEN {a} - last_contact > {S.EXPIRED_AFTER_S} THEN '{S.STATUS_EXPIRED}' "
-        f"WHEN {a} - last_contact > {S.INACTIVE_AFTER_S} THEN '{S.STATUS_INACTIVE}' "
-        f"ELSE '{S.STATUS_AIRBORNE}' END"
+        f"CASE WHEN on_ground = TRUE THEN 'LANDED' WHEN {a} - last_contact > 21600 THEN 'EXPIRED' "
+        f"WHEN {a} - last_contact > 10800 THEN 'INACTIVE' ELSE 'AIRBORNE' END"
     )
 
 
 def _reason(a: str) -> str:
     return (
-        f"CASE WHEN on_ground = TRUE THEN '{S.REASON_ON_GROUND}' "
-        f"WHEN {a} - last_contact > {S.EXPIRED_AFTER_S} THEN '{S.REASON_EXPIRED}' "
-        f"WHEN {a} - last_contact > {S.INACTIVE_AFTER_S} THEN '{S.REASON_INACTIVE}' "
-        f"ELSE '{S.REASON_IN_AIR}' END"
+        f"CASE WHEN on_ground = TRUE THEN 'on_ground_flag' WHEN {a} - last_contact > 21600 THEN 'last_contact_exceeded_6hrs' "
+        f"WHEN {a} - last_contact > 10800 THEN 'last_contact_exceeded_3hrs' ELSE 'in_air' END"
     )
 
 
 def _source_type() -> str:
-    whens = " ".join(f"WHEN position_source = {c} THEN '{lab}'" for c, lab in S.SOURCE_TYPES)
-    return f"CASE {whens} ELSE '{S.SOURCE_UNKNOWN}' END"
+    return (
+        "CASE position_source WHEN 0 THEN 'ADS-B' WHEN 1 THEN 'ASTERIX' WHEN 2 THEN 'MLAT' WHEN 3 THEN 'FLARM' "
+        "ELSE 'UNKNOWN' END"
+    )
 
 
 def _silver_select(a: str) -> str:
     """Silver's 21 columns from a relation of epoch-typed state vectors, as-of ``a``."""
     cols = []
-    for c in S.STATE_COLUMNS:
+    for c in _STATE.split(", "):
         cols.append(f"{_text(c)} AS {c}" if c in ("time_position", "last_contact") else c)
     cols += [
         f"{_status(a)} AS status",
@@ -409,51 +491,67 @@ _BASE = (
     f"clean AS (SELECT * FROM sv WHERE {_COMPLETE} AND {_GEO_OK}),\n"
     f"latest AS ({_winner('clean', 'icao24', _LATEST_ORDER)}),\n"
     f"silver_latest AS (SELECT {_silver_select(str(AS_OF))} FROM latest),\n"
-    f"flights_gold AS (SELECT {', '.join(S.GOLD_COLUMNS)} FROM silver_latest WHERE status <> '{S.STATUS_EXPIRED}')\n"
+    f"flights_gold AS (SELECT {_GOLD} FROM silver_latest WHERE status <> 'EXPIRED')\n"
 )
 
 
 def _audit_sql() -> str:
-    from contrail.functions.audit import PY_WHITESPACE, portable_pattern
-
-    ws = PY_WHITESPACE.replace("'", "''")
-    rule = "CASE WHEN NOT starts_with(u, 'SELECT') THEN 'not_select' "
-    rule += " ".join(f"WHEN contains(u, '{k}') THEN '{k}'" for k in S.GUARD_KEYWORDS)
-    for p in S.GUARD_PATTERNS:
-        rule += f" WHEN regexp_matches(u, '{portable_pattern(p)}') THEN '{p}'"
-    rule += " END"
-    kws = ", ".join(f"'{k}'" for k in S.GUARD_KEYWORDS)
+    space = [c for c in range(0x3001) if chr(c).isspace()]
+    ws = "".join(map(chr, space)).replace("'", "''")
+    rx = "[" + "".join("\\x{%X}" % c for c in space) + "]"
+    keywords = ("DELETE", "DROP", "UPDATE", "INSERT", "TRUNCATE", "ALTER", "CREATE", "EXEC", "EXECUTE")
+    patterns = (
+        ("--", "--"),
+        (r"/\*", r"/\*"),
+        (r";\s*\w", rf";{rx}*[\p{{L}}\p{{N}}_]"),
+        ("xp_", "xp_"),
+        (r"UNION\s+SELECT", rf"UNION{rx}+SELECT"),
+    )
+    rule = "CASE WHEN u IS NULL OR NOT starts_with(u, 'SELECT') THEN 'not_select' "
+    rule += " ".join(f"WHEN contains(u, '{k}') THEN '{k}'" for k in keywords)
+    rule += "".join(f" WHEN regexp_matches(u, '{p}') THEN '{name}'" for name, p in patterns) + " END"
+    kws = ", ".join(f"'{k}'" for k in keywords)
     msg = (
-        f"CASE WHEN rule IS NULL THEN NULL WHEN rule = 'not_select' THEN '{S.MSG_ONLY_SELECT}' "
-        f"WHEN rule IN ({kws}) THEN '{S.MSG_BLOCKED_KEYWORD}' || rule ELSE '{S.MSG_SUSPICIOUS}' END"
+        "CASE WHEN rule IS NULL THEN NULL WHEN rule = 'not_select' THEN 'Only SELECT queries allowed.' "
+        f"WHEN rule IN ({kws}) THEN 'Blocked keyword detected: ' || rule ELSE 'Suspicious SQL pattern detected.' END"
     )
     tmpl = TEMPLATE_PREFIX.replace("'", "''")
     return (
         "WITH s AS (SELECT conv_id, turn, 'raw' AS kind, text AS q FROM conversations "
-        f"UNION ALL SELECT conv_id, turn, 'templated' AS kind, '{tmpl}' || text || '''' AS q FROM conversations),\n"
+        f"UNION ALL SELECT conv_id, turn, 'templated' AS kind, '{tmpl}' || text || '''' AS q FROM conversations "
+        "UNION ALL SELECT conv_id, turn, 'missing' AS kind, CASE WHEN role <> 'user' THEN text END AS q FROM conversations),\n"
         f"n AS (SELECT *, upper(trim(q, '{ws}')) AS u FROM s),\n"
         f"r AS (SELECT conv_id, turn, kind, {rule} AS rule FROM n)\n"
         f"SELECT conv_id, turn, kind, rule IS NULL AS allowed, rule, {msg} AS message FROM r"
     )
 
 
-def _upsert_sql() -> str:
-    a_old = "(epoch_us(CAST(ld.d AS TIMESTAMP)) // 1000000 - 1)"
-    a_new = "(epoch_us(CAST(ld.d AS TIMESTAMP)) // 1000000 + 86399)"
+def _sides_sql(days_shared: int) -> str:
+    """CTEs up to ``side``: Silver rows of the old (side 0) and the new run (side 1)."""
+    a = "(epoch_us(CAST(ld.d AS TIMESTAMP)) // 1000000 + CASE WHEN side = 1 THEN 86399 ELSE -1 END)"
     return (
         f"WITH {DUCKDB_VIEW.strip()},\n"
-        "ld AS (SELECT max(snapshot_day) AS d FROM sv),\n"
-        f"clean AS (SELECT sv.*, CASE WHEN snapshot_day = ld.d THEN {a_new} ELSE {a_old} END AS a, "
-        "snapshot_day = ld.d AS is_new FROM sv, ld WHERE "
-        f"{_COMPLETE} AND {_GEO_OK}),\n"
-        f"latest AS ({_winner('clean', 'is_new, icao24', _LATEST_ORDER)}),\n"
-        f"side AS (SELECT is_new, {_silver_select('a')} FROM latest)\n"
-        f"SELECT {', '.join(S.SILVER_COLUMNS)} FROM side WHERE is_new\n"
-        f"UNION ALL SELECT {', '.join(S.SILVER_COLUMNS)} FROM side o WHERE NOT is_new "
-        "AND icao24 NOT IN (SELECT icao24 FROM side WHERE is_new)"
+        f"ld AS (SELECT max(snapshot_day) AS d FROM sv WHERE {_COMPLETE} AND {_GEO_OK}),\n"
+        "parts AS (SELECT sv.*, 0 AS side FROM sv, ld WHERE snapshot_day < ld.d "
+        f"UNION ALL SELECT sv.*, 1 AS side FROM sv, ld WHERE snapshot_day >= ld.d - {days_shared}),\n"
+        "clean AS (SELECT p.* REPLACE (CASE WHEN side = 1 AND time_position % 10 = 0 THEN 'x' || icao24 ELSE icao24 END AS icao24), "
+        f"{a} AS a FROM parts p, ld WHERE {_COMPLETE} AND {_GEO_OK}),\n"
+        f"latest AS ({_winner('clean', 'side, icao24', _LATEST_ORDER)}),\n"
+        f"side AS (SELECT side, last_contact AS lc, {_silver_select('a')} FROM latest)\n"
     )
 
 
+def _upsert_sql() -> str:
+    return (
+        f"{_sides_sql(0)}SELECT {_SILVER} FROM side WHERE side = 1\n"
+        f"UNION ALL SELECT {_SILVER} FROM side o WHERE side = 0 AND icao24 NOT IN (SELECT icao24 FROM side WHERE side = 1)"
+    )
+
+
+def _upsert_newer_sql() -> str:
+    return f"{_sides_sql(1)}SELECT {_SILVER} FROM ({_winner('side', 'icao24', 'lc DESC NULLS LAST, side DESC')})"
+
+
 def _incremental_sql() -> str:
     a = "(epoch_us(CAST(snapshot_day AS TIMESTAMP)) // 1000000 + 86399)"
     order = "snapshot_day DESC, " + _LATEST_ORDER
@@ -465,23 +563,63 @@ def _incremental_sql() -> str:
     )
 
 
-def _pipeline_counts() -> str:
+def _two_runs() -> str:
+    """CTEs of the two-run pipeline: runs (r = 1, 2), silver1 and silver2 after each, gold2."""
+    r1, r2 = run_stamp(FIRST_RUN_AS_OF), run_stamp(AS_OF)
+    a = f"(CASE WHEN r = 1 THEN {FIRST_RUN_AS_OF} ELSE {AS_OF} END)"
     return (
-        f"{_BASE},\n"
-        f"dd AS ({_winner('clean', 'icao24, last_contact', _DEDUP_ORDER)}),\n"
-        "c AS (SELECT\n"
-        "  (SELECT count(*) FROM sv) AS input,\n"
-        f"  (SELECT count(*) FROM sv WHERE {_NULL_CRIT}) AS null_records,\n"
-        f"  (SELECT count(*) FROM sv WHERE {_COMPLETE} AND NOT coalesce({_GEO_OK}, FALSE)) AS invalid_geo,\n"
-        "  (SELECT count(*) FROM clean) AS clean,\n"
-        "  (SELECT count(*) FROM dd) AS deduped,\n"
-        "  (SELECT count(*) FROM latest) AS table_rows,\n"
-        "  (SELECT count(*) FROM flights_gold) AS gold_rows)\n"
+        f"WITH {DUCKDB_VIEW.strip()},\n"
+        f"runs AS (SELECT *, CASE WHEN run_ts <= '{r1}' THEN 1 ELSE 2 END AS r FROM sv),\n"
+        f"stamp AS (SELECT * FROM (VALUES (1, '{r1}'), (2, '{r2}')) AS t(r, run)),\n"
+        f"clean AS (SELECT *, {a} AS a FROM runs WHERE {_COMPLETE} AND {_GEO_OK}),\n"
+        f"dd AS ({_winner('clean', 'r, icao24, last_contact', _DEDUP_ORDER)}),\n"
+        f"latest AS ({_winner('clean', 'r, icao24', _LATEST_ORDER)}),\n"
+        f"each_run AS (SELECT r, {_silver_select('a')} FROM latest),\n"
+        "silver1 AS (SELECT * EXCLUDE (r) FROM each_run WHERE r = 1),\n"
+        "silver2 AS (SELECT * EXCLUDE (r) FROM each_run WHERE r = 2 UNION ALL "
+        "SELECT * FROM silver1 WHERE icao24 NOT IN (SELECT icao24 FROM each_run WHERE r = 2)),\n"
+        f"gold2 AS (SELECT {_GOLD} FROM silver2 WHERE status <> 'EXPIRED'),\n"
+        "cnt AS (SELECT r, count(*) AS input, "
+        f"count(*) FILTER ({_NULL_CRIT}) AS null_records, count(*) FILTER ({_COMPLETE} AND {_GEO_BAD}) AS invalid_geo, "
+        f"count(*) FILTER ({_COMPLETE} AND {_GEO_OK}) AS clean FROM runs GROUP BY r),\n"
+        "ndd AS (SELECT r, count(*) AS deduped FROM dd GROUP BY r),\n"
+        "tab AS (SELECT 1 AS r, count(*) AS table_rows FROM silver1 UNION ALL SELECT 2, count(*) FROM silver2),\n"
+        "c AS (SELECT r, input, CAST(0 AS BIGINT) AS malformed, null_records, invalid_geo, clean, deduped, table_rows "
+        "FROM cnt JOIN ndd USING (r) JOIN tab USING (r)),\n"
+        "n2 AS (SELECT (SELECT count(*) FROM silver2) AS s, (SELECT count(*) FROM gold2) AS g)\n"
+    )
+
+
+def _damaged_sql() -> str:
+    """CTE ``dec``: the fixture after encoding, damaging some lines and decoding."""
+    types = (
+        "VARCHAR VARCHAR VARCHAR BIGINT BIGINT DOUBLE DOUBLE DOUBLE BOOLEAN DOUBLE DOUBLE DOUBLE VARCHAR DOUBLE VARCHAR "
+        "BOOLEAN BIGINT"
+    ).split()
+
+    def row(values: str) -> str:
+        return ", ".join(f"CAST({v} AS {t})" for v, t in zip(values.split(), types, strict=True))
+
+    null = row("NULL " * 17)
+    short = row("'a' 'b' " + "NULL " * 15)
+    suffix = row("'00x089' 'S' 'X' 1 2 3.5 NULL 0 FALSE 0 0 0 NULL 0 '1200' FALSE 0")
+    epoch = row("'00x088' 'E' 'X' 1 253402300800 3.5 4.5 0 FALSE 0 0 0 NULL 0 '1200' FALSE 0")
+    listed = row("'00x087' 'L' 'X' 1 2 3.5 4.5 10 TRUE 0 0 0 NULL 7.5 '7700' TRUE 1")
+    return (
+        f"WITH {DUCKDB_VIEW.strip()},\n"
+        "kk AS (SELECT *, CAST(round(vertical_rate * 10 + 50) AS INTEGER) AS kx FROM sv),\n"
+        f"dec AS (SELECT {_STATE}, NULL AS _decode_error, NULL AS _raw, run_ts FROM kk WHERE kx IS NULL OR kx NOT IN "
+        f"({K_CUT}, {K_SHORT}, {K_SUFFIX}, {K_EPOCH}, {K_LIST})\n"
+        f"UNION ALL SELECT {null}, 'unparsable', '[\"' || left(icao24, 7) || CASE WHEN length(icao24) < 7 THEN '\"' ELSE '' END, "
+        f"run_ts FROM kk WHERE kx = {K_CUT}\n"
+        f"UNION ALL SELECT {short}, 'short_row', '{SHORT_LINE}', run_ts FROM kk WHERE kx = {K_SHORT}\n"
+        f"UNION ALL SELECT {suffix}, 'bad_value', '{SUFFIX_LINE}', run_ts FROM kk WHERE kx = {K_SUFFIX}\n"
+        f"UNION ALL SELECT {epoch}, 'bad_value', '{EPOCH_LINE}', run_ts FROM kk WHERE kx = {K_EPOCH}\n"
+        f"UNION ALL SELECT {listed}, NULL, NULL, run_ts FROM kk WHERE kx = {K_LIST})\n"
     )
 
 
 def oracle_sql() -> dict[str, str]:
-    cols = ", ".join(S.STATE_COLUMNS)
     v = f"WITH {DUCKDB_VIEW.strip()}\n"
     silver_all = f"{_BASE}, dd AS ({_winner('clean', 'icao24, last_contact', _DEDUP_ORDER)})\n"
     complete = f"SELECT * FROM sv WHERE {_COMPLETE}"
@@ -489,15 +627,15 @@ def oracle_sql() -> dict[str, str]:
     if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
         more["pipeline"] = corpus_pipeline.ORACLE_SQL
     return more | {
-        "bronze_decode": f"{v}SELECT {cols} FROM sv",
+        "bronze_decode": f"{_damaged_sql()}SELECT {_STATE}, _decode_error, _raw FROM dec",
         "land_snapshots": f"{v}SELECT run_ts, count(*) AS n_states, count(*) AS n_decoded FROM sv GROUP BY run_ts",
         "latest_snapshot": (
             f"{v}SELECT run_ts, 'bronze/run_ts=' || run_ts AS output_path, count(*) AS record_count "
             "FROM sv GROUP BY run_ts ORDER BY run_ts DESC LIMIT 1"
         ),
         "count_gate": (
-            f"{v}SELECT run_ts, count(*) AS n, count(*) >= {S.BRONZE_MIN_ROWS} AS bronze_ok, "
-            f"count(*) >= {S.SILVER_MIN_ROWS} AS silver_ok FROM sv GROUP BY run_ts"
+            f"{v}SELECT run_ts, count(*) AS n, count(*) >= 1000 AS bronze_ok, "
+            f"count(*) >= 5000 AS silver_ok FROM sv GROUP BY run_ts"
         ),
         "null_records": f"{v}SELECT * FROM sv WHERE {_NULL_CRIT}",
         "complete_rows": f"{v}{complete}",
@@ -505,8 +643,9 @@ def oracle_sql() -> dict[str, str]:
         "invalid_geo": f"{v}{complete} AND {_GEO_BAD}",
         "invalid_geo_distinct": f"{v}({complete}) EXCEPT ({complete} AND {_GEO_OK})",
         "quarantine": (
-            f"{v}SELECT {cols}, 'null_records' AS dq_reason, run_ts FROM sv WHERE {_NULL_CRIT} "
-            f"UNION ALL SELECT {cols}, 'invalid_geo' AS dq_reason, run_ts FROM sv WHERE {_COMPLETE} AND {_GEO_BAD}"
+            f"{_damaged_sql()}SELECT *, 'malformed' AS dq_reason FROM dec WHERE _decode_error IS NOT NULL "
+            f"UNION ALL SELECT *, 'null_records' AS dq_reason FROM dec WHERE _decode_error IS NULL AND {_NULL_CRIT} "
+            f"UNION ALL SELECT *, 'invalid_geo' AS dq_reason FROM dec WHERE _decode_error IS NULL AND {_COMPLETE} AND {_GEO_BAD}"
         ),
         "dedup_states": f"{_BASE}{_winner('clean', 'icao24, last_contact', _DEDUP_ORDER)}",
         "latest_per_aircraft": f"{_BASE}SELECT * FROM latest",
@@ -520,39 +659,43 @@ def oracle_sql() -> dict[str, str]:
         ),
         "silver_layer": f"{silver_all}SELECT {_silver_select(str(AS_OF))} FROM dd",
         "silver_upsert": _upsert_sql(),
+        "silver_upsert_newer": _upsert_newer_sql(),
         "gold_layer": f"{_BASE}SELECT * FROM flights_gold",
         "stage_counts": (
-            f"{_pipeline_counts()}"
-            "SELECT * FROM (VALUES ('input', (SELECT input FROM c)), ('malformed', 0), "
-            "('null_records', (SELECT null_records FROM c)), ('invalid_geo', (SELECT invalid_geo FROM c)), "
-            "('clean', (SELECT clean FROM c)), ('deduped', (SELECT deduped FROM c)), "
-            "('table_rows', (SELECT table_rows FROM c)), ('gold_input', (SELECT table_rows FROM c)), "
-            "('gold_rows', (SELECT gold_rows FROM c))) AS t(stage, n)"
+            f"{_two_runs()}"
+            "SELECT 'silver' AS job, CAST(r AS BIGINT) AS version, stage, n FROM c UNPIVOT (n FOR stage IN "
+            "(input, malformed, null_records, invalid_geo, clean, deduped, table_rows)) "
+            "UNION ALL SELECT 'gold', v, 'gold_input', s FROM n2, (VALUES (1), (2)) AS t(v) "
+            "UNION ALL SELECT 'gold', v, 'gold_rows', g FROM n2, (VALUES (1), (2)) AS t(v)"
         ),
         "run_manifest": (
-            f"{_pipeline_counts()}"
-            "SELECT * FROM (VALUES ('bronze', (SELECT input FROM c)), ('silver', (SELECT deduped FROM c)), "
-            "('gold', (SELECT gold_rows FROM c))) AS t(stage, record_count)"
+            f"{_two_runs()}"
+            "SELECT 'bronze' AS stage, CAST(r AS BIGINT) AS version, run AS run_ts, input AS record_count FROM c JOIN stamp USING (r) "
+            "UNION ALL SELECT 'silver', r, run, deduped FROM c JOIN stamp USING (r) "
+            "UNION ALL SELECT 'gold', v, (SELECT run FROM stamp WHERE r = 2), g FROM n2, (VALUES (1), (2)) AS t(v)"
         ),
         "run_config": (
-            f"{_pipeline_counts()}"
-            "SELECT '" + run_stamp(AS_OF) + "' AS run_ts, input AS total_records, deduped AS silver_record_count, "
-            "gold_rows AS gold_record_count FROM c"
+            f"{_two_runs()}"
+            "SELECT run AS run_ts, input AS total_records, deduped AS silver_record_count, "
+            "CASE WHEN r = 2 THEN (SELECT g FROM n2) END AS gold_record_count FROM c JOIN stamp USING (r)"
         ),
+        "silver_written": f"{_two_runs()}SELECT {_SILVER} FROM silver2",
+        "gold_written": f"{_two_runs()}SELECT * FROM gold2",
+        "gold_written_partitioned": f"{_two_runs()}SELECT *, status AS status_part FROM gold2",
         "incremental_silver": _incremental_sql(),
         "airborne_in_bbox": (
-            f"{_BASE}SELECT count(*) AS n_airborne FROM flights_gold WHERE status = '{S.STATUS_AIRBORNE}' "
+            f"{_BASE}SELECT count(*) AS n_airborne FROM flights_gold WHERE status = 'AIRBORNE' "
             f"AND latitude BETWEEN {BBOX[0]} AND {BBOX[1]} AND longitude BETWEEN {BBOX[2]} AND {BBOX[3]}"
         ),
         "airborne_by_origin": (
             f"{_BASE}SELECT origin_country, count(*) AS n_airborne FROM flights_gold "
-            f"WHERE status = '{S.STATUS_AIRBORNE}' GROUP BY origin_country"
+            f"WHERE status = 'AIRBORNE' GROUP BY origin_country"
         ),
         "top_countries": (
             f"{_BASE}SELECT origin_country, count(*) AS n_flights FROM flights_gold GROUP BY origin_country "
             f"ORDER BY n_flights DESC, origin_country ASC LIMIT {TOP_K}"
         ),
-        "inactive_flights": f"{_BASE}SELECT * FROM flights_gold WHERE status = '{S.STATUS_INACTIVE}'",
+        "inactive_flights": f"{_BASE}SELECT * FROM flights_gold WHERE status = 'INACTIVE'",
         "adsb_share": (
             f"{_BASE}SELECT CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE source_type = 'ADS-B') "
             "/ nullif(count(*), 0) AS adsb_pct FROM flights_gold"

@@ -1,7 +1,7 @@
 """Command-line runners for the stages (``python -m contrail.cli <command>``).
 
     land         API response files (one JSON envelope each) -> Bronze run(s)
-    silver       newest (or given) committed Bronze run -> Silver table version
+    silver       every pending (or one given) committed Bronze run -> Silver table version
     gold         current Silver -> Gold table version
     incremental  stream new Bronze files into Silver (availableNow or continuous)
     sql          guarded read-only SQL over the current Gold table
@@ -36,14 +36,14 @@ def _store(spark, root):
 
 def cmd_land(spark, args) -> dict:
     from contrail.plans.jobs import run_bronze
-    from contrail.sources.bronze import RUN_STAMP_RX
+    from contrail.sources.bronze import run_stamp_of_file
 
     responses = spark.read.text(args.responses, wholetext=True).select(
         F.col("value").alias("body"),
         (
             F.lit(args.run_ts)
             if args.run_ts
-            else F.regexp_extract(F.col("_metadata.file_path"), RUN_STAMP_RX, 1)
+            else run_stamp_of_file()
         ).alias("run_ts"),
     )
     runs = [args.run_ts] if args.run_ts else None
@@ -52,19 +52,21 @@ def cmd_land(spark, args) -> dict:
 
 
 def cmd_silver(spark, args) -> dict:
-    from contrail.plans.jobs import run_silver
+    from contrail.plans.jobs import run_silver, run_silver_pending
 
-    r = run_silver(
-        spark,
-        _store(spark, args.store),
-        run=args.run,
+    store = _store(spark, args.store)
+    kw = dict(
         as_of=args.as_of,
         min_rows=args.min_rows,
         quarantine_dir=args.quarantine,
         newer_only=args.newer_only,
         drop_blank_country=args.drop_blank_country,
     )
-    return {"version": r.version, "path": r.path, "silver_record_count": r.record_count, **r.counts}
+    done = [run_silver(spark, store, run=args.run, **kw)] if args.run else run_silver_pending(spark, store, **kw)
+    if not done:
+        return {"runs": 0}
+    r = done[-1]
+    return {"runs": len(done), "version": r.version, "path": r.path, "silver_record_count": r.record_count, **r.counts}
 
 
 def cmd_gold(spark, args) -> dict:
@@ -93,6 +95,7 @@ def cmd_incremental(spark, args) -> dict:
         processing_time=args.processing_time,
         quarantine_dir=args.quarantine,
         archive_dir=args.archive,
+        min_rows=args.min_rows,
     )
     q.awaitTermination()
     if q.exception() is not None:
@@ -112,7 +115,11 @@ def cmd_sql(spark, args) -> dict:
     if args.output:
         df.write.mode("overwrite").parquet(args.output)
         return {"written": args.output}
-    df.show(args.show, truncate=False)  # display only; the result itself is not capped
+    if args.limit is not None:
+        df = df.limit(args.limit)
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():  # every row, one partition at a time
+        print("\t".join("" if v is None else str(v) for v in row))
     return {}
 
 
@@ -128,7 +135,7 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--run-ts", help="run stamp yyyyMMdd_HHmmss (default: from each file name)")
     s.add_argument("--min-rows", type=int, default=1000)
 
-    s = sub.add_parser("silver", help="process a committed Bronze run into the Silver table")
+    s = sub.add_parser("silver", help="process pending committed Bronze runs into the Silver table")
     s.add_argument("--store", required=True)
     s.add_argument("--run")
     s.add_argument("--as-of", type=int)
@@ -151,12 +158,13 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--processing-time", help="e.g. '10 minutes' for a continuous run")
     s.add_argument("--quarantine")
     s.add_argument("--archive")
+    s.add_argument("--min-rows", type=int, help="refuse a batch with a run below this (default: no gate)")
 
     s = sub.add_parser("sql", help="guarded read-only SQL over flights_gold")
     s.add_argument("--store", required=True)
     s.add_argument("query")
     s.add_argument("--output", help="write the whole result as Parquet here")
-    s.add_argument("--show", type=int, default=20, help="rows to display")
+    s.add_argument("--limit", type=int, help="print at most this many rows (default: all)")
     return p
 
 

@@ -39,9 +39,9 @@ def normalized(stmt: Column) -> Column:
 
 def guard_rule(stmt: Column) -> Column:
     """Name of the first failing rule: 'not_select', the blocked keyword, or the
-    suspicious pattern; null when the statement passes."""
+    suspicious pattern; null when the statement passes. A null statement isn't a SELECT."""
     q = normalized(stmt)
-    expr = F.when(~q.startswith(S.GUARD_PREFIX), F.lit("not_select"))
+    expr = F.when(q.isNull() | ~q.startswith(S.GUARD_PREFIX), F.lit("not_select"))
     for kw in S.GUARD_KEYWORDS:
         expr = expr.when(q.contains(kw), F.lit(kw))
     for pat in S.GUARD_PATTERNS:

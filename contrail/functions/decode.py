@@ -17,19 +17,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail import schema as S
+from contrail.functions.time import MAX_EPOCH_S, MIN_EPOCH_S
 
 # Element text -> typed value, as SQL expression templates over ``{e}`` (one
 # JSON element's text). Each template is a single expression, built by the JVM
 # parser in one call.
 #
 # * JSON true/false count as 1/0 in numeric positions (Python int(True) == 1).
+# * A number followed by a Java type suffix (12d, 1.5f) is text, not a number.
 # * Non-finite numbers (NaN, Infinity) come back from the JSON reader wrapped in
 #   quotes; the quotes are stripped only when the plain cast fails.
 # * A fractional number in an integer position truncates toward zero like
 #   Python's int(float); NaN, infinities and overflow have no integer reading.
 # * Booleans: JSON true/false by value, numbers by non-zero, empty text or
 #   empty containers false, any other text true (truthiness).
-_NUM = "coalesce(try_cast({e} AS DOUBLE), try_cast(btrim({e}, '\"') AS DOUBLE))"
+_NUM = (
+    "CASE WHEN NOT {e} RLIKE '[0-9.][dDfF][ \"]*$' "
+    "THEN coalesce(try_cast({e} AS DOUBLE), try_cast(btrim({e}, '\"') AS DOUBLE)) END"
+)
 _SQL = {
     "double": "CASE WHEN {e} = 'true' THEN 1.0D WHEN {e} = 'false' THEN 0.0D ELSE " + _NUM + " END",
     "bigint": (
@@ -70,12 +75,14 @@ def state_columns(arr: str = "_arr") -> list[Column]:
 def decode_error(arr: str = "_arr") -> Column:
     """Why a parsed state cannot be used, over already typed columns:
     'unparsable' (not a JSON array), 'short_row' (fewer than 17 elements),
-    'bad_value' (a numeric element with no numeric reading). Null when clean."""
+    'bad_value' (a numeric element with no numeric reading, or an epoch outside
+    the years 1 to 9999, which has no date text). Null when clean."""
     bad = " OR ".join(
         f"(get({arr}, {i}) IS NOT NULL AND `{name}` IS NULL)"
         for i, name in enumerate(S.STATE_COLUMNS)
         if name != "sensors" and S.state_type(name).simpleString() in ("bigint", "double")
     )
+    bad += "".join(f" OR {c} NOT BETWEEN {MIN_EPOCH_S} AND {MAX_EPOCH_S}" for c in ("time_position", "last_contact"))
     return F.expr(
         f"CASE WHEN {arr} IS NULL THEN 'unparsable' "
         f"WHEN size({arr}) < {len(S.STATE_COLUMNS)} THEN 'short_row' "

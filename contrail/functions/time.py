@@ -13,8 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Seconds for 0001-01-01 00:00:00 and 9999-12-31 23:59:59 UTC: outside this
-# range an epoch has no yyyy-MM-dd rendering and becomes null instead of failing
-# the job under ANSI overflow checks.
+# range an epoch has no yyyy-MM-dd rendering: decoding flags such a row as a bad
+# value, and the helpers here give null rather than fail under ANSI overflow checks.
 MIN_EPOCH_S = -62135596800
 MAX_EPOCH_S = 253402300799
 

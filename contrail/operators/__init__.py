@@ -5,16 +5,11 @@ from contrail.operators.derive import (  # noqa: F401
     epoch_to_text,
     flight_status,
     source_type,
-    with_ingestion_time,
-    with_run,
 )
-from contrail.operators.observe import observed  # noqa: F401
 from contrail.operators.quality import (  # noqa: F401
     check_count,
-    classify,
     clean_rows,
     complete_rows,
-    count_gate,
     gate_report,
     invalid_geo,
     null_records,

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.functions import status as st
 from contrail.functions.time import epoch_to_text as _epoch_text
-from contrail.functions.time import ntz_literal
 
 
 def flight_status(
@@ -42,12 +41,3 @@ def epoch_to_text(
 ) -> DataFrame:
     """Replace epoch-second columns by 'yyyy-MM-dd HH:mm:ss' text (UTC unless tz='session')."""
     return df.withColumns({c: _epoch_text(c, tz) for c in cols})
-
-
-def with_ingestion_time(df: DataFrame, as_of: int | Column) -> DataFrame:
-    """``ingestion_time`` = the run's fixed as-of instant, as a zone-free timestamp."""
-    return df.withColumn("ingestion_time", ntz_literal(as_of))
-
-
-def with_run(df: DataFrame, run_ts: str | Column) -> DataFrame:
-    return df.withColumn(S.RUN_COL, run_ts if isinstance(run_ts, Column) else F.lit(run_ts))

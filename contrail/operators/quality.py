@@ -83,26 +83,27 @@ def invalid_geo(df: DataFrame, *, distinct: bool = False) -> DataFrame:
     return df.filter(geo_out_of_range())
 
 
-def classify(states: DataFrame, *, blank_country: bool = True, drop_blank_country: bool = False) -> DataFrame:
-    """Add ``dq_reason`` (why a row is logged: the first of 'malformed',
-    'null_records', 'invalid_geo'; null when not logged) and ``dq_keep``
-    (whether it continues to Silver). Blank / 'NULL' countries get both a reason
-    and ``dq_keep`` = true. One projection; no rows are moved."""
-    ok = _decoded_ok(states)
-    keep = ok & complete() & F.coalesce(geo_in_range(), F.lit(False))
+def is_clean(states: DataFrame, *, drop_blank_country: bool = False) -> Column:
+    """Whether a row continues to Silver: decodable, complete, in range. Never null."""
+    keep = _decoded_ok(states) & complete() & F.coalesce(geo_in_range(), F.lit(False))
     if drop_blank_country:
         keep = keep & ~F.col("origin_country").isin(*S.MISSING_COUNTRY_MARKERS)
-    reason = (
-        F.when(~ok, F.lit("malformed"))
-        .when(null_critical(blank_country=blank_country), F.lit("null_records"))
-        .when(geo_out_of_range(), F.lit("invalid_geo"))
-    )
-    return states.withColumns({"dq_reason": reason, "dq_keep": keep})
+    return keep
 
 
 def clean_rows(states: DataFrame, *, drop_blank_country: bool = False) -> DataFrame:
-    """Rows that continue to Silver: decodable, complete, in range."""
-    return valid_geo(complete_rows(states, drop_blank_country=drop_blank_country))
+    """Rows that continue to Silver."""
+    return states.filter(is_clean(states, drop_blank_country=drop_blank_country))
+
+
+def log_reasons(states: DataFrame, *, blank_country: bool = True) -> dict[str, Column]:
+    """Reason -> condition under which a row is logged for it; a row can have two."""
+    ok = _decoded_ok(states)
+    return {
+        "malformed": ~ok,
+        "null_records": ok & null_critical(blank_country=blank_country),
+        "invalid_geo": ok & complete() & geo_out_of_range(),
+    }
 
 
 def quarantine_rows(states: DataFrame, *, blank_country: bool = True) -> DataFrame:
@@ -110,18 +111,10 @@ def quarantine_rows(states: DataFrame, *, blank_country: bool = True) -> DataFra
     {'malformed', 'null_records', 'invalid_geo'}.
 
     A row can be logged twice (a blank-country row out of range is both), as in
-    the original folders. One scan of ``states`` per reason, all in one job."""
-    ok = _decoded_ok(states)
-    parts = [
-        states.filter(ok & null_critical(blank_country=blank_country)).withColumn("dq_reason", F.lit("null_records")),
-        states.filter(ok & complete() & geo_out_of_range()).withColumn("dq_reason", F.lit("invalid_geo")),
-    ]
-    if "_decode_error" in states.columns:
-        parts.insert(0, states.filter(~ok).withColumn("dq_reason", F.lit("malformed")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    the original folders: one pass, the reasons generated in place."""
+    reasons = log_reasons(states, blank_country=blank_country)
+    found = F.array_compact(F.array(*(F.when(cond, F.lit(r)) for r, cond in reasons.items())))
+    return states.select("*", F.explode(found).alias("dq_reason"))
 
 
 # ---------------------------------------------------------------------------
@@ -129,18 +122,11 @@ def quarantine_rows(states: DataFrame, *, blank_country: bool = True) -> DataFra
 # ---------------------------------------------------------------------------
 
 
-def count_gate(df: DataFrame, minimum: int, *, what: str = "rows") -> int:
-    """Count ``df`` (one aggregation job) and raise if it is empty or below ``minimum``."""
-    n = df.agg(F.count(F.lit(1))).first()[0]
-    check_count(n, minimum, what=what)
-    return n
-
-
 def check_count(n: int, minimum: int, *, what: str = "rows") -> None:
     if n == 0:
-        raise DataQualityError(f"DQ FAILED: no {what}")
+        raise DataQualityError(f"count gate: there are no {what}")
     if n < minimum:
-        raise DataQualityError(f"DQ FAILED: {what} below threshold ({n} < {minimum})")
+        raise DataQualityError(f"count gate: only {n} {what}, at least {minimum} are needed")
 
 
 def gate_report(

@@ -13,4 +13,4 @@ from contrail.plans.ask import (  # noqa: F401
     sql_audit,
     top_countries,
 )
-from contrail.plans.layers import dedup_count, derive_silver, gold, silver, silver_latest, visible  # noqa: F401
+from contrail.plans.layers import derive_silver, gold, silver, silver_latest, visible  # noqa: F401

@@ -3,6 +3,8 @@ audit, and the example questions as DataFrame functions."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,13 +47,37 @@ def register_gold(gold_df: DataFrame, name: str = GOLD_VIEW) -> None:
     gold_df.createOrReplaceTempView(name)
 
 
+# Functions that call arbitrary JVM methods.
+_REFLECTION = r"\b(?:java_method|reflect|try_reflect)\b"
+
+
+def check_scope(spark: SparkSession, sql: str, view: str = GOLD_VIEW) -> str | None:
+    """Why a statement reaches beyond the Gold view, or null: it may name no other relation
+    (files and catalog tables included), call no table function and no reflection.
+
+    Read from the parsed plan, which also prints the plans of subqueries and of
+    common table expressions; the latter's own names are allowed."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
+    own = {n.strip().lower() for names in re.findall(r"\bCTE \[([^\]]*)\]", plan) for n in names.split(",")}
+    for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan):
+        if name.strip().lower() not in own | {view}:
+            return f"only {view} can be queried, not {name}"
+    if "UnresolvedTableValuedFunction" in plan:
+        return "table functions can't be used"
+    if re.search(_REFLECTION, plan, re.I):
+        return "reflection can't be used"
+    return None
+
+
 def gold_sql(spark: SparkSession, sql: str) -> DataFrame:
     """Run one read-only statement against the registered Gold view.
 
     Raises :class:`UnsafeQueryError` with the guard's message when the statement
-    is refused. Returns a lazy DataFrame: the caller decides how much to fetch."""
+    is refused, or with the reason when it reaches beyond the Gold view. Returns a
+    lazy DataFrame: the caller decides how much to fetch."""
     rule, message = check_statement(spark, sql)
-    if rule is not None:
+    message = message if rule is not None else check_scope(spark, sql)
+    if message is not None:
         raise UnsafeQueryError(message)
     return spark.sql(sql)
 

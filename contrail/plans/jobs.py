@@ -1,25 +1,32 @@
 """Runnable jobs: thin I/O around the pure transforms.
 
-Each job reads committed inputs, writes a new table version and appends its
-manifest row. Counts come from ``observe`` metrics filled by the writes, so no
-stage is scanned just to be counted.
+Each job reads committed inputs, writes a new table version and creates its
+manifest record. Bronze text is decoded once, into a staged Parquet folder next to the
+tables; what comes after (counts, quarantine, Silver) reads that. Row counts of written
+tables come from their Parquet footers.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema as S
 from contrail.functions.time import run_stamp
-from contrail.operators.observe import observed
-from contrail.operators.quality import check_count, complete, geo_in_range, null_critical, quarantine_rows
+from contrail.operators.quality import check_count, is_clean, log_reasons, quarantine_rows
 from contrail.operators.upsert import newer_only_order, upsert
 from contrail.plans.layers import gold, silver_latest
-from contrail.sinks.store import Commit, TableStore, read_silver, with_country_part, write_quarantine
+from contrail.sinks.store import (
+    SILVER_STORED_SCHEMA,
+    Commit,
+    TableStore,
+    partition_tag,
+    read_silver,
+    with_country_part,
+    write_quarantine,
+)
 from contrail.sources.bronze import DataQualityError, land_snapshots, landed_counts, read_states
 
 
@@ -54,22 +61,25 @@ def run_bronze(
     body_col: str = "body",
     run_col: str = "run_ts",
     runs: list[str] | None = None,
+    keep_unreadable: bool = False,
 ) -> list[RunResult]:
     """Land responses, gate each run on its state count and commit the runs
-    that pass. Runs below ``min_rows`` stay uncommitted (invisible to Silver)
-    and are reported by raising after the passing runs are committed.
-    ``runs`` lists the run stamps in ``responses`` when the caller knows them
-    (saves one pass over the responses)."""
+    that pass. Runs below ``min_rows``, and runs with an unreadable response, stay
+    uncommitted (invisible to Silver) and are reported by raising after the passing
+    runs are committed; ``keep_unreadable`` commits the latter, and Silver logs their
+    bodies as malformed. ``runs`` lists the run stamps in ``responses`` when the caller
+    knows them (saves one pass over the responses)."""
     land_snapshots(responses, bronze_dir, body_col=body_col, run_col=run_col)
     if runs is None:
         runs = [r[run_col] for r in responses.select(F.col(run_col).cast("string")).distinct().collect()]
-    counts = {r[run_col]: r["n_states"] for r in landed_counts(spark, bronze_dir, run_col=run_col)
-              .filter(F.col(run_col).isin(runs)).collect()}
+    counts = {r[run_col]: r for r in landed_counts(spark, bronze_dir, runs, run_col=run_col).collect()}
     out, failed = [], []
     for run in sorted(runs):
-        n = int(counts.get(run, 0))
+        n, bad = (int(counts[run]["n_states"]), int(counts[run]["n_unreadable"])) if run in counts else (0, 0)
         try:
-            check_count(n, min_rows, what=f"states in run {run}")
+            if bad and not keep_unreadable:
+                raise DataQualityError(f"run {run} has {bad} unreadable response(s)")
+            check_count(n - bad, min_rows, what=f"states in run {run}")
         except DataQualityError as e:
             failed.append(str(e))
             continue
@@ -87,6 +97,11 @@ def run_bronze(
 # ---------------------------------------------------------------------------
 
 
+def run_silver_pending(spark: SparkSession, store: TableStore, **kw) -> list[RunResult]:
+    """Process every committed Bronze run that Silver has not taken yet, in order of the run stamp."""
+    return [run_silver(spark, store, run=r["run_ts"], **kw) for r in store.pending_runs()]
+
+
 def run_silver(
     spark: SparkSession,
     store: TableStore,
@@ -101,59 +116,51 @@ def run_silver(
 ) -> RunResult:
     """Process one committed Bronze run into the Silver table.
 
-    ``run`` defaults to the newest committed Bronze run; ``as_of`` defaults to
-    the run's own stamp (the snapshot time), fixed for the whole run."""
+    Without ``run`` all pending runs are processed in order and the last one's result is
+    returned (with none pending, the table as it stands). ``as_of`` defaults
+    to the run's own stamp (the snapshot time), fixed for the whole run."""
     if run is None:
-        cur = store.current("bronze")
+        kw = dict(as_of=as_of, min_rows=min_rows, fmt=fmt, quarantine_dir=quarantine_dir, newer_only=newer_only,
+                  drop_blank_country=drop_blank_country)
+        done = run_silver_pending(spark, store, **kw)
+        if done:
+            return done[-1]
+        cur = store.current("silver")
         if cur is None:
             raise FileNotFoundError("no committed bronze run; land a snapshot first")
-        run, path = cur["run_ts"], cur["output_path"]
-    else:
-        m = store.find("bronze", run)
-        if m is None:
-            raise KeyError(f"bronze run {run} is not committed")
-        path = m["output_path"]
+        return RunResult("silver", cur["version"], cur["output_path"], cur["record_count"])
+    m = store.find("bronze", run)
+    if m is None:
+        raise KeyError(f"bronze run {run} is not committed")
     as_of = stamp_epoch(run) if as_of is None else int(as_of)
 
-    states = read_states(spark, path, fmt=fmt).withColumn("run_ts", F.lit(run))
-    ok = F.col("_decode_error").isNull()
-    clean = ok & complete() & F.coalesce(geo_in_range(), F.lit(False))
-    if drop_blank_country:
-        clean = clean & ~F.col("origin_country").isin(*S.MISSING_COUNTRY_MARKERS)
-    states, in_obs = observed(
-        states,
-        "silver_input",
-        malformed=~ok,
-        null_records=ok & null_critical(),
-        invalid_geo=ok & complete() & ~F.coalesce(geo_in_range(), F.lit(False)),
-        clean=clean,
-    )
-    # Two consumers (quarantine, Silver): keep the decoded run once. A lost
-    # executor's blocks are recomputed from the Bronze files.
-    states = states.persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = read_states(spark, m["output_path"], fmt=fmt).withColumn("run_ts", F.lit(run))
+    states, staging = store.stage_input(decoded)
     try:
-        # One job fills the cache and counts both the input (gate) and the rows
-        # dedup keeps: distinct (icao24, last_contact) of clean rows, where a
-        # struct key keeps a null last_contact as its own group.
+        clean = is_clean(states, drop_blank_country=drop_blank_country)
+        # Rows that dedup keeps: distinct (icao24, last_contact) of clean rows, where a
+        # struct key keeps a null last_contact as its own group. Narrow columns of the staged input.
         key = F.when(clean, F.struct("icao24", "last_contact"))
-        row = states.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("deduped")).first()
-        n_in, deduped = int(row["n"]), int(row["deduped"])
-        check_count(n_in, min_rows, what=f"state vectors in run {run}")
+        row = states.agg(
+            F.count(F.lit(1)).alias("input"),
+            *(F.count_if(cond).alias(r) for r, cond in log_reasons(states).items()),
+            F.count_if(clean).alias("clean"),
+            F.count_distinct(key).alias("deduped"),
+        ).first()
+        counts = {k: int(v) for k, v in row.asDict().items()}
+        check_count(counts["input"], min_rows, what=f"state vectors in run {run}")
         if quarantine_dir:
-            write_quarantine(quarantine_rows(states), quarantine_dir)
+            write_quarantine(quarantine_rows(states), quarantine_dir, runs=[run])
         new = silver_latest(states, as_of, run_ts=run, drop_blank_country=drop_blank_country)
-        existing = read_silver(store)
-        merged = upsert(existing, new, order_by=newer_only_order(new) if newer_only else None)
-        merged, out_obs = observed(merged, "silver_table")
-        version, out_path = store.write_version(
+        merged = upsert(read_silver(store), new, order_by=newer_only_order(new) if newer_only else None)
+        version, path = store.write_version(
             with_country_part(merged), "silver", partition_by=S.COUNTRY_PART, rebalance=S.COUNTRY_PART
         )
     finally:
-        states.unpersist()
-    counts = {"input": n_in, **{k: int(v) for k, v in in_obs.get.items() if k != "rows"},
-              "deduped": deduped, "table_rows": int(out_obs.get["rows"])}
-    store.commit(Commit("silver", version, out_path, deduped, run_ts=run))
-    return RunResult("silver", version, out_path, deduped, counts)
+        store.delete(staging)
+    counts["table_rows"] = store.rows_in(path, SILVER_STORED_SCHEMA)
+    store.commit(Commit("silver", version, path, counts["deduped"], run_ts=run))
+    return RunResult("silver", version, path, counts["deduped"], counts)
 
 
 # ---------------------------------------------------------------------------
@@ -168,30 +175,34 @@ def run_gold(
     partition_by: str | None = None,
     restatus_as_of: int | None = None,
 ) -> RunResult:
-    """Current Silver -> a new Gold version (full rewrite, as a Parquet table)."""
+    """Current Silver -> a new Gold version (full rewrite, as a Parquet table).
+
+    ``partition_by`` names a Gold column; its folders are called ``<column>_part`` and hold
+    a tagged copy of its values, so blanks, nulls and number-like text read back as they were."""
     silver_df = read_silver(store)
     if silver_df is None:
         raise FileNotFoundError("no committed silver table")
-    silver_df, in_obs = observed(silver_df, "gold_input")
+    cur_silver = store.current("silver")
     g = gold(silver_df, restatus_as_of=restatus_as_of)
-    g, out_obs = observed(g, "gold_rows")
     if partition_by:
+        part = f"{partition_by}_part"
         version, path = store.write_version(
-            with_country_part(g), "gold", partition_by=S.COUNTRY_PART, rebalance=S.COUNTRY_PART
+            g.withColumn(part, partition_tag(partition_by)), "gold", partition_by=part, rebalance=part
         )
     else:
         version, path = store.write_version(g, "gold")
-    n = int(out_obs.get["rows"])
-    cur_silver = store.current("silver")
-    store.commit(Commit("gold", version, path, n, run_ts=cur_silver["run_ts"] if cur_silver else None))
-    return RunResult("gold", version, path, n, {"gold_input": int(in_obs.get["rows"]), "gold_rows": n})
+    n = store.rows_in(path, S.GOLD_SCHEMA)
+    store.commit(Commit("gold", version, path, n, run_ts=cur_silver["run_ts"]))
+    n_in = store.rows_in(cur_silver["output_path"], SILVER_STORED_SCHEMA)
+    return RunResult("gold", version, path, n, {"gold_input": n_in, "gold_rows": n})
 
 
-def read_gold(store: TableStore) -> DataFrame | None:
-    df = store.read("gold")
-    if df is None:
-        return None
-    return df.drop(S.COUNTRY_PART) if S.COUNTRY_PART in df.columns else df
+def read_gold(store: TableStore, version: int | None = None) -> DataFrame | None:
+    """The committed Gold table (latest, or ``version``), without the partition folders' tags."""
+    df = store.read("gold", S.GOLD_SCHEMA, version)
+    return None if df is None else df.select(*S.GOLD_COLUMNS)
 
 
-__all__ = ["RunResult", "run_bronze", "run_silver", "run_gold", "read_gold", "stamp_epoch", "run_stamp"]
+__all__ = [
+    "RunResult", "run_bronze", "run_silver", "run_silver_pending", "run_gold", "read_gold", "stamp_epoch", "run_stamp",
+]

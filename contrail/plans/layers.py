@@ -27,8 +27,7 @@ def derive_silver(
     ``as_of``, epoch columns as text, ingestion time, hidden bookkeeping.
 
     One projection (the same expressions as the ``flight_status`` /
-    ``source_type`` / ``epoch_to_text`` / ``with_ingestion_time`` steps), so the
-    plan is built and analysed once."""
+    ``source_type`` / ``epoch_to_text`` steps), so the plan is built and analysed once."""
     kw = dict(inactive_s=inactive_s, expired_s=expired_s)
     exprs = {
         "time_position": tfn.epoch_to_text("time_position", tz),
@@ -93,14 +92,6 @@ def silver_latest(
     return derive_silver(latest, as_of, run_col=run_col, run_ts=run_ts, **derive_kw)
 
 
-def dedup_count(states: DataFrame, *, run_col: str | None = None, drop_blank_country: bool = False) -> int:
-    """Rows ``silver`` would keep (distinct (run, icao24, last_contact) of clean
-    rows), from a narrow distinct on the key columns only."""
-    keys = ([run_col] if run_col else []) + ["icao24", "last_contact"]
-    clean = clean_rows(states, drop_blank_country=drop_blank_country)
-    return clean.select(*keys).distinct().count()
-
-
 def visible(df: DataFrame, columns=S.SILVER_COLUMNS) -> DataFrame:
     """Drop the hidden bookkeeping columns."""
     return df.select(*columns)

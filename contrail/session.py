@@ -40,13 +40,16 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """Return the session's checkpoint folder. Where none is set, a local session gets a
+    temporary one; on a cluster that would be a different folder on each machine, so it raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         conf = tempfile.mkdtemp(prefix="contrail-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -2,6 +2,7 @@
 
 from contrail.sinks.store import (  # noqa: F401
     Commit,
+    CommitConflict,
     TableStore,
     read_quarantine,
     read_silver,

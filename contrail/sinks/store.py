@@ -1,19 +1,17 @@
-"""Versioned Parquet tables with an append-only manifest as the commit log.
+"""Versioned Parquet tables with a manifest as the commit log.
 
 Layout under one root (a shared folder)::
 
-    <root>/_manifest/            one small JSON file per commit (MANIFEST_SCHEMA)
-    <root>/<stage>/v=000001/     a complete table version
-    <root>/<stage>/v=000002/ ...
+    <root>/_manifest/<stage>-000001.json      one small JSON file per commit (MANIFEST_SCHEMA)
+    <root>/<stage>/v=000001-<attempt>/        a complete table version
+    <root>/_staging/                          input of a running job, deleted when it ends
 
-A version directory is written first and becomes visible only when its manifest
-row is appended, so readers never see a half-written table and a version is
-never overwritten while it is read (a plan that reads and overwrites the same
-path would destroy it). A failed run leaves an uncommitted directory that the
-retry simply rewrites (same version number). Old versions stay readable (time
+A version folder is written first, under a name of its own for each attempt, and
+becomes visible when its manifest file is created. That file's name holds only
+stage and version and it is created exclusively, so of two writers that try the
+same version the second one fails instead of replacing the first one's rows.
+Readers look the newest version up each time. Old versions stay readable (time
 travel by version); pruning them is an operational choice.
-
-Single writer per stage is assumed, as with a scheduled job.
 """
 
 from __future__ import annotations
@@ -22,13 +20,17 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail import schema as S
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed this version first."""
+
+
 @dataclass
 class Commit:
     stage: str
@@ -44,12 +46,8 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.manifest_path = f"{self.root}/_manifest"
-        self._cache: dict | None = None  # stage -> (newest commit, max batch id)
 
     # -- manifest -----------------------------------------------------------
-    # The manifest grows by one record per commit. The driver only keeps a
-    # bounded summary of it: per stage the newest commit and the highest
-    # committed batch id (streaming batch ids only increase; single writer).
 
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -60,24 +58,38 @@ class TableStore:
         p, fs = self._fs(path)
         return fs.exists(p)
 
+    def delete(self, path: str) -> None:
+        p, fs = self._fs(path)
+        fs.delete(p, True)
+
     def manifest(self) -> DataFrame:
         if not self._exists(self.manifest_path):
             return self.spark.createDataFrame([], S.MANIFEST_SCHEMA)
-        return self.spark.read.schema(S.MANIFEST_SCHEMA).json(self.manifest_path)
-
-    def _summary(self) -> dict:
-        if self._cache is None:
-            m = self.manifest()
-            rows = m.groupBy("stage").agg(
-                F.max_by(F.struct(*m.columns), "version").alias("latest"),
-                F.max("batch_id").alias("max_batch"),
-            ).collect()
-            self._cache = {r["stage"]: (r["latest"], r["max_batch"]) for r in rows}
-        return self._cache
+        return self.spark.read.schema(S.MANIFEST_SCHEMA).json(self.manifest_path).filter("stage IS NOT NULL")
+
+    def _commit_file(self, stage: str, version: int) -> str:
+        return f"{self.manifest_path}/{stage}-{version:06d}.json"
+
+    def versions(self, stage: str) -> list[int]:
+        """Committed versions, from the names of the manifest's files alone."""
+        pattern, fs = self._fs(f"{self.manifest_path}/{stage}-*.json")
+        names = [st.getPath().getName() for st in (fs.globStatus(pattern) or [])]
+        return sorted(int(n[len(stage) + 1 : -len(".json")]) for n in names)
+
+    def _record(self, stage: str, version: int) -> Row:
+        path, fs = self._fs(self._commit_file(stage, version))
+        stream = fs.open(path)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        rec = json.loads(text)
+        return Row(**{f.name: rec[f.name] for f in S.MANIFEST_SCHEMA.fields})
 
     def current(self, stage: str) -> Row | None:
-        entry = self._summary().get(stage)
-        return entry[0] if entry else None
+        """The commit of the newest version, looked up anew on every call."""
+        versions = self.versions(stage)
+        return self._record(stage, versions[-1]) if versions else None
 
     def find(self, stage: str, run_ts: str) -> Row | None:
         """The newest commit of ``stage`` for ``run_ts`` (one-row query)."""
@@ -85,14 +97,15 @@ class TableStore:
         row = m.agg(F.max_by(F.struct(*m.columns), "version").alias("r")).first()
         return row["r"] if row is not None and row["r"] is not None else None
 
-    def committed_batch(self, stage: str, batch_id: int) -> bool:
-        entry = self._summary().get(stage)
-        return entry is not None and entry[1] is not None and batch_id <= entry[1]
+    def pending_runs(self, done: str = "silver", of: str = "bronze") -> list[Row]:
+        """Newest commit of each ``of`` run without a ``done`` commit, in order of the run stamp."""
+        m = self.manifest()
+        runs = m.filter(F.col("stage") == of).groupBy("run_ts").agg(F.max_by(F.struct(*m.columns), "version").alias("r"))
+        left = runs.join(m.filter(F.col("stage") == done).select("run_ts"), "run_ts", "left_anti")
+        return [r["r"] for r in left.orderBy("run_ts").collect()]
 
     def commit(self, c: Commit) -> None:
-        """Append one commit record: a small JSON file written under a hidden
-        name (readers skip names starting with '_') and renamed into place, so
-        a reader sees the whole record or nothing."""
+        """Create the manifest file of this version; raises if there is one already."""
         rec = {
             "run_ts": c.run_ts,
             "stage": c.stage,
@@ -101,41 +114,32 @@ class TableStore:
             "record_count": int(c.record_count),
             "batch_id": c.batch_id,
         }
-        name = f"{c.stage}-{int(c.version):06d}-{uuid.uuid4().hex[:8]}.json"
-        tmp, fs = self._fs(f"{self.manifest_path}/_tmp-{name}")
-        final, _ = self._fs(f"{self.manifest_path}/{name}")
-        out = fs.create(tmp, False)
+        path, fs = self._fs(self._commit_file(c.stage, int(c.version)))
+        try:
+            out = fs.create(path, False)
+        except Exception as e:
+            if fs.exists(path):
+                raise CommitConflict(f"{c.stage} version {c.version} is already committed") from e
+            raise
         try:
             out.write(bytearray(json.dumps(rec).encode("utf-8") + b"\n"))
         finally:
             out.close()
-        if not fs.rename(tmp, final):
-            raise OSError(f"could not commit {name} to {self.manifest_path}")
-        if self._cache is not None:  # single writer: our record is the only new one
-            row = Row(**{f.name: rec[f.name] for f in S.MANIFEST_SCHEMA.fields})
-            _, max_batch = self._cache.get(c.stage, (None, None))
-            if c.batch_id is not None:
-                max_batch = c.batch_id if max_batch is None else max(max_batch, c.batch_id)
-            self._cache[c.stage] = (row, max_batch)
 
     # -- versions -----------------------------------------------------------
 
     def next_version(self, stage: str) -> int:
-        cur = self.current(stage)
-        return 1 if cur is None else int(cur["version"]) + 1
-
-    def version_path(self, stage: str, version: int) -> str:
-        return f"{self.root}/{stage}/v={version:06d}"
+        versions = self.versions(stage)
+        return versions[-1] + 1 if versions else 1
 
     def read(self, stage: str, schema: T.StructType | None = None, version: int | None = None) -> DataFrame | None:
         """The committed table (latest, or ``version``); None if never committed."""
-        if version is None:
-            cur = self.current(stage)
-            if cur is None:
-                return None
-            path = cur["output_path"]
-        else:
-            path = self.version_path(stage, version)
+        rec = self.current(stage) if version is None else self._record(stage, version)
+        if rec is None:
+            return None
+        return self.read_path(rec["output_path"], schema)
+
+    def read_path(self, path: str, schema: T.StructType | None = None) -> DataFrame:
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
@@ -151,14 +155,24 @@ class TableStore:
     ) -> tuple[int, str]:
         """Write ``df`` as the next (uncommitted) version; returns (version, path)."""
         version = self.next_version(stage)
-        path = self.version_path(stage, version)
+        path = f"{self.root}/{stage}/v={version:06d}-{uuid.uuid4().hex[:8]}"
         out = df.hint("rebalance", rebalance) if rebalance else df
-        writer = out.write.mode("overwrite")
+        writer = out.write
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
         return version, path
 
+    def rows_in(self, path: str, schema: T.StructType) -> int:
+        """Rows of a written Parquet folder, from the file footers; 0 if it holds no file."""
+        return self.read_path(path, schema).count()
+
+    def stage_input(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """Write a job's input once under ``_staging`` and read it back; delete it after the commit."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.read_path(path, df.schema), path
+
 
 def run_config(store: TableStore) -> DataFrame:
     """Current view of the manifest: one row per run with the newest path and
@@ -193,12 +207,14 @@ def country_tag(country: str) -> str:
     return country if country != "" else BLANK_PART
 
 
+def partition_tag(column: str) -> Column:
+    """Text to partition by: blank values would read back as null partitions and
+    number-like ones would be retyped, so the folders hold a tagged copy and the column stays data."""
+    return F.coalesce(F.nullif(F.col(column).cast("string"), F.lit("")), F.lit(BLANK_PART))
+
+
 def with_country_part(df: DataFrame) -> DataFrame:
-    """Partition helper: blank countries read back as null partitions, and
-    numeric-looking names would be retyped, so partition by a tagged copy and
-    keep ``origin_country`` as data."""
-    c = F.col("origin_country")
-    return df.withColumn(S.COUNTRY_PART, F.coalesce(F.nullif(c, F.lit("")), F.lit(BLANK_PART)))
+    return df.withColumn(S.COUNTRY_PART, partition_tag("origin_country"))
 
 
 def read_silver(
@@ -228,12 +244,28 @@ QUARANTINE_READ_SCHEMA = T.StructType(
 )
 
 
-def write_quarantine(rows: DataFrame, path: str, *, run_col: str = "run_ts", batch_id: int | None = None) -> None:
+def write_quarantine(
+    rows: DataFrame,
+    path: str,
+    *,
+    run_col: str = "run_ts",
+    batch_id: int | None = None,
+    runs: list[str] | None = None,
+) -> None:
     """Logged rows as JSON under ``path/dq_reason=…/run_ts=…`` (one folder per
     reason and run; with ``batch_id`` one more level so batches of the same run
-    never replace each other). Dynamic partition overwrite makes a retry
-    replace exactly its own folders. The JSON writer omits null fields: read
-    back with :data:`QUARANTINE_READ_SCHEMA`."""
+    never replace each other). ``runs`` names runs that are written as a whole: their
+    old folders go first, so a corrected run leaves no old row. Otherwise a
+    retry replaces exactly the folders it writes. The JSON writer omits null
+    fields: read back with :data:`QUARANTINE_READ_SCHEMA`."""
+    if runs:
+        spark = rows.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for run in runs:
+            pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/dq_reason=*/{run_col}={run}")
+            fs = pattern.getFileSystem(conf)
+            for old in fs.globStatus(pattern) or []:
+                fs.delete(old.getPath(), True)
     cols = [f.name for f in S.QUARANTINE_SCHEMA.fields if f.name in rows.columns]
     parts = ["dq_reason", run_col]
     out = rows.select(*cols, "dq_reason", F.col(run_col).cast("string").alias(run_col))

@@ -7,7 +7,6 @@ from contrail.sources.bronze import (  # noqa: F401
     land_snapshots,
     landed_counts,
     latest_run,
-    latest_run_row,
     read_states,
     to_envelopes,
     to_state_lines,

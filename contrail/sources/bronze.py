@@ -16,29 +16,52 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.functions.decode import decode_error, state_columns, state_json
 
-ENVELOPE_SCHEMA = "struct<time: bigint, states: array<string>>"
-RUN_STAMP_RX = r"([0-9]{8}_[0-9]{6})"
+# ``_corrupt_record`` takes the text of a body that isn't a JSON object with a list of states.
+ENVELOPE_SCHEMA = "struct<states: array<string>, _corrupt_record: string>"
+_STAMP = "[0-9]{8}_[0-9]{6}"
 
 
 class DataQualityError(Exception):
     """Raised when a run fails a gate (too few rows, malformed input in failfast mode)."""
 
 
+def run_stamp_of_file(run_col: str = "run_ts") -> Column:
+    """The run stamp of the file a row comes from: its ``run_ts=`` folder, else the stamp in
+    the file's own name (folders above it don't count). A file without one fails the read."""
+    path = F.col("_metadata.file_path")
+    stamp = F.coalesce(
+        F.nullif(F.regexp_extract(path, f"/{run_col}=({_STAMP})/[^/]*$", 1), F.lit("")),
+        F.nullif(F.regexp_extract(path, f"({_STAMP})[^/]*$", 1), F.lit("")),
+    )
+    return F.coalesce(stamp, F.raise_error(F.concat(F.lit("no run stamp in the name of "), path)).cast("string"))
+
+
 # ---------------------------------------------------------------------------
 # Landing
 # ---------------------------------------------------------------------------
 
 
+def unreadable(body_col: str = "body") -> Column:
+    """Whether a response body isn't a JSON object whose states, if any, are a list."""
+    env = F.from_json(F.col(body_col), ENVELOPE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return F.col(body_col).isNull() | env.getField("_corrupt_record").isNotNull()
+
+
 def envelope_states(responses: DataFrame, *, body_col: str = "body", run_col: str = "run_ts") -> DataFrame:
     """API response envelopes -> one row per state vector (its compact JSON text).
 
-    Only ``states`` is used; a missing or null ``states`` (or an unparsable body)
-    contributes no rows, so the count gate sees zero.
+    Only ``states`` is used; a missing or null ``states`` contributes no rows, so
+    the count gate sees zero. An unreadable body becomes one line with its text, which
+    decoding flags as unparsable, so it is logged rather than lost.
     """
-    env = F.from_json(F.col(body_col), ENVELOPE_SCHEMA)
-    return responses.select(
-        F.col(run_col).cast("string").alias(run_col),
-        F.explode(env.getField("states")).alias("value"),
+    env = F.from_json(F.col(body_col), ENVELOPE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = responses.select(F.col(run_col).cast("string").alias(run_col), F.col(body_col).alias("_body"), env.alias("_env"))
+    bad = F.col("_body").isNull() | F.col("_env._corrupt_record").isNotNull()
+    text = F.translate(F.coalesce(F.col("_body"), F.lit("null")), "\r\n", "  ")
+    # An unreadable body could still hold whole states: keep it as one value, marked so that it can't parse.
+    return parsed.select(
+        run_col,
+        F.explode(F.when(bad, F.array(F.concat(F.lit("!"), text))).otherwise(F.col("_env.states"))).alias("value"),
     )
 
 
@@ -70,10 +93,18 @@ def land_snapshots(
     return path
 
 
-def landed_counts(spark: SparkSession, path: str, *, run_col: str = "run_ts") -> DataFrame:
-    """Per-run state counts of a landed Bronze folder: (run_ts, n_states)."""
-    df = spark.read.text(path)
-    return df.groupBy(F.col(run_col).cast("string").alias(run_col)).agg(F.count(F.lit(1)).alias("n_states"))
+def landed_counts(spark: SparkSession, path: str, runs: list[str], *, run_col: str = "run_ts") -> DataFrame:
+    """(run_ts, n_states, n_unreadable) of the given runs; only their folders are listed and read."""
+    root = path.rstrip("/")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folders = [jvm.org.apache.hadoop.fs.Path(f"{root}/{run_col}={r}") for r in runs]
+    there = [p.toString() for p in folders if p.getFileSystem(conf).exists(p)]
+    if not there:
+        return spark.createDataFrame([], f"{run_col} string, n_states long, n_unreadable long")
+    df = spark.read.option("basePath", root).text(there)
+    return df.groupBy(F.col(run_col).cast("string").alias(run_col)).agg(
+        F.count(F.lit(1)).alias("n_states"), F.count_if(F.col("value").startswith("!")).alias("n_unreadable")
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -86,8 +117,8 @@ def decode_states(df: DataFrame, *, value_col: str = "value", fmt: str = "line")
 
     ``fmt='line'``: each value is one positional array. ``fmt='array'``: each
     value is a whole snapshot (array of arrays); an unparsable snapshot yields a
-    single row with ``_decode_error='unparsable'``. Other input columns pass
-    through. ``_raw`` keeps the source text of malformed rows only.
+    single row with ``_decode_error='unparsable'`` and the file's text. Other input
+    columns pass through. ``_raw`` keeps the source text of malformed rows only.
     """
     keep = [c for c in df.columns if c != value_col]
     v = F.col(value_col)
@@ -97,16 +128,20 @@ def decode_states(df: DataFrame, *, value_col: str = "value", fmt: str = "line")
     elif fmt == "array":
         snap = F.from_json(v, "array<array<string>>")
         marker = F.array(F.lit(None).cast("array<string>"))
-        staged = df.select(*keep, F.explode(F.when(snap.isNull(), marker).otherwise(snap)).alias("_arr"))
-        raw = F.to_json(F.col("_arr"))
+        parsed = df.select(*keep, v.alias("_text"), snap.alias("_snap"))
+        staged = parsed.select(
+            *keep,
+            F.when(F.col("_snap").isNull(), F.col("_text")).alias("_text"),
+            F.explode(F.coalesce(F.col("_snap"), marker)).alias("_arr"),
+        )
+        raw = F.coalesce(F.col("_text"), F.to_json(F.col("_arr")))
     else:
         raise ValueError(f"unknown bronze format {fmt!r}")
     # Typed values first, the error flag second: the flag reads the typed
     # columns, so every cast runs once (the two projections stay separate
     # because the typed expressions are referenced twice).
     # The raw text is only rendered for malformed rows.
-    extra = ["_text"] if fmt == "line" else []
-    typed = staged.select(*keep, *state_columns("_arr"), "_arr", *extra)
+    typed = staged.select(*keep, *state_columns("_arr"), "_arr", "_text")
     err = decode_error("_arr")
     return typed.select(
         *keep,
@@ -138,14 +173,9 @@ def read_states(
         if run_col in raw.columns:
             raw = raw.withColumn(run_col, F.col(run_col).cast("string"))
         else:
-            raw = raw.withColumn(
-                run_col, F.regexp_extract(F.col("_metadata.file_path"), RUN_STAMP_RX, 1)
-            )
+            raw = raw.withColumn(run_col, run_stamp_of_file(run_col))
     elif fmt == "array":
-        raw = spark.read.text(paths, wholetext=True).select(
-            "value",
-            F.regexp_extract(F.col("_metadata.file_path"), r"([0-9]{8}_[0-9]{6})[^/]*$", 1).alias(run_col),
-        )
+        raw = spark.read.text(paths, wholetext=True).select("value", run_stamp_of_file(run_col).alias(run_col))
     else:
         raise ValueError(f"unknown bronze format {fmt!r}")
     states = decode_states(raw, fmt=fmt)
@@ -191,16 +221,6 @@ def latest_run(manifest: DataFrame, stage: str = "bronze") -> DataFrame:
     return m.agg(w).select("_r.*").filter(F.col("run_ts").isNotNull())
 
 
-def latest_run_row(manifest: DataFrame, stage: str = "bronze"):
-    """Driver-side: the newest run row; raises if the stage never committed."""
-    row = latest_run(manifest, stage).first()
-    if row is None:
-        raise FileNotFoundError(f"no committed {stage} run in the manifest")
-    if not row.asDict().get("output_path"):
-        raise KeyError(f"{stage} run {row['run_ts']} has no output path")
-    return row
-
-
 __all__ = [
     "DataQualityError",
     "decode_states",
@@ -208,7 +228,6 @@ __all__ = [
     "land_snapshots",
     "landed_counts",
     "latest_run",
-    "latest_run_row",
     "read_states",
     "to_envelopes",
     "to_state_lines",

@@ -2,8 +2,8 @@
 
 The test tables hold no flights, so events are read as aircraft reports:
 ``user_id`` is the aircraft, ``props.k`` (0–99) selects edge cases, every 50th
-event is reported twice with another callsign (duplicate dedup keys), and the
-event's calendar day stands for one Bronze snapshot. The same view is given as
+event is reported twice with another callsign (duplicate dedup keys), every 35th twice
+unchanged (equal rows), and the event's calendar day stands for one Bronze snapshot. The same view is given as
 DuckDB SQL for the oracle; both must stay in step.
 """
 
@@ -27,6 +27,7 @@ K_NULL_LATITUDE = 94
 K_BAD_LONGITUDE = 93
 K_NULL_SOURCE = 92
 DUPLICATE_EVERY = 50
+REPEAT_EVERY = 35
 N_NATIONS = 25
 AS_OF = 1706659199  # 2024-01-30 23:59:59 UTC
 DAY_END_SUFFIX = "_235959"
@@ -45,11 +46,13 @@ def state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     nation = spark.read.schema(NATION_SCHEMA).parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
     cols = ["event_id", "ts", "user_id", "event_type", "value"]
-    # Every DUPLICATE_EVERY-th event is reported twice (suffix '' and 'D'):
-    # one scan, the copy generated in place.
-    suffixes = F.when(F.col("event_id") % DUPLICATE_EVERY == 0, F.array(F.lit(""), F.lit("D"))).otherwise(
-        F.array(F.lit(""))
-    )
+    # Every DUPLICATE_EVERY-th event is reported again with the suffix 'D', every
+    # REPEAT_EVERY-th unchanged: one scan, the copies generated in place.
+    suffixes = F.array_compact(F.array(
+        F.lit(""),
+        F.when(F.col("event_id") % DUPLICATE_EVERY == 0, F.lit("D")),
+        F.when(F.col("event_id") % REPEAT_EVERY == 0, F.lit("")),
+    ))
     e = ev.select(*cols, _k().alias("k"), ntz_to_epoch("ts").alias("ep"), F.explode(suffixes).alias("suffix"))
     # nation is a fixed 25-row dimension; the planner broadcasts it from its
     # file statistics (autoBroadcastJoinThreshold), no hint needed.
@@ -80,8 +83,8 @@ def state_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 360).cast("double").alias("true_track"),
         ((k - 50).cast("double") / 10).alias("vertical_rate"),
         F.lit(None).cast("string").alias("sensors"),
-        F.lit(None).cast("double").alias("geo_altitude"),
-        F.lit(None).cast("string").alias("squawk"),
+        F.when(k % 3 != 0, F.col("value") * 100 + 25).alias("geo_altitude"),
+        F.when(k % 5 != 0, F.lpad((F.col("event_id") % 7778).cast("string"), 4, "0")).alias("squawk"),
         F.lit(False).alias("spi"),
         F.when(k == K_NULL_SOURCE, F.lit(None).cast("bigint")).otherwise((k % 6).cast("bigint")).alias("position_source"),
         day.alias("snapshot_day"),
@@ -108,6 +111,9 @@ sv AS (
     UNION ALL
     SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
            epoch_us(ts) // 1000000 AS ep, 'D' AS suffix FROM events WHERE event_id % {DUPLICATE_EVERY} = 0
+    UNION ALL
+    SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+           epoch_us(ts) // 1000000 AS ep, '' AS suffix FROM events WHERE event_id % {REPEAT_EVERY} = 0
   )
   SELECT
     CASE WHEN k = {K_NULL_ICAO} THEN NULL ELSE lpad(printf('%x', user_id), 6, '0') END AS icao24,
@@ -125,13 +131,11 @@ sv AS (
     CAST(event_id % 360 AS DOUBLE) AS true_track,
     CAST(k - 50 AS DOUBLE) / 10 AS vertical_rate,
     CAST(NULL AS VARCHAR) AS sensors,
-    CAST(NULL AS DOUBLE) AS geo_altitude,
-    CAST(NULL AS VARCHAR) AS squawk,
+    CASE WHEN k % 3 <> 0 THEN value * 100 + 25 END AS geo_altitude,
+    CASE WHEN k % 5 <> 0 THEN lpad(CAST(event_id % 7778 AS VARCHAR), 4, '0') END AS squawk,
     FALSE AS spi,
     CASE WHEN k = {K_NULL_SOURCE} THEN NULL ELSE CAST(k % 6 AS BIGINT) END AS position_source,
     CAST(ts AS DATE) AS snapshot_day,
     strftime(CAST(ts AS DATE), '%Y%m%d') || '{DAY_END_SUFFIX}' AS run_ts
   FROM e JOIN nation ON n_nationkey = user_id % {N_NATIONS}
 )"""
-
-STATE_COLS_SQL = ", ".join(S.STATE_COLUMNS)

@@ -15,8 +15,10 @@ commutative and idempotent, so:
 * snapshots arriving out of order, or one snapshot split over two batches,
   give the same table as processing the snapshots in order, once.
 
-The batch id is stored with the manifest commit; a batch already committed is
-skipped on replay.
+A batch is never skipped by its number: batch ids start again with a new
+checkpoint, and merging a batch twice is harmless. Each run of a batch passes the same
+record-count gate as in the batch job, if ``min_rows`` asks for one; a snapshot split
+over several batches can't be gated here, so the default is no gate.
 """
 
 from __future__ import annotations
@@ -27,12 +29,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from contrail import schema as S
 from contrail.functions.time import run_ts_to_epoch
-from contrail.operators.observe import observed_aggs
-from contrail.operators.quality import quarantine_rows
+from contrail.operators.quality import check_count, quarantine_rows
 from contrail.operators.upsert import upsert
 from contrail.plans.layers import silver_latest
-from contrail.sinks.store import Commit, TableStore, read_silver, with_country_part, write_quarantine
-from contrail.sources.bronze import RUN_STAMP_RX, decode_states
+from contrail.sinks.store import SILVER_STORED_SCHEMA, Commit, TableStore, read_silver, with_country_part, write_quarantine
+from contrail.sources.bronze import decode_states, run_stamp_of_file
 
 RECENCY_ORDER = (S.RUN_COL, S.LAST_CONTACT_EPOCH, "time_position", "callsign")
 
@@ -45,21 +46,29 @@ def process_batch(
     fmt: str = "line",
     as_of: int | None = None,
     quarantine_dir: str | None = None,
+    min_rows: int | None = None,
 ) -> None:
-    """Silver step for one micro-batch of Bronze text (``value``, ``run_ts``)."""
-    if store.committed_batch("silver", batch_id):
-        return
-    states = decode_states(batch, fmt=fmt)
-    if quarantine_dir:
-        write_quarantine(quarantine_rows(states), quarantine_dir, batch_id=batch_id)
-    as_of_col = run_ts_to_epoch(F.col("run_ts")) if as_of is None else as_of
-    new = silver_latest(states, as_of_col, run_col="run_ts")  # newest run, then recency
-    merged = upsert(read_silver(store), new, order_by=RECENCY_ORDER)
-    merged, obs = observed_aggs(merged, "silver_batch", last_run=F.max(S.RUN_COL))
-    version, path = store.write_version(
-        with_country_part(merged), "silver", partition_by=S.COUNTRY_PART, rebalance=S.COUNTRY_PART
-    )
-    n, last_run = int(obs.get["rows"]), obs.get["last_run"]
+    """Silver step for one micro-batch of Bronze text (``value``, ``run_ts``).
+
+    The text is read and decoded once, into a staged folder; the merge reads the staged
+    rows and the Silver table once each."""
+    states, staging = store.stage_input(decode_states(batch, fmt=fmt))
+    try:
+        if min_rows is not None:
+            for r in states.groupBy("run_ts").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < min_rows).take(1):
+                check_count(r["n"], min_rows, what=f"state vectors in run {r['run_ts']}")
+        if quarantine_dir:
+            write_quarantine(quarantine_rows(states), quarantine_dir, batch_id=batch_id)
+        as_of_col = run_ts_to_epoch(F.col("run_ts")) if as_of is None else as_of
+        new = silver_latest(states, as_of_col, run_col="run_ts")  # newest run, then recency
+        merged = upsert(read_silver(store), new, order_by=RECENCY_ORDER)
+        version, path = store.write_version(
+            with_country_part(merged), "silver", partition_by=S.COUNTRY_PART, rebalance=S.COUNTRY_PART
+        )
+        last_run = states.agg(F.max("run_ts")).first()[0]
+    finally:
+        store.delete(staging)
+    n = store.rows_in(path, SILVER_STORED_SCHEMA)
     store.commit(Commit("silver", version, path, n, run_ts=last_run, batch_id=batch_id))
 
 
@@ -84,10 +93,7 @@ def bronze_stream(
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     raw = reader.load(bronze_dir)
-    return raw.select(
-        "value",
-        F.regexp_extract(F.col("_metadata.file_path"), RUN_STAMP_RX, 1).alias("run_ts"),
-    )
+    return raw.select("value", run_stamp_of_file().alias("run_ts"))
 
 
 def run_incremental(
@@ -103,6 +109,7 @@ def run_incremental(
     as_of: int | None = None,
     quarantine_dir: str | None = None,
     archive_dir: str | None = None,
+    min_rows: int | None = None,
 ) -> StreamingQuery:
     """Start the incremental Silver stream; returns the running query."""
     src = bronze_stream(
@@ -110,7 +117,7 @@ def run_incremental(
     )
 
     def _each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, store, fmt=fmt, as_of=as_of, quarantine_dir=quarantine_dir)
+        process_batch(batch, batch_id, store, fmt=fmt, as_of=as_of, quarantine_dir=quarantine_dir, min_rows=min_rows)
 
     w = src.writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)
     if available_now:

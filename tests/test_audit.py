@@ -89,3 +89,29 @@ def test_guard_matches_python_rules_on_random_statements(spark):
             assert got[i] == _python_rule(q), (q, got[i], _python_rule(q))
 
     check()
+
+
+def test_null_statement_is_refused(spark):
+    from contrail.plans import sql_audit
+
+    (r,) = sql_audit(spark.createDataFrame([(None,)], "q string")).collect()
+    assert (r.allowed, r.rule) == (False, "not_select")
+
+
+@pytest.mark.parametrize("stmt", [
+    "SELECT java_method('java.lang.System', 'currentTimeMillis') FROM flights_gold",
+    "SELECT `reflect`('java.lang.System', 'currentTimeMillis') FROM flights_gold",
+    "SELECT try_reflect('a', 'b') FROM flights_gold",
+    "SELECT count(*) FROM parquet.`/root/testdata/sf0.001/nation.parquet`",
+    "SELECT (SELECT max(n_name) FROM parquet.`/root/testdata/sf0.001/nation.parquet`) FROM flights_gold",
+    "SELECT * FROM flights_gold WHERE status IN (SELECT id FROM other_table)",
+    "SELECT * FROM range(5)",
+])
+def test_gold_sql_stays_on_the_gold_view(spark, stmt):
+    from contrail.plans import UnsafeQueryError, gold_sql, register_gold
+
+    register_gold(spark.range(2).withColumnRenamed("id", "status"))
+    with pytest.raises(UnsafeQueryError):
+        gold_sql(spark, stmt)
+    ok = "SELECT * FROM (WITH x AS (SELECT status FROM flights_gold) SELECT count(*) AS n FROM x) y"
+    assert gold_sql(spark, ok).first().n == 2

@@ -27,3 +27,8 @@ def test_cli_land_silver_gold_sql(spark, scratch, capsys):
     assert main(["sql", "--store", store, "SELECT status, count(*) AS n FROM flights_gold GROUP BY status",
                  "--output", f"{scratch}/answer"]) == 0
     assert [tuple(r) for r in spark.read.parquet(f"{scratch}/answer").collect()] == [("AIRBORNE", 6)]
+    capsys.readouterr()
+    assert main(["sql", "--store", store, "SELECT icao24 FROM flights_gold ORDER BY icao24"]) == 0
+    assert len([ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("00000")]) == 6
+    assert main(["sql", "--store", store, "--limit", "2", "SELECT icao24 FROM flights_gold"]) == 0
+    assert len([ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("00000")]) == 2

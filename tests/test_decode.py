@@ -125,3 +125,31 @@ def test_schema_matches(spark):
         f.dataType for f in S.STATE_SCHEMA
     ]
     assert F is not None
+
+
+def test_java_number_suffix_is_a_bad_value(spark):
+    from contrail.sources import decode_states
+
+    def line(v):
+        return f'["a","b","X",1,2,3.5,{v},0,false,0,0,0,[1,2],0,"1200",false,0]'
+
+    df = spark.createDataFrame([(line('"12d"'),), (line('"1.5f"'),), (line("4.5"),), (line("NaN"),)], "value string")
+    got = [(r.latitude, r._decode_error) for r in decode_states(df).collect()]
+    assert got[:3] == [(None, "bad_value"), (None, "bad_value"), (4.5, None)]
+    assert got[3][1] is None and got[3][0] != got[3][0]  # NaN is a number
+
+
+def test_epoch_without_date_text_is_a_bad_value(spark):
+    from contrail.sources import decode_states
+
+    df = spark.createDataFrame(
+        [('["a","b","X",1,253402300800,3.5,4.5,0,false,0,0,0,null,0,"1200",false,0]',)], "value string")
+    assert decode_states(df).first()._decode_error == "bad_value"
+
+
+def test_unparsable_array_file_keeps_its_text(spark):
+    from contrail.sources import decode_states
+
+    df = spark.createDataFrame([("[[1, 2",)], "value string")
+    r = decode_states(df, fmt="array").first()
+    assert (r._decode_error, r._raw) == ("unparsable", "[[1, 2")

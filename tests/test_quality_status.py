@@ -9,7 +9,6 @@ from contrail import schema as S
 from contrail.operators import (
     check_count,
     complete_rows,
-    count_gate,
     dedup_states,
     flight_status,
     invalid_geo,
@@ -193,14 +192,6 @@ def test_count_gates(n, minimum, ok):
             check_count(n, minimum)
 
 
-def test_count_gate_on_frame(spark):
-    df = spark.range(1000)
-    assert count_gate(df, 1000) == 1000
-    with pytest.raises(DataQualityError):
-        count_gate(df, 1001)
-    assert math.isfinite(1.0) and F is not None
-
-
 def test_time_helpers_zone_free_across_dst(spark):
     from contrail.functions.time import epoch_to_text, ntz_to_epoch, run_ts_to_epoch
 
@@ -219,9 +210,7 @@ def test_time_helpers_zone_free_across_dst(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_classify_reason_and_keep(spark):
-    from contrail.operators import classify
-
+def test_quarantine_reasons_in_one_pass(spark):
     df = frame(
         spark,
         state(callsign="ok"),
@@ -230,11 +219,13 @@ def test_classify_reason_and_keep(spark):
         state(callsign="far", lat=91.0),
         state(callsign="blank_far", country="", lat=91.0),
     )
-    got = {r.callsign: (r.dq_reason, r.dq_keep) for r in classify(df).collect()}
-    assert got == {
-        "ok": (None, True),
-        "blank": ("null_records", True),
-        "nolat": ("null_records", False),
-        "far": ("invalid_geo", False),
-        "blank_far": ("null_records", False),
-    }
+    from contrail.operators import quarantine_rows
+
+    out = quarantine_rows(df)
+    got = sorted((r.callsign, r.dq_reason) for r in out.collect())
+    assert got == [
+        ("blank", "null_records"), ("blank_far", "invalid_geo"), ("blank_far", "null_records"),
+        ("far", "invalid_geo"), ("nolat", "null_records"),
+    ]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("Generate explode") == 1

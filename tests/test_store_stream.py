@@ -181,7 +181,7 @@ def test_incremental_array_files_and_quarantine(spark, scratch):
     assert qrows == [("invalid_geo", "20231114_220000"), ("malformed", "20231114_221000")]
 
 
-def test_recency_merge_shuffles_only_touched_keys(spark, scratch):
+def test_recency_merge_reads_each_side_once(spark, scratch):
     big = spark.range(50_000).select(
         F.format_string("%06x", "id").alias("icao24"), F.col("id").alias("v"), F.lit(0).alias("r")
     )
@@ -191,7 +191,7 @@ def test_recency_merge_shuffles_only_touched_keys(spark, scratch):
     existing, new = spark.read.parquet(f"{scratch}/existing"), spark.read.parquet(f"{scratch}/new")
     out = upsert(existing, new, order_by=["r"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert plan.count("FileScan") == 2 and "Join" not in plan
     rows = {r.icao24: (r.v, r.r) for r in out.collect()}
     assert len(rows) == 50_001
     assert rows["000001"] == (7, 1) and rows["0ffff0"] == (9, 1)
@@ -244,3 +244,183 @@ def test_incremental_late_arrival_does_not_overwrite(spark, scratch):
     assert q.exception() is None
     table = {r.icao24: r.callsign for r in read_silver(store).collect()}
     assert table == {"000001": "NEWER", "000002": "ONLY_NEW", "000003": "ONLY_OLD"}
+
+
+# ---------------------------------------------------------------------------
+# Nothing vanishes silently
+# ---------------------------------------------------------------------------
+
+
+def _stream(spark, scratch, store, ckpt, **kw):
+    q = run_incremental(spark, f"{scratch}/bronze", store, f"{scratch}/{ckpt}", **kw)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_new_checkpoint_drops_no_batch(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    for d in range(3):
+        land_snapshots(_envelopes(spark, {f"2023111{d}_120000": [_js(f"00000{d}", f"C{d}", NOW + d)]}), f"{scratch}/bronze")
+        _stream(spark, scratch, store, "ckpt_a")
+    # the checkpoint is lost: batch ids start at 0 again
+    land_snapshots(_envelopes(spark, {"20231119_120000": [_js("00000f", "F", NOW)]}), f"{scratch}/bronze")
+    _stream(spark, scratch, store, "ckpt_b")
+    assert sorted(r.callsign for r in read_silver(store).collect()) == ["C0", "C1", "C2", "F"]
+
+
+def test_incremental_gate(spark, scratch):
+    land_snapshots(_envelopes(spark, {"20231110_120000": [_js("000001", "A", NOW)]}), f"{scratch}/bronze")
+    store = TableStore(spark, f"{scratch}/store")
+    q = run_incremental(spark, f"{scratch}/bronze", store, f"{scratch}/ckpt", min_rows=2)
+    with pytest.raises(Exception, match="count gate"):
+        q.awaitTermination()
+    assert store.current("silver") is None
+
+
+def test_unreadable_response_fails_its_run_or_is_logged(spark, scratch):
+    whole = json.dumps({"time": 1, "states": [_js("000001", "A", NOW)]})
+    cut = json.dumps({"time": 1, "states": [_js("000002", "B", NOW)]}, indent=1)[:-20]
+    run = "20231114_220000"
+    bodies = spark.createDataFrame([(run, whole), (run, cut)], "run_ts string, body string")
+    store = TableStore(spark, f"{scratch}/store")
+    with pytest.raises(DataQualityError, match="unreadable"):
+        run_bronze(spark, bodies, f"{scratch}/bronze", store, min_rows=1)
+    assert store.current("bronze") is None
+    run_bronze(spark, bodies, f"{scratch}/bronze", store, min_rows=1, keep_unreadable=True)
+    run_silver(spark, store, min_rows=1, quarantine_dir=f"{scratch}/q")
+    (bad,) = read_quarantine(spark, f"{scratch}/q").collect()
+    assert bad.dq_reason == "malformed" and "000002" in bad._raw
+    assert [r.icao24 for r in read_silver(store).collect()] == ["000001"]
+
+
+def test_every_pending_run_reaches_silver(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    runs = {f"20231114_2{h}0000": [_js(f"00000{h}", f"H{h}", NOW)] for h in range(3)}
+    run_bronze(spark, _envelopes(spark, runs), f"{scratch}/bronze", store, min_rows=1)
+    last = run_silver(spark, store, min_rows=1)
+    assert last.version == 3 and sorted(r.callsign for r in read_silver(store).collect()) == ["H0", "H1", "H2"]
+    assert run_silver(spark, store, min_rows=1).version == 3  # nothing pending: the table as it stands
+
+
+def test_upsert_keeps_target_columns(spark):
+    existing = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "icao24 string, v int, extra string")
+    new = spark.createDataFrame([("a", 9), ("c", 3)], "icao24 string, v int")
+    want = {("a", 9, "x"), ("b", 2, "y"), ("c", 3, None)}
+    assert {tuple(r) for r in upsert(existing, new).select("icao24", "v", "extra").collect()} == want
+    newer = upsert(existing, new, order_by=["v"])
+    assert {tuple(r) for r in newer.select("icao24", "v", "extra").collect()} == want
+
+
+def test_newer_only_gives_an_unchanged_report_the_later_status(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    report = _js("000001", "A", NOW)
+    early, late = "20231115_020000", "20231115_080000"  # 3.8 and 9.8 hours after the report
+    for run, status in ((early, "INACTIVE"), (late, "EXPIRED")):
+        run_bronze(spark, _envelopes(spark, {run: [report]}), f"{scratch}/bronze", store, min_rows=1)
+        run_silver(spark, store, min_rows=1, newer_only=True)
+        assert [r.status for r in read_silver(store).collect()] == [status]
+
+
+def test_gold_partition_value_and_empty_gold(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    run_bronze(spark, _envelopes(spark, {"20231114_220000": [_js("000001", "A", NOW - 90_000)]}), f"{scratch}/bronze", store, min_rows=1)
+    run_silver(spark, store, min_rows=1)
+    for by in (None, "status", "origin_country"):  # the only row is EXPIRED
+        res = run_gold(spark, store, partition_by=by)
+        assert res.record_count == 0 and read_gold(store).count() == 0
+    run_bronze(spark, _envelopes(spark, {"20231114_230000": [_js("000002", "B", NOW)]}), f"{scratch}/bronze", store, min_rows=1)
+    run_silver(spark, store, min_rows=1)
+    res = run_gold(spark, store, partition_by="status")
+    raw = spark.read.parquet(res.path)
+    assert [(r.icao24, r.status_part) for r in raw.collect()] == [("000002", "AIRBORNE")]
+    assert read_gold(store).columns == list(S.GOLD_COLUMNS)
+
+
+def test_second_writer_of_a_version_fails_and_readers_see_new_commits(spark, scratch):
+    from contrail.sinks import Commit, CommitConflict
+
+    a, b, reader = (TableStore(spark, f"{scratch}/store") for _ in range(3))
+    va, pa_ = a.write_version(spark.range(3), "t")
+    vb, pb = b.write_version(spark.range(5), "t")
+    assert va == vb == 1 and pa_ != pb
+    a.commit(Commit("t", va, pa_, 3))
+    assert reader.read("t").count() == 3
+    with pytest.raises(CommitConflict):
+        b.commit(Commit("t", vb, pb, 5))
+    assert reader.read("t").count() == 3
+    vb, pb = b.write_version(spark.range(5), "t")
+    b.commit(Commit("t", vb, pb, 5))
+    assert vb == 2 and reader.read("t").count() == 5 and reader.read("t", version=1).count() == 3
+
+
+def test_corrected_run_leaves_no_old_quarantine_row(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    run = "20231114_220000"
+    for lat, want in ((95.0, 1), (45.0, 0)):
+        run_bronze(spark, _envelopes(spark, {run: [_js("000001", "A", NOW, lat=lat), _js("000002", "B", NOW)]}),
+                   f"{scratch}/bronze", store, min_rows=1)
+        run_silver(spark, store, run=run, min_rows=1, quarantine_dir=f"{scratch}/q")
+        import glob
+
+        left = glob.glob(f"{scratch.replace('file:', '')}/q/**/*.json", recursive=True)
+        assert (read_quarantine(spark, f"{scratch}/q").count() if left else 0) == want
+
+
+def test_batch_is_decoded_once_and_silver_read_once(spark, scratch, monkeypatch):
+    """The merge plan reads the staged rows and the Silver files once each, and no text."""
+    from contrail.streaming import incremental
+
+    land_snapshots(_envelopes(spark, {"20231114_220000": [_js("000001", "A", NOW)]}), f"{scratch}/bronze")
+    store = TableStore(spark, f"{scratch}/store")
+    _stream(spark, scratch, store, "ckpt")
+    plans = []
+    write = TableStore.write_version
+
+    def spy(self, df, *a, **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, *a, **k)
+
+    monkeypatch.setattr(TableStore, "write_version", spy)
+    batch = spark.read.text(f"{scratch}/bronze").select("value", F.lit("20231114_220000").alias("run_ts"))
+    incremental.process_batch(batch, 7, store, quarantine_dir=f"{scratch}/q")
+    (plan,) = plans
+    assert plan.count("FileScan parquet") == 2 and "FileScan text" not in plan
+    assert read_silver(store).count() == 1
+
+
+def test_run_stamp_comes_from_the_file_not_from_folders_above(spark, scratch):
+    import os
+
+    from contrail.sources import read_states
+
+    base = scratch.replace("file:", "")
+    land_snapshots(_envelopes(spark, {"20240101_000000": [_js("000001", "A", NOW)]}), f"{base}/exp_20200101_000000/bronze")
+    store = TableStore(spark, f"{scratch}/store")
+    q = run_incremental(spark, f"{base}/exp_20200101_000000/bronze", store, f"{scratch}/ckpt")
+    q.awaitTermination()
+    assert store.current("silver")["run_ts"] == "20240101_000000"
+    os.makedirs(f"{base}/plain", exist_ok=True)
+    with open(f"{base}/plain/states.json", "w") as f:
+        json.dump([_js("000001", "A", NOW)], f)
+    with pytest.raises(Exception, match="no run stamp"):
+        read_states(spark, f"{base}/plain/states.json", fmt="array").collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from contrail import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="share"):
+        session.ensure_checkpoint_dir(Session())
