@@ -101,4 +101,55 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]"
+
+#: Only the quality rules are plain SQL; the others hold trained models, learned codes, tokenizers or
+#: iterated hashing, and tests/llm compares them with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op9_quality_rules": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{_WORD}+') AS ws FROM d),
+tok AS (SELECT rid, unnest(ws) AS wd, generate_subscripts(ws, 1) AS i FROM w),
+win AS (
+  SELECT rid, i, wd || ' ' || lead(wd, 1) OVER p || ' ' || lead(wd, 2) OVER p || ' ' || lead(wd, 3) OVER p || ' '
+    || lead(wd, 4) OVER p AS g
+  FROM tok WINDOW p AS (PARTITION BY rid ORDER BY i)
+),
+dup AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win WHERE g IS NOT NULL) WHERE c > 1
+),
+rep AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM dup, range(5) AS r(k) GROUP BY rid),
+ln AS (
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_WORD}') GROUP BY rid
+),
+m AS (
+  SELECT w.rid, doc_id, source, len(ws) AS n_words,
+    CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN rep USING (rid) LEFT JOIN ln USING (rid)
+),
+f AS (
+  SELECT *, n_words < 10 AS f1, 100 * n_repeat_words > 20 * n_words AS f2,
+    n_symbols > CAST(0.1 AS DOUBLE) * greatest(n_words, 1) AS f3, n_dup_lines > CAST(0.3 AS DOUBLE) * n_lines AS f4,
+    word_chars < 2 * n_words OR word_chars > 15 * n_words AS f5
+  FROM m
+),
+u AS (SELECT rid, source, unnest([1, 2, 3, 4, 5]) AS rule, unnest([f1, f2, f3, f4, f5]) AS fails FROM f),
+h AS (SELECT source, rule, count(*) AS n, count(*) FILTER (fails) AS k FROM u GROUP BY source, rule),
+mo AS (SELECT rule, avg(k / n) AS mean, var_pop(k / n) AS var FROM h GROUP BY rule),
+pr AS (
+  SELECT rule, mean,
+    CASE WHEN var <= 0 THEN 10000 ELSE least(greatest(mean * (1 - mean) / var - 1, 1), 10000) END AS weight FROM mo
+),
+r AS (SELECT source, rule, (k + mean * weight) / (n + weight) AS rate FROM h JOIN pr USING (rule)),
+v AS (
+  SELECT u.rid, bool_or(rate > 0.5) AS host_failed, bool_or(fails AND rate >= 0.005) AS own
+  FROM u JOIN r ON u.rule = r.rule AND u.source IS NOT DISTINCT FROM r.source GROUP BY u.rid
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+  NOT (f1 OR f2 OR host_failed OR own) AS kept, host_failed
+FROM f JOIN v USING (rid)
+""",
+}
