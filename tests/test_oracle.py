@@ -6,11 +6,11 @@ import __spark_entry__ as E
 from conftest import SF_MID, SF_SMALL
 from oracle_harness import compare
 
-KEYS = list(E.queries())
+KEYS = list(E._QUERIES)  # the training-data queries have tests of their own
 
 
 def test_every_key_has_an_oracle():
-    assert set(E.oracle_sql()) == set(KEYS)
+    assert set(KEYS) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
