@@ -180,7 +180,7 @@ def nearest(
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"),
     )
     queries = stored.filter(asks).select(
-        "id", "v", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).cast("long").alias("rb"),
+        "id", "v", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))).alias("rb"),
         F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("qb"),
     )
 
