@@ -1,7 +1,8 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings.
 
-Words (lower-cased, without ASCII signs) are hashed to WORD_BITS bits; a bucket that enough
-documents of the fitting sample hold has an embedding, all others share one. Filters of several
+Words (lower-cased, without ASCII signs) and their first PREFIX_BYTES bytes are hashed to WORD_BITS
+bits each; a bucket that enough documents of the fitting sample hold has an embedding, all others share
+one, and a word's embedding is the sum of its two buckets', so rare forms of a stem count too. Filters of several
 widths run over the whole word sequence, max pooling takes each filter's largest answer and a
 logistic unit makes the score. Everything is trained in numpy on the driver, on a bounded sample of
 labelled rows (``FIT_ROWS``); a part of it calibrates the score and sets one threshold per language.
@@ -25,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from contrail.llm.labelled import labelled_sample
-from contrail.llm.textvec import SIGNS, Words, prepare, text_slices
+from contrail.llm.textvec import SIGNS, Words, prepare, span_hashes, text_slices
 
 #: Most labelled rows that the model is fitted on.
 FIT_ROWS = 6_000
-WORD_BITS, MIN_DOCS, MOST_BUCKETS = 22, 3, 40_000
+WORD_BITS, PREFIX_BYTES, MIN_DOCS, MOST_BUCKETS = 22, 6, 3, 60_000
 DIM, WIDTHS, FILTERS = 16, (1, 2, 3), 12
 EPOCHS, BATCH, RATE, RIDGE = 6, 32, 0.01, 1e-5
 #: Every CALIBRATE-th row of the sample isn't trained on; it sets score scale and thresholds.
@@ -40,9 +41,11 @@ _PLACES = [(w, j) for w in WIDTHS for j in range(w)]
 
 
 def word_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each word, bounds of each text among them)."""
+    """(buckets of each word and of its prefix as two columns, bounds of each text among them)."""
     w = Words(data, offsets, separators=SIGNS)
-    return (w.hashes() >> np.uint64(64 - WORD_BITS)).astype(np.int32), w.first_word
+    prefix = span_hashes(w.bytes, w.starts, np.minimum(w.ends, w.starts + PREFIX_BYTES))
+    both = [(h >> np.uint64(64 - WORD_BITS)).astype(np.int32) for h in (w.hashes(), prefix)]
+    return np.stack((both[0], both[1] + (1 << WORD_BITS)), axis=1), w.first_word
 
 
 @dataclass
@@ -59,9 +62,11 @@ class ToxicityModel:
     constant: float | None = None
 
     def rows(self, buckets: np.ndarray) -> np.ndarray:
+        if not len(self.buckets):
+            return np.zeros(buckets.shape, int)
         at = np.searchsorted(self.buckets, buckets)
         at[at == len(self.buckets)] = 0
-        return np.where(self.buckets[at] == buckets, at + 1, 0) if len(self.buckets) else np.zeros(len(buckets), int)
+        return np.where(self.buckets[at] == buckets, at + 1, 0)
 
     def logits(self, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Raw output of each text; ``rows`` are table rows of its words."""
@@ -78,10 +83,11 @@ class ToxicityModel:
                         continue
                     if j:
                         at = np.arange(len(rows)) + j
-                        own = np.where(at < doc_end, rows[np.minimum(at, len(rows) - 1)], pad)
+                        own = np.where((at < doc_end)[:, None], rows[np.minimum(at, len(rows) - 1)], pad)
                     else:
                         own = rows
-                    total = table[own] if total is None else total + table[own]
+                    total = table[own[:, 0]] if total is None else total + table[own[:, 0]]
+                    total += table[own[:, 1]]
                 total += self.bias[k]
                 pooled[some, k * FILTERS : (k + 1) * FILTERS] = np.maximum.reduceat(total, bounds[:-1][some], axis=0)
         return np.maximum(pooled, 0) @ self.out + self.out_bias
@@ -131,7 +137,7 @@ def _train(docs: list[np.ndarray], y: np.ndarray, seed: int = 7) -> ToxicityMode
     lift = np.log((toxic + 4 * base) / (seen - toxic + 4 * (1 - base))) - np.log(base / (1 - base))
     lift[[0, pad]] = 0
     emb = rng.normal(0, 0.1, (v, DIM)).astype(np.float32)
-    emb[:, 0] = lift / 2  # the first dimension starts from how often toxic texts hold the word
+    emb[:, 0] = lift / 4  # the first dimension starts from how often toxic texts hold the word
     emb[pad] = 0
     filt = rng.normal(0, 0.3, (len(_PLACES), DIM, FILTERS)).astype(np.float32)
     filt[:, 0, : FILTERS // 2] = np.abs(filt[:, 0, : FILTERS // 2]) + 0.3
@@ -148,9 +154,9 @@ def _train(docs: list[np.ndarray], y: np.ndarray, seed: int = 7) -> ToxicityMode
             touched, d_emb = [], []
             mine = order[at : at + BATCH]
             for i in mine:
-                ids = np.concatenate((rows[i], np.full(max(WIDTHS) - 1 + (not len(rows[i])), pad)))
+                ids = np.concatenate((rows[i], np.full((max(WIDTHS) - 1 + (not len(rows[i])), 2), pad)))
                 n = len(ids) - max(WIDTHS) + 1
-                x = emb[ids]
+                x = emb[ids[:, 0]] + emb[ids[:, 1]]
                 best = np.empty((len(WIDTHS), FILTERS), np.int64)
                 pooled = np.empty((len(WIDTHS), FILTERS), np.float32)
                 for k, width in enumerate(WIDTHS):
@@ -170,8 +176,9 @@ def _train(docs: list[np.ndarray], y: np.ndarray, seed: int = 7) -> ToxicityMode
                         c = _PLACES.index((width, j))
                         place = best[k] + j
                         grads[0][c] += x[place].T * dz[k]
-                        touched.append(ids[place])
-                        d_emb.append(filt[c].T * dz[k][:, None])
+                        for column in (0, 1):
+                            touched.append(ids[place, column])
+                            d_emb.append(filt[c].T * dz[k][:, None])
             where, back = np.unique(np.concatenate(touched), return_inverse=True)
             total = np.zeros((len(where), DIM), np.float32)
             np.add.at(total, back, np.concatenate(d_emb))
@@ -240,7 +247,7 @@ def train(
     if len(y) < 2 * CALIBRATE or not 0 < y.sum() < len(y):
         share = (y.sum() + 0.0) / (len(y) + 1)
         return ToxicityModel(np.zeros(0, np.int32), [], np.zeros(0), np.zeros(0), 0.0, constant=float(share))
-    texts = [np.frombuffer(r["words"], np.int32) for r in got]
+    texts = [np.frombuffer(r["words"], np.int32).reshape(-1, 2) for r in got]
     check = np.arange(len(y)) % CALIBRATE == 0
     fit = np.flatnonzero(~check)
     if not 0 < y[fit].sum() < len(fit):
