@@ -4,8 +4,10 @@
    matrix projects to DIMS dimensions; the rows are stored once with these numbers.
 2. The numbers, scaled by their mean and spread over all documents, become a place on a Hilbert
    curve, so near keys mean like texts.
-3. Spark range-sorts the rows by (key, id, text hash): equal keys, as copies have, are split by id, so
-   no range grows with a group of copies.
+3. Ranges of the curve are cut so that each holds as many bytes of text (from byte counts by the key's
+   top BUCKET_BITS bits). A bucket that several ranges share, as one full of copies does, is dealt out among
+   them by a hash of the row, so no range grows with a group of copies or with long texts. Spark
+   moves each row to its range and sorts the range by (key, id, text hash).
 4. Each range is read in order; documents are tokenized and laid one after another into sequences of
    SEQUENCE_TOKENS, cut where a sequence is full. The last, partial sequence of a range is cut
    into powers of two, which need no padding. So there is no padding at all.
@@ -23,6 +25,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +41,8 @@ END_ID = 1
 #: compares them); strings of special tokens are ordinary text.
 TOKENIZER = "byte_bpe_50k.tiktoken"
 DIMS, KEY_BITS, HASH_BITS = 3, 10, 10
+#: Leading bits of the key by which the bytes are counted, and the most bytes that a range should hold.
+BUCKET_BITS, RANGE_BYTES = 14, 64_000_000
 #: Sequences of one range are numbered from the range's number times this.
 RANGE_SEQUENCES = 1 << 40
 
@@ -149,10 +154,12 @@ def pack(
     def with_place(rows):
         for batch in rows:
             p = project(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, d]) for d in range(DIMS))], ["id", "text", *axes])
+            size = pc.add(pc.cast(pc.binary_length(batch.column("text")), pa.int64()), 1)
+            places = [pa.array(p[:, d]) for d in range(DIMS)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, size, *places], ["id", "text", "size", *axes])
 
     schema = T.StructType(
-        [T.StructField("id", id_type), T.StructField("text", T.StringType()), *(T.StructField(a, T.DoubleType()) for a in axes)]
+        [T.StructField("id", id_type), T.StructField("text", T.StringType()), T.StructField("size", T.LongType()), *(T.StructField(a, T.DoubleType()) for a in axes)]
     )
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     placed = staged(rows.mapInArrow(with_place, schema), "placed")
@@ -160,15 +167,37 @@ def pack(
     mean = [s[f"m{a}"] or 0.0 for a in axes]
     spread = [s[f"s{a}"] or 1.0 for a in axes]
 
-    @F.pandas_udf("long")
-    def key(*p: pd.Series) -> pd.Series:
-        z = np.stack([(x.to_numpy() - m) / w for x, m, w in zip(p, mean, spread, strict=True)], axis=1)
+    def keys(*p) -> np.ndarray:
+        z = np.stack([(np.asarray(x) - m) / w for x, m, w in zip(p, mean, spread, strict=True)], axis=1)
         cell = 1 / (1 + np.exp(-1.7 * np.clip(z, -30, 30)))  # about the normal distribution's share below z
-        return pd.Series(hilbert_key(np.minimum((cell * (1 << KEY_BITS)).astype(np.int64), (1 << KEY_BITS) - 1)))
+        return hilbert_key(np.minimum((cell * (1 << KEY_BITS)).astype(np.int64), (1 << KEY_BITS) - 1))
+
+    shift = DIMS * KEY_BITS - BUCKET_BITS
+
+    @F.pandas_udf("long")
+    def bucket(*p: pd.Series) -> pd.Series:
+        return pd.Series(keys(*p) >> shift)
+
+    # At most 2**BUCKET_BITS counts, whatever the input.
+    counts = placed.groupBy(bucket(*axes).alias("b")).agg(F.sum("size").alias("n")).collect()
+    weight = np.zeros(1 << BUCKET_BITS)
+    for r in counts:
+        weight[r["b"]] = r["n"]
+    total, before = max(weight.sum(), 1.0), np.cumsum(weight) - weight
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(-(-total // RANGE_BYTES)))
+
+    @F.pandas_udf("key long, part int")
+    def place(spread_by: pd.Series, *p: pd.Series) -> pd.DataFrame:
+        key = keys(*p)
+        b = key >> shift
+        share = (spread_by.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(11)) / float(1 << 53)
+        part = ((before[b] + share * weight[b]) / total * ranges).astype(np.int64)
+        return pd.DataFrame({"key": key, "part": np.clip(part, 0, ranges - 1).astype(np.int32)})
 
     order = ["key", "id", "tie"]
-    keyed = placed.select("id", "text", key(*axes).alias("key"), F.xxhash64("text").alias("tie"))
-    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+    keyed = placed.withColumn("tie", F.xxhash64("id", "text"))
+    keyed = keyed.select("id", "text", "tie", place("tie", *axes).alias("at")).select("id", "text", "tie", "at.*")
+    ranged = keyed.repartitionById(ranges, F.col("part")).sortWithinPartitions(*order).select("id", "text")
     out = T.StructType([
         T.StructField(id_col, id_type),
         *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")),
