@@ -203,7 +203,10 @@ class Coder:
             self._learn(keys, [pre[i] for i in unknown[first].tolist()])
             found[unknown] = self._find(pre.hash[unknown])
         short, far = found[~long], np.flatnonzero(long)
-        self.uses += np.bincount(short, minlength=len(self.keys))
+        if 8 * len(short) < len(self.keys):  # an edit's few words shouldn't cost a pass over the store
+            np.add.at(self.uses, short, 1)
+        else:
+            self.uses += np.bincount(short, minlength=len(self.keys))
         extra = None
         if len(far):
             texts = [pre[i] for i in far.tolist()]

@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.pretoken import PreTokens, batches, rank_coder, split_points
+from contrail.llm.pretoken import batches, encoding, public_file, rank_coder, split_points
 from contrail.llm.textvec import prepare
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 LEAF, CONTEXT, REACH = 32, 3, 48
+#: Words of edits whose sizes a task keeps.
+EDIT_WORDS = 100_000
 EDITS = "array<struct<start:int,stop:int,text:string>>"
 
 
@@ -116,12 +118,11 @@ class SegmentTree:
                 place = int(own[-1]) if len(own) else place
                 held.append(last)
                 last += 1
-            meet = np.intersect1d(found - shift, np.array(old))
-            meet = meet[meet >= stop]
-            if len(meet):
+            bounds = set(old)
+            meet = next((x for x in (found - shift).tolist() if x >= stop and x in bounds), None)
+            if meet is not None:
                 break
             reach *= 4
-        meet = int(meet[0])
         # What remains of the touched leaves: pre-tokens before ``begin`` and from ``meet`` on.
         chars = np.concatenate([self.chars[i] for i in held])
         tokens = np.concatenate([self.tokens[i] for i in held])
@@ -159,10 +160,17 @@ def count_with_edits(
     schema = T.StructType(fields)
 
     def run(rows):
-        coder = rank_coder(rank_file)
+        # Whole texts go through the store of pre-tokens, an edit's few words straight to the library.
+        coder, encode, sizes_of = rank_coder(rank_file), encoding(public_file(rank_file)).encode_ordinary, {}
 
         def count(words: list[str]) -> np.ndarray:
-            return coder.lookup(PreTokens.of_words(words))[0][1] if words else np.zeros(0, np.int64)
+            new = list({w for w in words if w not in sizes_of})
+            if new:
+                if len(sizes_of) > EDIT_WORDS:
+                    sizes_of.clear()
+                    new = list(set(words))
+                sizes_of.update((w, len(encode(w))) for w in new)
+            return np.array([sizes_of[w] for w in words], np.int64)
 
         for batch in rows:
             ids, all_edits, out, texts = batch.column("id").to_pylist(), batch.column("edits").to_pylist(), [], []
