@@ -40,7 +40,6 @@ ROTATIONS, SUBSTRING_BITS = 4, 16
 RADIUS_SHARE = 0.98
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 1_024
 _FIT_ROUNDS, _SAMPLE_QUERIES = 15, 200
-_BITS = np.bitwise_count(np.arange(1 << SUBSTRING_BITS, dtype=np.uint32)).astype(np.uint8)
 
 
 @dataclass
@@ -85,7 +84,7 @@ def fit(x: np.ndarray, seed: int = 5) -> Codes:
         d = distances(x[q], x)
         d[q] = np.inf
         near = np.argsort(d, kind="stable")[: min(K, len(x) - 1)]
-        radii.append(_BITS[own[near] ^ own[q]].sum(1, dtype=np.int64))
+        radii.append(np.bitwise_count(own[near] ^ own[q]).sum(1, dtype=np.int64))
     radii = np.concatenate(radii) if radii else np.zeros(1)
     codes.radius = int(np.ceil(np.quantile(radii, RADIUS_SHARE))) if len(radii) else 0
     return codes
@@ -109,10 +108,10 @@ class MultiIndex:
         near = radius // self.codes.shape[1]
         hit = np.zeros(len(self.codes), bool)
         for j, (v, s) in enumerate(zip(self.values, self.starts, strict=True)):
-            for k in np.flatnonzero(_BITS[v ^ code[j]] <= near):
-                hit[self.order[s[k] : s[k + 1], j]] = True
+            probed = np.bitwise_count(v ^ code[j]) <= near
+            hit[self.order[np.repeat(probed, np.diff(s)), j]] = True
         rows = np.flatnonzero(hit)
-        return rows[_BITS[self.codes[rows] ^ code].sum(1, dtype=np.int64) <= radius]
+        return rows[np.bitwise_count(self.codes[rows] ^ code).sum(1, dtype=np.int64) <= radius]
 
 
 def search_block(model: Codes, ids, x, q_ids, q, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
