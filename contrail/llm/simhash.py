@@ -349,4 +349,5 @@ def drop_near_duplicates(
     first = keys.groupBy("fp").agg(F.min(rank).alias("first"))
     kept = first.join(groups, "fp").groupBy("root").agg(F.min("first").alias("first"))
     kept = staged(kept.select(F.col("first.row").alias("__row")), "kept")
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    # A merge join at every size: one shuffle of the rows, whichever rows remain.
+    return rows.join(kept.hint("merge"), "__row", "left_semi").select(*docs.columns)
