@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.llm.labelled import bounded_sample
 from contrail.llm.staging import staged
 from contrail.llm.textvec import prepare
 
@@ -166,7 +167,7 @@ def nearest(
     total = stored.count()
     if not total or not dims:
         return spark.createDataFrame([], shape)
-    sample = stored.orderBy(F.xxhash64("id"), "v").limit(fit_rows).collect()
+    sample = bounded_sample(stored, ["id", "v"], fit_rows).collect()
     x = np.frombuffer(b"".join(bytes(r["v"]) for r in sample), "<f8").reshape(-1, dims)
     model = spark.sparkContext.broadcast(fit(x))
     asks = F.col("id") % query_every == 0

@@ -15,6 +15,18 @@ def held_out(id_col: str | Column) -> Column:
     return F.coalesce(F.crc32(c.cast("string")) % 4 == HELD_OUT, F.lit(False))
 
 
+def bounded_sample(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows, the first by a hash of ``keys`` (distinct values): the same on every run.
+
+    A count and a hash threshold leave about half as many again as are wanted, so a top-k of
+    a few rows from each task decides, whatever the number of tasks."""
+    total = rows.count()
+    if total > 2 * most:
+        share = int(1.5 * most / total * (1 << 40))
+        rows = rows.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < share)
+    return rows.orderBy(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)), *keys).limit(most)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, most: int, id_col: str = "doc_id", text_col: str = "text",
     group_col: str | None = None,
@@ -27,7 +39,7 @@ def labelled_sample(
     one = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     one = one.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out("id"))
     one = one.groupBy("id").agg(F.max("label").alias("label"))
-    one = one.orderBy(F.xxhash64("id"), "id").limit(most)
+    one = bounded_sample(one, ["id"], most)
     texts = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),
         (F.col(group_col) if group_col else F.lit(None)).cast("string").alias("grp"),

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.llm.labelled import bounded_sample
 from contrail.llm.textvec import doc_sums, mix, prepare, text_slices
 
 ALLOW, BLOCK = "allow", "block"
@@ -118,8 +119,7 @@ def train(labelled: DataFrame, url_col: str = "url", blocked_col: str = "blocked
     """Fit on at most ``rows`` distinct labelled urls, the first by a hash of host and path."""
     host_path = F.concat(host_of(F.col(url_col)), path_of(F.col(url_col)))
     small = labelled.select(host_path.alias("s"), F.col(blocked_col).cast("int").alias("y")).filter("y IS NOT NULL")
-    small = small.groupBy("s").agg(F.max("y").alias("y")).orderBy(F.xxhash64("s"), "s").limit(rows)
-    got = small.collect()
+    got = bounded_sample(small.groupBy("s").agg(F.max("y").alias("y")), ["s"], rows).collect()
     y = np.array([r["y"] for r in got], float)
     if not len(y) or y.min() == y.max():
         w = np.zeros((1 << FEATURE_BITS) + 1)
