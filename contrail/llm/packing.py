@@ -8,7 +8,8 @@
    top BUCKET_BITS bits). A bucket that several ranges share, as one full of copies does, is dealt out among
    them by a hash of the row, so no range grows with a group of copies or with long texts. Spark
    moves each row to its range and sorts the range by (key, id, text hash).
-4. Each range is read in order; documents are tokenized and laid one after another into sequences of
+4. Each range is read in order; documents are tokenized (added tokens of the vocabulary, such as <|endoftext|>, are
+   found in the text and get their own ids; the parts between are coded by themselves) and laid one after another into sequences of
    SEQUENCE_TOKENS, cut where a sequence is full. The last, partial sequence of a range is cut
    into powers of two, which need no padding. So there is no padding at all.
 
@@ -20,6 +21,7 @@ as often as they occur, a document longer than a sequence spans several. An empt
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -31,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.pretoken import batches, rank_coder
+from contrail.llm.pretoken import added_tokens, batches, rank_coder
 from contrail.llm.staging import staged
 from contrail.llm.textvec import prepare, text_slices
 
 SEQUENCE_TOKENS = 2_048
 END_ID = 1
-#: Rank file of the vocabulary: the same ids as the tokenizers library gives by byte_bpe_50k.json (tests/llm
-#: compares them); strings of special tokens are ordinary text.
+#: Rank file of the vocabulary. With the added tokens of the .json of the same name it gives the same ids as the
+#: tokenizers library does by that file without adding special tokens (tests/llm compares them).
 TOKENIZER = "byte_bpe_50k.tiktoken"
 DIMS, KEY_BITS, HASH_BITS = 3, 10, 10
 #: Leading bits of the key by which the bytes are counted, and the most bytes that a range should hold.
@@ -99,6 +101,25 @@ def hilbert_key(cells: np.ndarray, bits: int = KEY_BITS) -> np.ndarray:
     return key
 
 
+def split_added(column: pa.Array, added: dict[str, int]) -> tuple[pa.Array, list[int], list[int]]:
+    """(parts of the texts between added tokens, the id behind each part, the row that ends with it or -1)."""
+    rows = list(range(len(column)))
+    found = np.zeros(len(column), bool)
+    for token in added:
+        found |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+    if not found.any():
+        return column, [END_ID] * len(rows), rows
+    # The longest of those that begin at a place, as the library has it.
+    pattern = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    parts, after, ends = [], [], []
+    for row, text in enumerate(column.to_pylist()):
+        pieces = pattern.split(text) if found[row] else [text]
+        parts += pieces[::2]
+        after += [*(added[token] for token in pieces[1::2]), END_ID]
+        ends += [-1] * (len(pieces) // 2) + [row]
+    return pa.array(parts, pa.large_string()), after, ends
+
+
 class Packer:
     """Lays documents into sequences; ``rows`` holds the finished pieces' columns."""
 
@@ -144,7 +165,7 @@ def pack(
 ) -> DataFrame:
     """The pieces: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``tokenizer`` is a rank file, or the name of a public one.
+    ``tokenizer`` is a rank file, or the name of a public one; added tokens are those of the .json beside it, if any.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -204,7 +225,7 @@ def pack(
     ])
 
     def lay(rows):
-        coder = rank_coder(tokenizer)
+        coder, added = rank_coder(tokenizer), added_tokens(tokenizer)
         packer = Packer(TaskContext.get().partitionId() * RANGE_SEQUENCES, sequence_tokens)
         id_arrow = None
 
@@ -217,10 +238,16 @@ def pack(
         for batch in rows:
             ids, id_arrow = batch.column("id"), batch.column("id").type
             names = ids.to_pylist()
-            for first, pre in batches(batch.column("text")):
+            parts, after, ends = split_added(batch.column("text"), added)
+            open_parts = []
+            for first, pre in batches(parts):
                 tokens, bounds = coder.ids_of(pre)
                 for k in range(len(bounds) - 1):
-                    packer.add(names[first + k], np.append(tokens[bounds[k] : bounds[k + 1]], np.uint32(END_ID)))
+                    open_parts.append(np.append(tokens[bounds[k] : bounds[k + 1]], np.uint32(after[first + k])))
+                    if ends[first + k] >= 0:
+                        doc = open_parts[0] if len(open_parts) == 1 else np.concatenate(open_parts)
+                        packer.add(names[ends[first + k]], doc)
+                        open_parts = []
             if packer.rows:
                 yield done()
         packer.finish()

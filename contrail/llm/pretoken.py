@@ -9,6 +9,8 @@ white space). tests/llm checks it against the pattern itself.
 from __future__ import annotations
 
 import base64
+import json
+import os
 from functools import cache
 
 import numpy as np
@@ -284,8 +286,6 @@ def id_widths(path: str) -> np.ndarray:
 
 def public_file(name: str) -> str:
     """A file by its path, or a public tokenizer's file by its bare name."""
-    import os
-
     import public_tokenizers
 
     return name if os.path.sep in name else public_tokenizers.path(name)
@@ -299,6 +299,20 @@ def rank_coder(name: str) -> Coder:
     return Coder(lambda words: encode_words(words, encode, id_widths(path)))
 
 
+@cache
+def added_tokens(name: str) -> dict[str, int]:
+    """Text and id of the added tokens in the .json file beside a rank file; none without such a file."""
+    path = os.path.splitext(public_file(name))[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        listed = json.load(f)["added_tokens"]
+    for t in listed:
+        if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: the added token {t['content']!r} isn't matched as plain text")
+    return {t["content"]: t["id"] for t in listed}
+
+
 def batches(column: pa.Array | pa.ChunkedArray):
     """(first row, PreTokens) over slices of a text column."""
     for row, data, offsets in text_slices(column):

@@ -549,6 +549,31 @@ def test_packing_query(spark):
     assert sum(n == 2048 for n in used.values()) > 100
 
 
+def test_packing_finds_added_tokens_in_texts(spark):
+    """Ids by the contract: the tokenizers file, nothing added, <|endoftext|> in a text is its own token."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng, end = random.Random(4), "<|endoftext|>"
+    parts = [end, end, "<|endoftext|", "|>", " ", "  ", "\n", "page", " next", "'s", "é", "日本", "12"]
+    texts = dict(enumerate(["end of page <|endoftext|> next page", end, end * 3, f"a{end}", "plain", "", None, f"{end} b" * 400]))
+    texts |= {100 + i: "".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for i in range(300)}
+    texts |= {1000: "word " * 300_000 + end + " more" * 300_000 + end}  # parts in several slices
+    got = {}
+    for r in packing.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, packing.END_ID], "<u4")
+        at = 0
+        for r in sorted(got[i], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids)) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+
+
 def test_hilbert_curve_visits_neighbours():
     grid = np.array([[i, j, k] for i in range(8) for j in range(8) for k in range(8)])
     key = packing.hilbert_key(grid, 3)
