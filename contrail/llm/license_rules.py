@@ -1,8 +1,8 @@
 """Signature rules for license notices, most specific first within a family.
 
-A line is ``keyword | label | weight | pattern``. Patterns run over lower-cased words with one space
-between (so "GPL-3.0" reads "gpl 3 0"); a rule is tried only near its keyword. GAP stands for up to
-eight words, LIC for license or its spellings. The weight is how sure the rule alone makes us.
+A line is ``keywords | label | weight | pattern``. Patterns run over lower-cased words with one space
+between (so "GPL-3.0" reads "gpl 3 0"); a rule is tried only near one of its keywords, so whatever a pattern
+matches must hold one of them as a whole word (tests/llm tries every alternative). GAP stands for up to eight words, LIC for license or its spellings. The weight is how sure the rule alone makes us.
 """
 
 RULES_TEXT = r"""
@@ -14,7 +14,7 @@ apache | apache-2.0 | 0.9 | www apache org licenses license 2 0
 apache | apache-2.0 | 0.85 | asl 2 0 apache
 apache | apache-2.0 | 0.8 | apache (?:v ?)?2(?: 0)?
 asf | apache-2.0 | 0.8 | licensed to the apache software foundation asf under one or more
-apache | apache-2.0 | 0.85 | apache2 LIC
+apache2 | apache-2.0 | 0.85 | apache2 LIC
 apache | apache-1.1 | 0.95 | (?:the )?apache (?:software )?LIC (?:version |v )?1 1
 apache | apache-1.1 | 0.95 | spdx license identifier apache 1 1
 apache | apache-1.0 | 0.95 | (?:the )?apache (?:software )?LIC (?:version |v )?1 0
@@ -44,7 +44,7 @@ bsd | bsd-3-clause | 0.95 | spdx license identifier bsd 3 clause
 bsd | bsd-3-clause | 0.92 | (?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd) LIC
 bsd | bsd-3-clause | 0.85 | bsd 3 clause
 bsd | bsd-2-clause | 0.95 | spdx license identifier bsd 2 clause
-bsd | bsd-2-clause | 0.92 | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd) LIC
+bsd freebsd | bsd-2-clause | 0.92 | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd) LIC
 bsd | bsd-2-clause | 0.85 | bsd 2 clause
 0bsd | 0bsd | 0.95 | (?:spdx license identifier )?0bsd(?: LIC)?
 bsd | 0bsd | 0.92 | (?:bsd zero clause|zero clause bsd|bsd 0 clause) LIC
@@ -60,7 +60,7 @@ affero | agpl-3.0-only | 0.97 | gnu affero general public LIC (?:version |v )?3(
 affero | agpl-3.0 | 0.95 | (?:the )?(?:gnu )?affero (?:general public|gpl) LIC?(?: (?:version|v) ?3(?: 0)?)?
 agpl | agpl-3.0-or-later | 0.95 | spdx license identifier agpl 3 0 or later
 agpl | agpl-3.0-only | 0.95 | spdx license identifier agpl 3 0 only
-agpl | agpl-3.0 | 0.93 | (?:gnu )?agpl ?(?:version |v )?3(?: 0)?
+agpl agpl3 agplv agplversion | agpl-3.0 | 0.93 | (?:gnu )?agpl ?(?:version |v )?3(?: 0)?
 agplv3 | agpl-3.0 | 0.93 | (?:gnu )?agplv3(?: LIC)?
 agpl | agpl | 0.8 | (?:gnu |the )?agpl LIC
 affero | agpl-1.0 | 0.93 | affero general public LIC (?:version |v )?1(?: 0)?
@@ -74,9 +74,9 @@ lgpl | lgpl-2.1-or-later | 0.95 | spdx license identifier lgpl 2 1 or later
 lgpl | lgpl-2.1-only | 0.95 | spdx license identifier lgpl 2 1 only
 lgpl | lgpl-3.0-or-later | 0.95 | spdx license identifier lgpl 3 0 or later
 lgpl | lgpl-3.0-only | 0.95 | spdx license identifier lgpl 3 0 only
-lgpl | lgpl-2.1 | 0.92 | (?:gnu )?lgpl ?(?:version |v )?2 1
-lgpl | lgpl-3.0 | 0.92 | (?:gnu )?lgpl ?(?:version |v )?3(?: 0)?
-lgpl | lgpl-2.0 | 0.92 | (?:gnu )?lgpl ?(?:version |v )?2 0
+lgpl lgpl2 lgplv lgplversion | lgpl-2.1 | 0.92 | (?:gnu )?lgpl ?(?:version |v )?2 1
+lgpl lgpl3 lgplv lgplversion | lgpl-3.0 | 0.92 | (?:gnu )?lgpl ?(?:version |v )?3(?: 0)?
+lgpl lgpl2 lgplv lgplversion | lgpl-2.0 | 0.92 | (?:gnu )?lgpl ?(?:version |v )?2 0
 lgplv3 | lgpl-3.0 | 0.92 | (?:gnu )?lgplv3(?: LIC)?
 lgplv2 | lgpl-2.1 | 0.9 | (?:gnu )?lgplv2(?: 1)?(?: LIC)?
 lgpl | lgpl | 0.8 | (?:gnu |the )?lgpl LIC
@@ -92,13 +92,13 @@ gnu | gpl-1.0 | 0.95 | (?:the )?gnu general public LIC (?:version |v )?1(?: 0)?
 gnu | gpl | 0.85 | (?:the )?gnu general public LIC
 gpl | gpl-3.0-or-later | 0.95 | spdx license identifier gpl 3 0 or later
 gpl | gpl-3.0-only | 0.95 | spdx license identifier gpl 3 0 only
-gpl | gpl-3.0 | 0.92 | (?:gnu )?gpl ?(?:version |v )?3(?: 0)?
+gpl gpl3 gplv gplversion | gpl-3.0 | 0.92 | (?:gnu )?gpl ?(?:version |v )?3(?: 0)?
 gpl | gpl-2.0-or-later | 0.95 | spdx license identifier gpl 2 0 or later
 gpl | gpl-2.0-only | 0.95 | spdx license identifier gpl 2 0 only
-gpl | gpl-2.0 | 0.92 | (?:gnu )?gpl ?(?:version |v )?2(?: 0)?
+gpl gpl2 gplv gplversion | gpl-2.0 | 0.92 | (?:gnu )?gpl ?(?:version |v )?2(?: 0)?
 gplv3 | gpl-3.0 | 0.92 | (?:gnu )?gplv3(?: LIC)?
 gplv2 | gpl-2.0 | 0.92 | (?:gnu )?gplv2(?: LIC)?
-gpl | gpl-2.0-classpath | 0.93 | gpl ?(?:version |v )?2(?: 0)? with classpath exception
+classpath | gpl-2.0-classpath | 0.93 | gpl ?(?:version |v )?2(?: 0)? with classpath exception
 classpath | gpl-2.0-classpath | 0.9 | gnu classpath exception
 gpl | gpl | 0.8 | (?:the |gnu )?gpl LIC
 gpl | gpl | 0.75 | (?:licensed|released|distributed) under (?:the )?(?:terms of the )?gpl
@@ -112,17 +112,17 @@ mozilla | mpl-2.0 | 0.95 | (?:the )?mozilla public LIC (?:version |v )?2(?: 0)?
 mozilla | mpl-1.1 | 0.95 | (?:the )?mozilla public LIC (?:version |v )?1 1
 mozilla | mpl-1.0 | 0.95 | (?:the )?mozilla public LIC (?:version |v )?1 0
 mozilla | mpl | 0.85 | (?:the )?mozilla public LIC
-mpl | mpl-2.0 | 0.93 | (?:spdx license identifier )?mpl ?(?:version |v )?2(?: 0)?
-mpl | mpl-1.1 | 0.93 | (?:spdx license identifier )?mpl ?(?:version |v )?1 1
+mpl mpl2 mplv mplversion | mpl-2.0 | 0.93 | (?:spdx license identifier )?mpl ?(?:version |v )?2(?: 0)?
+mpl mpl1 mplv mplversion | mpl-1.1 | 0.93 | (?:spdx license identifier )?mpl ?(?:version |v )?1 1
 mpl | mpl-2.0 | 0.9 | mozilla org mpl 2 0
 eclipse | epl-2.0 | 0.95 | (?:the )?eclipse public LIC (?:version |v )?2(?: 0)?
 eclipse | epl-1.0 | 0.95 | (?:the )?eclipse public LIC (?:version |v )?1(?: 0)?
 eclipse | epl | 0.85 | (?:the )?eclipse public LIC
 eclipse | edl-1.0 | 0.93 | (?:the )?eclipse distribution LIC(?: (?:version |v )?1(?: 0)?)?
-epl | epl-2.0 | 0.92 | (?:spdx license identifier )?epl ?(?:version |v )?2(?: 0)?
-epl | epl-1.0 | 0.92 | (?:spdx license identifier )?epl ?(?:version |v )?1(?: 0)?
-cddl | cddl-1.1 | 0.93 | (?:spdx license identifier )?cddl ?(?:version |v )?1 1
-cddl | cddl-1.0 | 0.93 | (?:spdx license identifier )?cddl ?(?:version |v )?1(?: 0)?
+epl epl2 eplv eplversion | epl-2.0 | 0.92 | (?:spdx license identifier )?epl ?(?:version |v )?2(?: 0)?
+epl epl1 eplv eplversion | epl-1.0 | 0.92 | (?:spdx license identifier )?epl ?(?:version |v )?1(?: 0)?
+cddl cddl1 cddlv cddlversion | cddl-1.1 | 0.93 | (?:spdx license identifier )?cddl ?(?:version |v )?1 1
+cddl cddl1 cddlv cddlversion | cddl-1.0 | 0.93 | (?:spdx license identifier )?cddl ?(?:version |v )?1(?: 0)?
 distribution | cddl-1.1 | 0.95 | common development and distribution LIC (?:version |v )?1 1
 distribution | cddl-1.0 | 0.95 | common development and distribution LIC(?: (?:version |v )?1(?: 0)?)?
 common | cpl-1.0 | 0.93 | (?:the )?common public LIC(?: (?:version |v )?1(?: 0)?)?
@@ -206,8 +206,8 @@ openssl | openssl | 0.92 | (?:the )?openssl LIC
 ssleay | openssl | 0.9 | (?:the )?(?:original )?ssleay LIC
 font | ofl-1.1 | 0.95 | sil open font LIC(?: (?:version |v )?1 1)?
 ofl | ofl-1.1 | 0.92 | (?:spdx license identifier )?ofl 1 1
-eupl | eupl-1.2 | 0.93 | eupl ?(?:version |v )?1 2
-eupl | eupl-1.1 | 0.93 | eupl ?(?:version |v )?1 1
+eupl eupl1 euplv euplversion | eupl-1.2 | 0.93 | eupl ?(?:version |v )?1 2
+eupl eupl1 euplv euplversion | eupl-1.1 | 0.93 | eupl ?(?:version |v )?1 1
 european | eupl | 0.92 | european union public LIC(?: (?:version |v )?1 [12])?
 microsoft | ms-pl | 0.93 | microsoft public LIC
 microsoft | ms-rl | 0.93 | microsoft reciprocal LIC
@@ -229,7 +229,7 @@ ruby | ruby | 0.88 | (?:the )?ruby LIC
 zope | zpl-2.1 | 0.92 | zope public LIC(?: (?:version |v )?2 1)?
 vim | vim | 0.88 | (?:the )?vim LIC
 sleepycat | sleepycat | 0.92 | (?:the )?sleepycat LIC
-qt | qpl-1.0 | 0.9 | (?:the )?(?:q|qt) public LIC(?: (?:version |v )?1 0)?
+qt q | qpl-1.0 | 0.9 | (?:the )?(?:q|qt) public LIC(?: (?:version |v )?1 0)?
 json | json | 0.88 | (?:the )?json LIC
 evil | json | 0.93 | the software shall be used for good not evil
 curl | curl | 0.88 | (?:the )?curl LIC
@@ -284,11 +284,16 @@ GAP = r"(?:\S+ ){0,8}"
 LIC = r"licen[sc]es?"
 
 
+def gates() -> list[tuple[str, ...]]:
+    """The keywords of each rule."""
+    return [tuple(line.split(" | ", 1)[0].split()) for line in RULES_TEXT.strip().splitlines()]
+
+
 def rules() -> list[tuple[str, str, float, str]]:
-    """(keyword, label, weight, pattern) in order of priority."""
+    """(first keyword, label, weight, pattern) in order of priority."""
     out = []
-    for line in RULES_TEXT.strip().splitlines():
-        keyword, label, weight, pattern = (x.strip() for x in line.split(" | ", 3))
+    for line, (keyword, *_) in zip(RULES_TEXT.strip().splitlines(), gates(), strict=True):
+        _, label, weight, pattern = (x.strip() for x in line.split(" | ", 3))
         pattern = pattern.replace("GAP?", r"(?:\S+ ?){0,8}").replace("GAP", GAP).replace("LIC", LIC)
         out.append((keyword, label, float(weight), rf"(?<!\S)(?:{pattern})(?!\S)"))
     return out

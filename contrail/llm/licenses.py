@@ -3,7 +3,8 @@
 1. Texts become lower-cased words (digits, letters and everything beyond ASCII); word hashes tell
    which texts hold a rule's keyword or the first word of a base phrase, and where. All others are done.
 2. Around each keyword (REACH words to both sides) the rules of that keyword run over the words, joined
-   by single spaces. No rule spans more words than that, so whole texts are covered.
+   by single spaces. Any match of a rule holds one of its keywords, and no rule spans more words than REACH, so the
+   result is that of every rule on the whole text.
 3. Overlapping detections are resolved: the longer interval suppresses those that it contains (of
    equal ones the earlier rule wins), and of two that overlap otherwise with different labels the
    earlier rule stays.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from contrail.llm.license_rules import rules
+from contrail.llm.license_rules import gates, rules
 from contrail.llm.textvec import SIGNS, Words, prepare, span_hashes, text_slices
 
 #: (label, phrase); fixed values.
@@ -38,11 +39,15 @@ SPAN = T.ArrayType(T.StructType([
 
 
 @cache
-def _compiled():
-    by_keyword = defaultdict(list)
-    for order, (keyword, label, weight, pattern) in enumerate(rules()):
-        by_keyword[keyword].append((order, label, weight, re.compile(pattern)))
-    return dict(by_keyword)
+def _compiled() -> tuple[dict[tuple[str, ...], list[tuple]], dict[str, list[tuple[str, ...]]]]:
+    """(rules by their keywords, the sets of keywords that each word belongs to)."""
+    by_keywords, sets = defaultdict(list), defaultdict(list)
+    for order, (keywords, (_, label, weight, pattern)) in enumerate(zip(gates(), rules(), strict=True)):
+        if keywords not in by_keywords:
+            for word in keywords:
+                sets[word].append(keywords)
+        by_keywords[keywords].append((order, label, weight, re.compile(pattern)))
+    return dict(by_keywords), dict(sets)
 
 
 def _hash(words: list[str]) -> np.ndarray:
@@ -53,7 +58,7 @@ def _hash(words: list[str]) -> np.ndarray:
 @cache
 def _gate():
     """Sorted hashes of all keywords and first words of phrases."""
-    names = sorted({*_compiled(), *(p.split()[0] for _, p in BASE)})
+    names = sorted({*_compiled()[1], *(p.split()[0] for _, p in BASE)})
     h = _hash(names)
     order = np.argsort(h)
     return h[order], [names[i] for i in order]
@@ -85,21 +90,21 @@ def scan_text(words: list[str], hits: list[tuple[int, str]]) -> tuple[list[tuple
             p = phrase.split()
             if word == p[0] and words[place : place + len(p)] == p:
                 base.append((place, label))
-    found, table = [], _compiled()
-    by_word: dict[str, list[tuple[int, int]]] = {}
-    for place, word in hits:  # windows around each keyword, joined where they meet
-        if word in table:
-            spans = by_word.setdefault(word, [])
+    found, (table, sets) = [], _compiled()
+    windows: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+    for place, word in hits:  # windows around the keywords of a set, joined where they meet
+        for keywords in sets.get(word, ()):
+            spans = windows.setdefault(keywords, [])
             a, b = max(0, place - REACH), min(len(words), place + REACH + 1)
             if spans and a <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], b)
             else:
                 spans.append((a, b))
-    for word, spans in by_word.items():
+    for keywords, spans in windows.items():
         for a, b in spans:
             text = " ".join(words[a:b])
             starts = np.cumsum([0, *(len(w) + 1 for w in words[a:b])])
-            for order, label, weight, pattern in table[word]:
+            for order, label, weight, pattern in table[keywords]:
                 for m in pattern.finditer(text):
                     first = a + int(np.searchsorted(starts, m.start(), side="right")) - 1
                     last = a + int(np.searchsorted(starts, m.end() - 1, side="right"))

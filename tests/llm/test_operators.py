@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, an exact round trip or held-out labels, over whole test tables."""
 
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -449,6 +450,66 @@ def test_license_rules_and_suppression():
     assert [d[3] for d in keep] == ["long", "far"]
 
 
+def alternatives(parsed):
+    """Texts that a rule's pattern matches: every branch, with a gap of no word and of one."""
+    from re import _constants as c
+
+    out = [""]
+    for op, arg in parsed:
+        if op is c.LITERAL:
+            own = [chr(arg)]
+        elif op is c.SUBPATTERN:
+            own = alternatives(arg[3])
+        elif op is c.BRANCH:
+            own = [x for part in arg[1] for x in alternatives(part)]
+        elif op is c.IN:
+            own = ["gapword"] if arg[0][0] is c.CATEGORY else [chr(y) for _, x in arg for y in (x if isinstance(x, tuple) else (x,))]
+        elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+            low, high, part = arg
+            part = alternatives(part)
+            if high is c.MAXREPEAT:
+                own = part
+            elif high == 8:  # a gap
+                own = ["", part[-1]]
+            else:
+                own = ["".join(x) for n in range(low, high + 1) for x in itertools.product(part, repeat=n)]
+        else:
+            assert op is c.ASSERT_NOT
+            own = [""]
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def ungated(text):
+    """Labels of every rule on the whole text."""
+    from contrail.llm.license_rules import rules
+
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    joined, found = " ".join(words), []
+    starts = np.cumsum([0, *(len(w) + 1 for w in words)])
+    for order, (_, label, weight, pattern) in enumerate(rules()):
+        for m in re.finditer(pattern, joined):
+            first, last = np.searchsorted(starts, [m.start(), m.end() - 1], side="right")
+            found.append((int(first) - 1, int(last), order, label, weight))
+    base = {label for label, phrase in licenses.BASE if f" {phrase} " in f" {joined} "}
+    return base | {d[3] for d in licenses._resolve(found)}
+
+
+def test_license_gate_loses_no_match(spark):
+    """Each alternative of each rule, alone and far from other words: the labels of all rules without the gate."""
+    from re import _parser
+
+    from contrail.llm.license_rules import rules
+
+    texts = sorted({" ".join(a.split()) for _, _, _, pattern in rules() for a in alternatives(_parser.parse(pattern))})
+    assert len(texts) > 3000 and {"apache2 license", "freebsd license", "q public license", "gpl3", "agplv 3", "mpl2"} <= set(texts)
+    rows = [*texts, *("x " * 100 + t + " y" * 100 + f" {u}" for t, u in zip(texts[::9], texts[5::9]))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in licenses.scan(docs).collect()}
+    wrong = [t for i, t in enumerate(rows) if got[i] != ungated(t)]
+    assert not wrong and sum(map(bool, got.values())) > 3000, wrong[:5]
+
+
 # ---------------------------------------------------------------- 8 BPE
 
 
