@@ -15,7 +15,8 @@ its nearest K for each query, and a grouped merge takes the nearest of all units
 found in a block's radius takes the rest from the whole block, so small inputs give full results.
 
 Vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null
-id or with another number of components than most. Repeated rows of one id count as one candidate. Equal
+id or with another number of components than most. Repeated rows of one id count as one, its least vector; they are
+reduced before rows are dealt into blocks, each task to one row an id, so no block grows with them. Equal
 distances go to the smaller id. An empty table, or no query, gives no rows.
 """
 
@@ -136,11 +137,14 @@ def search_block(model: Codes, ids, x, q_ids, q, k: int = K) -> tuple[np.ndarray
 
 
 def _packed(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """Stored (id, v: doubles as bytes) of the rows that take part, and their number of components."""
+    """Stored (id, v: doubles as bytes) of the ids that take part, each once, and their number of components."""
     v = F.col("v")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.filter(F.col("id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0.0))
+    sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    n = sizes["n"] if sizes else 0
+    rows = rows.filter(F.size("v") == n).groupBy("id").agg(F.min("v").alias("v"))
 
     def pack(batches):
         for batch in batches:
@@ -149,10 +153,7 @@ def _packed(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame
             data = [flat[s:e].astype("<f8").tobytes() for s, e in zip(off[:-1], off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(data, pa.binary())], ["id", "v"])
 
-    stored = staged(rows.mapInArrow(pack, "id long, v binary"), "vectors")
-    sizes = stored.groupBy(F.length("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    n = (sizes["n"] if sizes else 0) // 8
-    return stored.filter(F.length("v") == 8 * n), n
+    return staged(rows.mapInArrow(pack, "id long, v binary"), "vectors"), n
 
 
 def nearest(
@@ -191,15 +192,7 @@ def nearest(
         x = np.frombuffer(b"".join(table["v"].to_pylist()), "<f8").reshape(-1, dims)
         if side.all() or not side.any():
             return pa.table(empty)
-
-        def distinct(which):
-            own_ids, own_x = ids[which], x[which]
-            order = np.lexsort((*own_x.T[::-1], own_ids))  # of several vectors of one id the least counts
-            own_ids, own_x = own_ids[order], own_x[order]
-            first = np.append(True, own_ids[1:] != own_ids[:-1])
-            return own_ids[first], own_x[first]
-
-        q, i, d = search_block(model.value, *distinct(~side), *distinct(side), k)
+        q, i, d = search_block(model.value, ids[~side], x[~side], ids[side], x[side], k)
         return pa.table({"q": q.astype(np.int64), "id": i.astype(np.int64), "score": d.astype(np.float64)})
 
     found = rows.union(queries).groupBy("rb", "qb").applyInArrow(join, "q long, id long, score double")

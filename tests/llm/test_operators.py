@@ -311,6 +311,22 @@ def test_neighbour_edges(spark):
     assert ann.nearest(df.filter("vec_id = 3")).count() == 0  # no query
 
 
+def test_neighbours_reduce_a_hot_id_before_dealing(spark):
+    """An id with a third of all rows is one row, with its least vector, before blocks are counted."""
+    rng = np.random.default_rng(8)
+    plain = [(i, rng.normal(size=6).round(3).tolist()) for i in range(400)]
+    least = [-9.0, *plain[7][1][1:]]
+    hot = [(7, [-8.0 + j / 200, *rng.normal(size=5).round(3).tolist()]) for j in range(199)] + [(7, least), (7, [-99.0, 1.0])]
+    shape = "vec_id long, embedding array<double>"
+    stored, dims = ann._packed(spark.createDataFrame(plain + hot, shape), "vec_id", "embedding")
+    got = stored.collect()
+    assert dims == 6 and sorted(r.id for r in got) == list(range(400))
+    assert next(np.frombuffer(bytes(r.v)).tolist() for r in got if r.id == 7) == least
+    one = [(i, least if i == 7 else x) for i, x in plain]
+    a, b = (sorted(map(tuple, ann.nearest(spark.createDataFrame(t, shape)).collect())) for t in (plain + hot, one))
+    assert a == b and len(a) == 40
+
+
 # ---------------------------------------------------------------- 5 token counts
 
 
