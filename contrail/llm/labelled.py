@@ -31,10 +31,11 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, most: int, id_col: str = "doc_id", text_col: str = "text",
     group_col: str | None = None,
 ) -> DataFrame:
-    """(id, text, label, grp) of at most ``most`` labelled ids, held-out ones excluded.
+    """(id, text, label, grp) of at most ``most`` labelled ids, one row each, held-out ones excluded.
 
     The ids are the first by a hash of the id: a fixed sample, the same on every run. An id
-    with several labels counts with its largest; null labels and null ids don't count.
+    with several labels counts with its largest; null labels and null ids don't count. Of several
+    rows of an id in ``docs`` the first by a hash of text and group counts, chosen within each task first.
     """
     one = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     one = one.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out("id"))
@@ -45,4 +46,6 @@ def labelled_sample(
         (F.col(group_col) if group_col else F.lit(None)).cast("string").alias("grp"),
     )
     # At most ``most`` rows of 12 bytes, so the broadcast has a fixed bound.
-    return texts.join(F.broadcast(one), "id")
+    found = texts.join(F.broadcast(one), "id").groupBy("id", "label")
+    first = found.agg(F.min(F.struct(F.xxhash64("text", "grp").alias("h"), "text", "grp")).alias("first"))
+    return first.select("id", "first.text", "label", "first.grp")

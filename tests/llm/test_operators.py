@@ -69,6 +69,19 @@ def test_coder_forgets_rare_words_and_stays_right():
             assert all(ids[a[k] : a[k + 1]].tolist() == enc.encode_ordinary(texts[lo + row + k]) for k in range(len(a) - 1))
 
 
+def test_labelled_sample_has_one_row_an_id(spark):
+    from contrail.llm import labelled
+
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != labelled.HELD_OUT]
+    hot = ids[5]
+    docs = spark.createDataFrame([(i, f"text {i}", "en") for i in ids] + [(hot, f"other {k}", None) for k in range(300)] + [(None, "x", "en")],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    got = [labelled.labelled_sample(d, labels, "toxic", 1000, group_col="lang").collect() for d in (docs, docs.orderBy("text").repartition(5))]
+    a, b = (sorted((r.id, r.text, r.label, r.grp or "") for r in rows) for rows in got)
+    assert a == b and [x[0] for x in a] == ids and all(x[2] == x[0] % 2 and (x[0] == hot or x[1] == f"text {x[0]}") for x in a)
+
+
 # ---------------------------------------------------------------- 1 quality
 
 
