@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import ann, bpe, licenses, packing, quality, quality_rules, simhash, token_count, toxicity, url_filter
+from contrail.llm import (
+    align, ann, bpe, lexical, licenses, packing, quality, quality_rules, secret_scan, simhash, token_count, toxicity, url_filter,
+)
 from contrail.llm.labelled import held_out
 
 
@@ -88,6 +90,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
@@ -99,11 +113,16 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_secret_scans": op11_secret_scans,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _WORD = r"[^\x20\x09-\x0D]"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Only the quality rules are plain SQL; the others hold trained models, learned codes, tokenizers or
+#: The quality rules and the ranked search are plain SQL; the others hold trained models, learned codes, tokenizers or
 #: iterated hashing, and tests/llm compares them with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op9_quality_rules": f"""
@@ -151,5 +170,31 @@ v AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
   NOT (f1 OR f2 OR host_failed OR own) AS kept, host_failed
 FROM f JOIN v USING (rid)
+""",
+    "op13_lexical_search": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_TERM}') AS ws
+  FROM documents
+),
+tok AS (SELECT rid, unnest(ws) AS term FROM d),
+tf AS (SELECT rid, term, count(*) AS tf FROM tok GROUP BY rid, term),
+len AS (SELECT rid, doc_id, CAST(len(ws) AS BIGINT) AS n FROM d WHERE len(ws) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM len),
+m AS (SELECT rid, doc_id, 50 + (50 * n * docs) // terms AS m FROM len, total),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term, docs
+),
+q AS (
+  SELECT DISTINCT iid, item_id, unnest(regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS iid, item_id, text FROM benchmark)
+),
+s AS (
+  SELECT iid, item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (rid) GROUP BY iid, item_id, rid, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id, rid) AS rank FROM s WHERE score > 0
+) WHERE rank <= 50
 """,
 }
