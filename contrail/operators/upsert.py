@@ -58,6 +58,16 @@ def upsert(
     return winners
 
 
+def withdraw(existing: DataFrame, before: DataFrame | None, run: str, keys: Sequence[str] = ("icao24",)) -> DataFrame:
+    """``existing`` without the rows that ``run`` left in it: their keys go back to their rows in ``before`` (the
+    table before that run), or leave. One grouped pass over both tables; other keys keep their rows."""
+    left = existing.filter(~F.col(S.RUN_COL).eqNullSafe(F.lit(run)))
+    if before is None:
+        return left
+    both = left.withColumn("_kept", F.lit(1)).unionByName(before.withColumn("_kept", F.lit(0)), allowMissingColumns=True)
+    return pick_winner(both, list(keys), ["_kept"]).drop("_kept")
+
+
 def newer_only_order(df: DataFrame) -> list[str]:
     """Recency order for ``upsert(..., order_by=…)``: the epoch form of
     ``last_contact`` when present, else its text (same order for real dates); an

@@ -1,9 +1,9 @@
 """Runnable jobs: thin I/O around the pure transforms.
 
-Each job reads committed inputs, writes a new table version and creates its
+Each job reads committed inputs, writes a new table version and publishes its
 manifest record. Bronze text is decoded once, into a staged Parquet folder next to the
-tables; what comes after (counts, quarantine, Silver) reads that. Row counts of written
-tables come from their Parquet footers.
+tables, and counted in the same pass; what comes after (quarantine, Silver) reads that. Row counts of
+written tables come from their Parquet footers.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from contrail import schema as S
 from contrail.functions.time import run_stamp
 from contrail.operators.quality import check_count, is_clean, log_reasons, quarantine_rows
-from contrail.operators.upsert import newer_only_order, upsert
+from contrail.operators.upsert import newer_only_order, upsert, withdraw
 from contrail.plans.layers import gold, silver_latest
 from contrail.sinks.store import (
     SILVER_STORED_SCHEMA,
@@ -98,8 +98,26 @@ def run_bronze(
 
 
 def run_silver_pending(spark: SparkSession, store: TableStore, **kw) -> list[RunResult]:
-    """Process every committed Bronze run that Silver has not taken yet, in order of the run stamp."""
-    return [run_silver(spark, store, run=r["run_ts"], **kw) for r in store.pending_runs()]
+    """Process every Bronze commit that waits, in order of the run stamp.
+
+    A run that fails the gate is recorded as rejected (a result of stage ``rejected``) and the next one goes on; when it is
+    landed again, its new Bronze commit waits like any other. A run that was taken before and is landed again is
+    corrected, see :func:`run_silver`."""
+    out = []
+    for r in store.pending_runs():
+        try:
+            out.append(run_silver(spark, store, run=r["run_ts"], **kw))
+        except GateFailure as e:
+            out.append(RunResult("rejected", e.number, r["output_path"], e.rows, {"input": e.rows}))
+    return out
+
+
+class GateFailure(DataQualityError):
+    """A run failed Silver's gate and is recorded so, under ``number``."""
+
+    def __init__(self, message: str, number: int, rows: int):
+        super().__init__(message)
+        self.number, self.rows = number, rows
 
 
 def run_silver(
@@ -116,18 +134,24 @@ def run_silver(
 ) -> RunResult:
     """Process one committed Bronze run into the Silver table.
 
-    Without ``run`` all pending runs are processed in order and the last one's result is
-    returned (with none pending, the table as it stands). ``as_of`` defaults
-    to the run's own stamp (the snapshot time), fixed for the whole run."""
+    Without ``run`` all waiting runs are processed in order and the last result that reached Silver is
+    returned (with none, the table as it stands). ``as_of`` defaults
+    to the run's own stamp (the snapshot time), fixed for the whole run. Raises :class:`GateFailure`, after recording
+    it, if the run has too few rows.
+
+    If Silver took an earlier landing of the run, this one corrects it: the rows that the earlier one left
+    are withdrawn (aircraft go back to what the table held before the run, or leave it), and the run's rows
+    come in unless a later run has reported the aircraft. The result is what processing the corrected
+    run in its place would have given."""
     if run is None:
         kw = dict(as_of=as_of, min_rows=min_rows, fmt=fmt, quarantine_dir=quarantine_dir, newer_only=newer_only,
                   drop_blank_country=drop_blank_country)
-        done = run_silver_pending(spark, store, **kw)
+        done = [r for r in run_silver_pending(spark, store, **kw) if r.stage == "silver"]
         if done:
             return done[-1]
         cur = store.current("silver")
         if cur is None:
-            raise FileNotFoundError("no committed bronze run; land a snapshot first")
+            raise FileNotFoundError("no committed bronze run has passed; land a snapshot first")
         return RunResult("silver", cur["version"], cur["output_path"], cur["record_count"])
     m = store.find("bronze", run)
     if m is None:
@@ -135,31 +159,38 @@ def run_silver(
     as_of = stamp_epoch(run) if as_of is None else int(as_of)
 
     decoded = read_states(spark, m["output_path"], fmt=fmt).withColumn("run_ts", F.lit(run))
-    states, staging = store.stage_input(decoded)
+    clean = is_clean(decoded, drop_blank_country=drop_blank_country)
+    # Counted while the rows are staged, in the same pass.
+    states, staging, counts = store.stage_observed(
+        decoded,
+        input=F.count(F.lit(1)),
+        **{r: F.count_if(cond) for r, cond in log_reasons(decoded).items()},
+        clean=F.count_if(clean),
+    )
     try:
-        clean = is_clean(states, drop_blank_country=drop_blank_country)
-        # Rows that dedup keeps: distinct (icao24, last_contact) of clean rows, where a
-        # struct key keeps a null last_contact as its own group. Narrow columns of the staged input.
-        key = F.when(clean, F.struct("icao24", "last_contact"))
-        row = states.agg(
-            F.count(F.lit(1)).alias("input"),
-            *(F.count_if(cond).alias(r) for r, cond in log_reasons(states).items()),
-            F.count_if(clean).alias("clean"),
-            F.count_distinct(key).alias("deduped"),
-        ).first()
-        counts = {k: int(v) for k, v in row.asDict().items()}
-        check_count(counts["input"], min_rows, what=f"state vectors in run {run}")
+        try:
+            check_count(counts["input"], min_rows, what=f"state vectors in run {run}")
+        except DataQualityError as e:
+            raise GateFailure(str(e), store.reject(run, m, str(e)), counts["input"]) from e
+        # Rows that dedup keeps: two narrow columns of the clean rows, combined before they are dealt.
+        keys = states.filter(is_clean(states, drop_blank_country=drop_blank_country)).select("icao24", "last_contact")
+        counts["deduped"] = keys.distinct().count()
         if quarantine_dir:
             write_quarantine(quarantine_rows(states), quarantine_dir, runs=[run])
         new = silver_latest(states, as_of, run_ts=run, drop_blank_country=drop_blank_country)
-        merged = upsert(read_silver(store), new, order_by=newer_only_order(new) if newer_only else None)
+        table, order = read_silver(store), newer_only_order(new) if newer_only else None
+        if table is not None and store.find("silver", run) is not None:
+            before = store.before_run(run)
+            table = withdraw(table, None if before is None else read_silver(store, before["version"]), run)
+            order = order or [S.RUN_COL]
+        merged = upsert(table, new, order_by=order)
         version, path = store.write_version(
             with_country_part(merged), "silver", partition_by=S.COUNTRY_PART, rebalance=S.COUNTRY_PART
         )
     finally:
         store.delete(staging)
     counts["table_rows"] = store.rows_in(path, SILVER_STORED_SCHEMA)
-    store.commit(Commit("silver", version, path, counts["deduped"], run_ts=run))
+    store.commit(Commit("silver", version, path, counts["deduped"], run_ts=run, source_version=m["version"]))
     return RunResult("silver", version, path, counts["deduped"], counts)
 
 
@@ -192,7 +223,7 @@ def run_gold(
     else:
         version, path = store.write_version(g, "gold")
     n = store.rows_in(path, S.GOLD_SCHEMA)
-    store.commit(Commit("gold", version, path, n, run_ts=cur_silver["run_ts"]))
+    store.commit(Commit("gold", version, path, n, run_ts=cur_silver["run_ts"], source_version=cur_silver["version"]))
     n_in = store.rows_in(cur_silver["output_path"], SILVER_STORED_SCHEMA)
     return RunResult("gold", version, path, n, {"gold_input": n_in, "gold_rows": n})
 
@@ -204,5 +235,5 @@ def read_gold(store: TableStore, version: int | None = None) -> DataFrame | None
 
 
 __all__ = [
-    "RunResult", "run_bronze", "run_silver", "run_silver_pending", "run_gold", "read_gold", "stamp_epoch", "run_stamp",
+    "GateFailure", "RunResult", "run_bronze", "run_silver", "run_silver_pending", "run_gold", "read_gold", "stamp_epoch", "run_stamp",
 ]

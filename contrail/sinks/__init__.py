@@ -7,6 +7,7 @@ from contrail.sinks.store import (  # noqa: F401
     read_quarantine,
     read_silver,
     run_config,
+    run_ledger,
     with_country_part,
     write_quarantine,
 )
