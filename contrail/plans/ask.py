@@ -3,8 +3,9 @@ audit, and the example questions as DataFrame functions."""
 
 from __future__ import annotations
 
-import re
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,26 +48,89 @@ def register_gold(gold_df: DataFrame, name: str = GOLD_VIEW) -> None:
     gold_df.createOrReplaceTempView(name)
 
 
-# Functions that call arbitrary JVM methods.
-_REFLECTION = r"\b(?:java_method|reflect|try_reflect)\b"
+# Plan nodes without children that read nothing by themselves; every other leaf is a table, a file or a range.
+_OWN_LEAVES = {"OneRowRelation", "LocalRelation", "CTERelationRef"}
+# Functions that make rows out of values; other row-making functions list what the engine knows.
+_GENERATORS = {"Explode", "PosExplode", "Inline", "Stack", "JsonTuple", "GeneratorOuter", "VariantExplode", "ReplicateRows"}
+# Function classes that call code outside the engine's own functions, and the names of those that analysis itself would look classes up for.
+_REFLECTION = {"CallMethodViaReflection", "TryReflect"}
+_REFLECTION_NAMES = {"java_method", "reflect", "try_reflect"}
+_FOREIGN_KINDS = ("UDF", "UDAF", "UDTF", "ScalaAggregator", "HiveUDAFFunction", "ApplyFunctionExpression")
 
 
-def check_scope(spark: SparkSession, sql: str, view: str = GOLD_VIEW) -> str | None:
-    """Why a statement reaches beyond the Gold view, or null: it may name no other relation
-    (files and catalog tables included), call no table function and no reflection.
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
 
-    Read from the parsed plan, which also prints the plans of subqueries and of
-    common table expressions; the latter's own names are allowed."""
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
-    own = {n.strip().lower() for names in re.findall(r"\bCTE \[([^\]]*)\]", plan) for n in names.split(",")}
-    for name in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan):
-        if name.strip().lower() not in own | {view}:
-            return f"only {view} can be queried, not {name}"
-    if "UnresolvedTableValuedFunction" in plan:
-        return "table functions can't be used"
-    if re.search(_REFLECTION, plan, re.I):
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName()
+
+
+def _foreign(expr) -> str | None:
+    """Why an expression of an analyzed plan, or one inside it, can't be used."""
+    kind = _kind(expr)
+    if kind in _REFLECTION or (kind == "UnresolvedFunction" and _items(expr.nameParts())[-1].lower() in _REFLECTION_NAMES):
         return "reflection can't be used"
-    return None
+    if any(k in kind for k in _FOREIGN_KINDS):
+        return "user-defined functions can't be used"
+    return next(filter(None, map(_foreign, _items(expr.children()))), None)
+
+
+def _beyond(plan, view: str) -> str | None:
+    """Why an analyzed plan reaches beyond the view, or null. The view's own plan isn't looked into."""
+    kind, children = _kind(plan), _items(plan.children())
+    if kind == "View":
+        name = plan.desc().identifier().unquotedString()
+        return None if plan.isTempView() and name == view else f"only {view} can be queried, not {name}"
+    if not children and kind not in _OWN_LEAVES:
+        return f"only {view} can be queried, not a {kind}"
+    if kind == "Generate" and _kind(plan.generator()) not in _GENERATORS:
+        return "table functions can't be used"
+    reasons = [*map(_foreign, _items(plan.expressions()))]
+    reasons += [_beyond(p, view) for p in [*children, *_items(plan.subqueries())]]
+    return next(filter(None, reasons), None)
+
+
+def _named_reflection(parsed) -> str | None:
+    """Reflection that a parsed plan names outright."""
+    below = [*_items(parsed.children()), *_items(parsed.innerChildren()), *_items(parsed.subqueries())]
+    reasons = [*map(_foreign, _items(parsed.expressions())), *map(_named_reflection, below)]
+    return next(filter(None, reasons), None)
+
+
+def _query_session(spark: SparkSession, view: str) -> SparkSession:
+    """A session with the caller's settings in which the view is the only temporary one and paths aren't tables."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.runSQLOnFiles", "false")
+    passage = f"{view}_{uuid.uuid4().hex}"
+    spark.table(view).createOrReplaceGlobalTempView(passage)
+    try:
+        own.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{passage}").createOrReplaceTempView(view)
+    finally:
+        spark.catalog.dropGlobalTempView(passage)
+    return own
+
+
+def check_scope(session: SparkSession, sql: str, view: str = GOLD_VIEW) -> str | None:
+    """Why a statement reaches beyond the Gold view, or null: it may read no other relation (file, table,
+    view, range), call no table function that lists what the engine knows, no reflection and no user-defined function.
+
+    Decided on the analyzed plan, node by node and with all subqueries: names are resolved by then, however they were
+    written, and nothing has run. ``session`` is one of :func:`_query_session`, where other sessions' views don't exist."""
+    state = session._jsparkSession.sessionState()
+    parsed = state.sqlParser().parsePlan(sql)
+    if reason := _named_reflection(parsed):
+        return reason
+    try:
+        plan = state.executePlan(parsed, getattr(state, "executePlan$default$2")()).analyzed()
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith(("TABLE_OR_VIEW_NOT_FOUND", "UNSUPPORTED_DATASOURCE_FOR_DIRECT_QUERY")):
+            return f"only {view} can be queried: {str(e).splitlines()[0]}"
+        raise
+    return _beyond(plan, view)
 
 
 def gold_sql(spark: SparkSession, sql: str) -> DataFrame:
@@ -76,10 +140,12 @@ def gold_sql(spark: SparkSession, sql: str) -> DataFrame:
     is refused, or with the reason when it reaches beyond the Gold view. Returns a
     lazy DataFrame: the caller decides how much to fetch."""
     rule, message = check_statement(spark, sql)
-    message = message if rule is not None else check_scope(spark, sql)
+    if rule is None:
+        session = _query_session(spark, GOLD_VIEW)
+        message = check_scope(session, sql)
     if message is not None:
         raise UnsafeQueryError(message)
-    return spark.sql(sql)
+    return session.sql(sql)
 
 
 # ---------------------------------------------------------------------------
