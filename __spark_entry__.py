@@ -11,12 +11,13 @@ engines in ``contrail.sources.fixture``. Every query reads the whole tables.
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 from collections.abc import Callable
 
 # The package lives next to this file; make it importable however this module
-# is loaded (executors never need it: there are no Python UDFs).
+# is loaded. Executors need it only for the training-data operators, which ship it themselves.
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema as S
+from contrail.functions.decode import state_json_indented
 from contrail.functions.time import run_stamp, run_ts_to_epoch
 from contrail.operators import (
     complete_rows,
@@ -60,7 +62,7 @@ from contrail.plans import (
 )
 from contrail.plans.jobs import RunResult, read_gold, run_bronze, run_gold, run_silver_pending
 from contrail.session import ensure_checkpoint_dir, scratch_dir
-from contrail.sinks import TableStore, read_quarantine, read_silver, run_config, write_quarantine
+from contrail.sinks import TableStore, read_quarantine, read_silver, run_config, run_ledger, write_quarantine
 from contrail.sources import (
     decode_states,
     land_snapshots,
@@ -69,6 +71,7 @@ from contrail.sources import (
     state_vectors,
     to_envelopes,
     to_state_lines,
+    write_array_snapshots,
 )
 from contrail.sources.fixture import AS_OF, DUCKDB_VIEW
 from contrail.streaming import run_incremental
@@ -94,6 +97,9 @@ TEMPLATE_PREFIX = "SELECT * FROM flights_gold WHERE callsign = '"
 INCREMENTAL_FILES_PER_TRIGGER = 10
 FIRST_RUN_AS_OF = AS_OF - 15 * 86400  # the pipeline's first run holds the snapshots up to this instant
 
+LEDGER_RUNS = (AS_OF - 16 * 86400, AS_OF - 15 * 86400, AS_OF)  # ends of the ledger's three runs
+LEDGER_MIN_ROWS = 1000  # its gate: a day is too short at sf0.01, not at sf0.1
+
 # Lines that replace the regular ones in the decode checks, by the fixture's k (= 10 * vertical_rate + 50).
 K_CUT, K_SHORT, K_SUFFIX, K_EPOCH, K_LIST = 91, 90, 89, 88, 87
 SHORT_LINE = '["a","b"]'
@@ -102,6 +108,11 @@ EPOCH_LINE = '["00x088","E","X",1,253402300800,3.5,4.5,0,false,0,0,0,null,0,"120
 LIST_LINE = '["00x087","L","X",1,2,3.5,4.5,10,true,0,0,0,[1,2],7.5,"7700",true,1]'
 
 
+def _indented(line: str) -> str:
+    """A state's line as it stands in an indented snapshot."""
+    return json.dumps([json.loads(line)], indent=4)[2:-2]
+
+
 # ---------------------------------------------------------------------------
 # Spark side
 # ---------------------------------------------------------------------------
@@ -135,6 +146,21 @@ def q_bronze_decode(spark, d):
     return _decoded(spark, d).select(*S.STATE_COLUMNS, "_decode_error", "_raw")
 
 
+def q_bronze_decode_array(spark, d):
+    """Snapshot files in the original form, a run each, some states short, empty or nested, read in pieces."""
+    ensure_checkpoint_dir(spark)
+    path = scratch_dir(spark, "arrays")
+    k = F.round(F.col("vertical_rate") * 10 + 50).cast("int")
+    body = (
+        F.when(k == K_CUT, F.lit("    []"))
+        .when(k == K_SHORT, F.lit(_indented(SHORT_LINE)))
+        .when(k == K_LIST, F.lit(_indented(LIST_LINE)))
+        .otherwise(state_json_indented())
+    )
+    write_array_snapshots(_sv(spark, d), path, order="time_position", body=body)
+    return read_states(spark, path, fmt="array").select("run_ts", *S.STATE_COLUMNS, "_decode_error", "_raw")
+
+
 def q_land_snapshots(spark, d):
     ensure_checkpoint_dir(spark)
     path = scratch_dir(spark, "bronze")
@@ -247,27 +273,20 @@ def q_gold_layer(spark, d):
     return _gold(spark, d)
 
 
-_pipelines: dict[tuple[str, str], tuple[TableStore, list[RunResult]]] = {}
-
-
 def _pipeline(spark, d) -> tuple[TableStore, list[RunResult]]:
-    """Land two runs, bring both into Silver, publish Gold twice (plain, then by status).
-
-    Done once for each application and input folder; the keys below read what it stored."""
-    at = (spark.sparkContext.applicationId, d)
-    if at not in _pipelines:
-        ensure_checkpoint_dir(spark)
-        root = scratch_dir(spark, "pipeline")
-        store = TableStore(spark, f"{root}/store")
-        stamps = [run_stamp(FIRST_RUN_AS_OF), run_stamp(AS_OF)]
-        sv = _sv(spark, d)
-        run = F.when(F.col("run_ts") <= stamps[0], F.lit(stamps[0])).otherwise(F.lit(stamps[1]))
-        responses = to_envelopes(sv.withColumn("run_ts", run), time_col=F.col("last_contact"))
-        run_bronze(spark, responses, f"{root}/bronze", store, runs=stamps)
-        results = run_silver_pending(spark, store, quarantine_dir=f"{root}/quarantine")
-        results += [run_gold(spark, store), run_gold(spark, store, partition_by="status")]
-        _pipelines[at] = (store, results)
-    return _pipelines[at]
+    """Land two runs, bring both into Silver, publish Gold twice (plain, then by status). Each of the keys
+    below runs it on the given tables."""
+    ensure_checkpoint_dir(spark)
+    root = scratch_dir(spark, "pipeline")
+    store = TableStore(spark, f"{root}/store")
+    stamps = [run_stamp(FIRST_RUN_AS_OF), run_stamp(AS_OF)]
+    sv = _sv(spark, d)
+    run = F.when(F.col("run_ts") <= stamps[0], F.lit(stamps[0])).otherwise(F.lit(stamps[1]))
+    responses = to_envelopes(sv.withColumn("run_ts", run), time_col=F.col("last_contact"))
+    run_bronze(spark, responses, f"{root}/bronze", store, runs=stamps)
+    results = run_silver_pending(spark, store, quarantine_dir=f"{root}/quarantine")
+    results += [run_gold(spark, store), run_gold(spark, store, partition_by="status")]
+    return store, results
 
 
 def q_stage_counts(spark, d):
@@ -302,6 +321,35 @@ def q_gold_written_partitioned(spark, d):
     return spark.read.parquet(results[-1].path)
 
 
+def _corrected(spark, d) -> TableStore:
+    """Three runs, the second of one day only; the first lands with wrong rows, and right once all three are through."""
+    ensure_checkpoint_dir(spark)
+    root = scratch_dir(spark, "ledger")
+    store = TableStore(spark, f"{root}/store")
+    sv, stamps = _sv(spark, d), [run_stamp(a) for a in LEDGER_RUNS]
+    first, second, third = stamps
+    run = F.when(F.col("run_ts") <= first, F.lit(first)).when(F.col("run_ts") <= second, F.lit(second)).otherwise(F.lit(third))
+    right = sv.withColumn("run_ts", run)
+    stray = (F.col("run_ts") == first) & (F.col("time_position") % 10 == 0)
+    wrong = right.withColumns({
+        "icao24": F.when(stray, F.concat(F.lit("x"), "icao24")).otherwise(F.col("icao24")),
+        "callsign": F.when(F.col("run_ts") == first, F.lit("WRONG")).otherwise(F.col("callsign")),
+    })
+    for states, runs in ((wrong, stamps), (right.filter(F.col("run_ts") == first), [first])):
+        run_bronze(spark, to_envelopes(states, time_col=F.col("last_contact")), f"{root}/bronze", store, runs=runs, min_rows=1)
+        run_silver_pending(spark, store, min_rows=LEDGER_MIN_ROWS)
+    return store
+
+
+def q_run_ledger(spark, d):
+    return run_ledger(_corrected(spark, d)).select("run_ts", "bronze_version", "record_count", "state", "silver_version", "note")
+
+
+def q_silver_corrected(spark, d):
+    table = read_silver(_corrected(spark, d))
+    return visible(spark.createDataFrame([], S.SILVER_SCHEMA) if table is None else table)
+
+
 def q_incremental_silver(spark, d):
     ensure_checkpoint_dir(spark)
     root = scratch_dir(spark, "incremental")
@@ -363,6 +411,7 @@ def q_sql_audit(spark, d):
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_decode": q_bronze_decode,
+    "bronze_decode_array": q_bronze_decode_array,
     "land_snapshots": q_land_snapshots,
     "latest_snapshot": q_latest_snapshot,
     "count_gate": q_count_gate,
@@ -384,6 +433,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_counts": q_stage_counts,
     "run_manifest": q_run_manifest,
     "run_config": q_run_config,
+    "run_ledger": q_run_ledger,
+    "silver_corrected": q_silver_corrected,
     "silver_written": q_silver_written,
     "gold_written": q_gold_written,
     "gold_written_partitioned": q_gold_written_partitioned,
@@ -619,6 +670,39 @@ def _damaged_sql() -> str:
     )
 
 
+def _damaged_array_sql() -> str:
+    """CTE ``dec``: the fixture as indented snapshots, some states short, empty or nested, decoded."""
+    null = ", ".join(f"NULL AS {c}" for c in _STATE.split(", "))
+    short = null.replace("NULL AS icao24, NULL AS callsign", "'a' AS icao24, 'b' AS callsign")
+    listed = "'00x087', 'L', 'X', 1, 2, 3.5, 4.5, 10, TRUE, 0, 0, 0, NULL, 7.5, '7700', TRUE, 1"
+    return (
+        f"WITH {DUCKDB_VIEW.strip()},\n"
+        "kk AS (SELECT *, CAST(round(vertical_rate * 10 + 50) AS INTEGER) AS kx FROM sv),\n"
+        f"dec AS (SELECT run_ts, {_STATE}, NULL AS _decode_error, NULL AS _raw FROM kk "
+        f"WHERE kx IS NULL OR kx NOT IN ({K_CUT}, {K_SHORT}, {K_LIST})\n"
+        f"UNION ALL SELECT run_ts, {null}, 'short_row', '[]' FROM kk WHERE kx = {K_CUT}\n"
+        f"UNION ALL SELECT run_ts, {short}, 'short_row', '{SHORT_LINE}' FROM kk WHERE kx = {K_SHORT}\n"
+        f"UNION ALL SELECT run_ts, {listed}, NULL, NULL FROM kk WHERE kx = {K_LIST})\n"
+    )
+
+
+def _ledger_sql() -> str:
+    """CTEs of the three ledger runs: n rows each, ok whether they pass, and the rows as Silver has them."""
+    a1, a2, a3 = LEDGER_RUNS
+    s1, s2, s3 = (run_stamp(a) for a in LEDGER_RUNS)
+    a = f"(CASE r WHEN 1 THEN {a1} WHEN 2 THEN {a2} ELSE {a3} END)"
+    return (
+        f"WITH {DUCKDB_VIEW.strip()},\n"
+        f"runs AS (SELECT *, CASE WHEN run_ts <= '{s1}' THEN 1 WHEN run_ts <= '{s2}' THEN 2 ELSE 3 END AS r FROM sv),\n"
+        f"stamp AS (SELECT * FROM (VALUES (1, '{s1}'), (2, '{s2}'), (3, '{s3}')) AS t(r, run)),\n"
+        f"n AS (SELECT r, run, count(*) AS n, count(*) >= {LEDGER_MIN_ROWS} AS ok FROM runs JOIN stamp USING (r) GROUP BY r, run),\n"
+        f"clean AS (SELECT *, {a} AS a FROM runs WHERE {_COMPLETE} AND {_GEO_OK} AND r IN (SELECT r FROM n WHERE ok)),\n"
+        f"latest AS ({_winner('clean', 'icao24', 'r DESC, ' + _LATEST_ORDER)}),\n"
+        "commits AS (SELECT r, run, n, ok, r AS v, r = 1 AS old FROM n UNION ALL SELECT r, run, n, ok, 4 AS v, FALSE FROM n WHERE r = 1),\n"
+        "took AS (SELECT *, count(*) FILTER (ok) OVER (ORDER BY v) AS sv FROM commits)\n"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     v = f"WITH {DUCKDB_VIEW.strip()}\n"
     silver_all = f"{_BASE}, dd AS ({_winner('clean', 'icao24, last_contact', _DEDUP_ORDER)})\n"
@@ -628,6 +712,7 @@ def oracle_sql() -> dict[str, str]:
         more["pipeline"] = corpus_pipeline.ORACLE_SQL
     return more | {
         "bronze_decode": f"{_damaged_sql()}SELECT {_STATE}, _decode_error, _raw FROM dec",
+        "bronze_decode_array": f"{_damaged_array_sql()}SELECT run_ts, {_STATE}, _decode_error, _raw FROM dec",
         "land_snapshots": f"{v}SELECT run_ts, count(*) AS n_states, count(*) AS n_decoded FROM sv GROUP BY run_ts",
         "latest_snapshot": (
             f"{v}SELECT run_ts, 'bronze/run_ts=' || run_ts AS output_path, count(*) AS record_count "
@@ -679,6 +764,15 @@ def oracle_sql() -> dict[str, str]:
             "SELECT run AS run_ts, input AS total_records, deduped AS silver_record_count, "
             "CASE WHEN r = 2 THEN (SELECT g FROM n2) END AS gold_record_count FROM c JOIN stamp USING (r)"
         ),
+        "run_ledger": (
+            f"{_ledger_sql()}"
+            "SELECT run AS run_ts, CAST(v AS BIGINT) AS bronze_version, n AS record_count, "
+            "CASE WHEN old THEN 'superseded' WHEN ok THEN 'taken' ELSE 'rejected' END AS state, "
+            "CASE WHEN ok THEN CAST(sv AS BIGINT) END AS silver_version, "
+            "CASE WHEN NOT ok THEN 'count gate: only ' || n || ' state vectors in run ' || run || ', at least "
+            f"{LEDGER_MIN_ROWS} are needed' END AS note FROM took"
+        ),
+        "silver_corrected": f"{_ledger_sql()}SELECT {_silver_select('a')} FROM latest",
         "silver_written": f"{_two_runs()}SELECT {_SILVER} FROM silver2",
         "gold_written": f"{_two_runs()}SELECT * FROM gold2",
         "gold_written_partitioned": f"{_two_runs()}SELECT *, status AS status_part FROM gold2",

@@ -95,8 +95,8 @@ def decode_error(arr: str = "_arr") -> Column:
 # ---------------------------------------------------------------------------
 
 
-def state_json(df_cols: dict[str, Column] | None = None) -> Column:
-    """Positional JSON array text for the 17 state columns of the current row.
+def state_elements(df_cols: dict[str, Column] | None = None) -> list[Column]:
+    """JSON text of each of the 17 state columns of the current row.
 
     Strings are JSON-escaped, numbers use Spark's round-tripping text form,
     booleans are ``true``/``false``, nulls are ``null``.
@@ -114,4 +114,14 @@ def state_json(df_cols: dict[str, Column] | None = None) -> Column:
         else:
             txt = F.coalesce(c.cast("string"), F.lit("null"))
         parts.append(txt)
-    return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+    return parts
+
+
+def state_json(df_cols: dict[str, Column] | None = None) -> Column:
+    """Positional JSON array text of the current row's state."""
+    return F.concat(F.lit("["), F.concat_ws(",", *state_elements(df_cols)), F.lit("]"))
+
+
+def state_json_indented() -> Column:
+    """The same with an element a line, four blanks a level, as it stands inside an indented snapshot."""
+    return F.concat(F.lit("    [\n        "), F.concat_ws(",\n        ", *state_elements()), F.lit("\n    ]"))

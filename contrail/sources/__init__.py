@@ -10,5 +10,6 @@ from contrail.sources.bronze import (  # noqa: F401
     read_states,
     to_envelopes,
     to_state_lines,
+    write_array_snapshots,
 )
 from contrail.sources.fixture import state_vectors  # noqa: F401

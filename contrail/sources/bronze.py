@@ -3,22 +3,27 @@
 Storage layout chosen for scale: one *JSON line per state vector*, partitioned
 by run (``<root>/run_ts=<yyyyMMdd_HHmmss>/part-*.txt``). Lines are splittable,
 so a large run is read by many tasks; decoding is pure column expressions.
-Snapshot files in the original form (one pretty-printed JSON array of arrays per
-file) are read with ``fmt='array'``; such a file is one value and therefore one
-task, so very large feeds should be landed as lines instead.
+Snapshot files in the original form (one indented JSON array of arrays per
+file) are read with ``fmt='array'``: the text between two inner arrays is the reader's record
+separator, so a file is split like any text and decoded by as many tasks as it has splits. The pieces miss
+their outer brackets, which are put back. A file in another layout (one line, other indents) holds no
+separator and is one piece. A file that ends before its last bracket is logged as malformed beside the states it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail import schema as S
-from contrail.functions.decode import decode_error, state_columns, state_json
+from contrail.functions.decode import decode_error, state_columns, state_json, state_json_indented
 
 # ``_corrupt_record`` takes the text of a body that isn't a JSON object with a list of states.
 ENVELOPE_SCHEMA = "struct<states: array<string>, _corrupt_record: string>"
 _STAMP = "[0-9]{8}_[0-9]{6}"
+#: What stands between two states of a snapshot file written with an indent of four. A line feed can't occur inside a
+#: JSON string, and deeper arrays are indented further, so nothing else matches.
+ARRAY_SEPARATOR = "\n    ],\n    ["
 
 
 class DataQualityError(Exception):
@@ -112,23 +117,54 @@ def landed_counts(spark: SparkSession, path: str, runs: list[str], *, run_col: s
 # ---------------------------------------------------------------------------
 
 
+def _piece_bounds(piece: Column) -> tuple[Column, Column]:
+    """Whether a piece is a file's first one, and whether the file ends with it: after a separator comes a line feed (or the
+    bracket of an empty state), and only the outer array closes at the start of a line. A file in another layout, where
+    no separator follows the first bracket, is whole in its first piece."""
+    first = ~(piece.startswith("\n") | piece.startswith("]"))
+    return first, piece.rlike(r"\n\]\s*$") | (first & ~piece.startswith("[\n    ["))
+
+
+def _snapshot(piece: Column) -> Column:
+    """The states of a piece as ``array<array<string>>``, its outer brackets put back; null if unparsable."""
+    first, last = _piece_bounds(piece)
+    opened = F.when(first, piece).otherwise(F.concat(F.lit("[["), piece))
+    return F.from_json(F.when(last, opened).otherwise(F.concat(opened, F.lit("]]"))), "array<array<string>>")
+
+
+def _endless_files(pieces: DataFrame, value_col: str) -> DataFrame:
+    """One unparsable row, its value the file's name, for each file without a last piece. A narrow count by file,
+    taken up within each task first."""
+    keep = [c for c in pieces.columns if c not in (value_col, "_file")]
+    ends = pieces.groupBy("_file", *keep).agg(F.count_if(_piece_bounds(F.col(value_col))[1]).alias("_ends")).filter("_ends = 0")
+    return ends.select(*keep, F.concat(F.lit("!no end of file: "), F.col("_file")).alias(value_col))
+
+
+def read_pieces(reader, path, run_col: str = "run_ts") -> DataFrame:
+    """(value, run, _file): snapshot files cut into pieces by a batch or stream reader."""
+    raw = reader.option("lineSep", ARRAY_SEPARATOR).text(path)
+    return raw.select("value", run_stamp_of_file(run_col).alias(run_col), F.col("_metadata.file_path").alias("_file"))
+
+
 def decode_states(df: DataFrame, *, value_col: str = "value", fmt: str = "line") -> DataFrame:
     """Text -> 17 typed state columns + ``_decode_error`` + ``_raw``.
 
     ``fmt='line'``: each value is one positional array. ``fmt='array'``: each
-    value is a whole snapshot (array of arrays); an unparsable snapshot yields a
-    single row with ``_decode_error='unparsable'`` and the file's text. Other input
+    value is a snapshot (array of arrays) or a piece of one, cut at :data:`ARRAY_SEPARATOR`; an unparsable
+    one yields a single row with ``_decode_error='unparsable'`` and its text. If there is a column ``_file``, a file without
+    an end yields such a row too, with the file's name as text. Other input
     columns pass through. ``_raw`` keeps the source text of malformed rows only.
     """
-    keep = [c for c in df.columns if c != value_col]
+    keep = [c for c in df.columns if c not in (value_col, "_file")]
     v = F.col(value_col)
     if fmt == "line":
         staged = df.select(*keep, F.from_json(v, "array<string>").alias("_arr"), v.alias("_text"))
         raw: Column = F.col("_text")
     elif fmt == "array":
-        snap = F.from_json(v, "array<array<string>>")
+        if "_file" in df.columns:
+            df = df.drop("_file").unionByName(_endless_files(df, value_col))
         marker = F.array(F.lit(None).cast("array<string>"))
-        parsed = df.select(*keep, v.alias("_text"), snap.alias("_snap"))
+        parsed = df.select(*keep, v.alias("_text"), _snapshot(v).alias("_snap"))
         staged = parsed.select(
             *keep,
             F.when(F.col("_snap").isNull(), F.col("_text")).alias("_text"),
@@ -175,7 +211,7 @@ def read_states(
         else:
             raw = raw.withColumn(run_col, run_stamp_of_file(run_col))
     elif fmt == "array":
-        raw = spark.read.text(paths, wholetext=True).select("value", run_stamp_of_file(run_col).alias(run_col))
+        raw = read_pieces(spark.read, paths, run_col)
     else:
         raise ValueError(f"unknown bronze format {fmt!r}")
     states = decode_states(raw, fmt=fmt)
@@ -193,6 +229,21 @@ def to_state_lines(states: DataFrame, *extra: str) -> DataFrame:
     return states.select(*extra, state_json().alias("value"))
 
 
+def write_array_snapshots(states: DataFrame, path: str, *, run_col: str = "run_ts", order: str, body: Column | None = None) -> None:
+    """Write each run as one indented JSON array of arrays, as an API client's ``json.dump(states, indent=4)`` does.
+
+    One file a run is the format, so a run is written by one task (sorted by ``order``, spilling); nothing of it is held
+    in memory. ``body`` replaces the indented text of a state."""
+    rows = states.select(run_col, order, (state_json_indented() if body is None else body).alias("_body"))
+    in_run = Window.partitionBy(run_col).orderBy(order, "_body")
+    text = F.concat(
+        F.when(F.row_number().over(in_run) == 1, F.lit("[\n")).otherwise(F.lit("")),
+        F.col("_body"),
+        F.when(F.lead(F.lit(1)).over(in_run).isNull(), F.lit("\n]")).otherwise(F.lit(",")),
+    )
+    rows.select(run_col, text.alias("value")).write.partitionBy(run_col).text(path)
+
+
 def to_envelopes(states: DataFrame, *, time_col: Column, run_col: str = "run_ts") -> DataFrame:
     """Wrap each state vector in its own API-style envelope ``{"time":…,"states":[…]}``.
 
@@ -228,7 +279,9 @@ __all__ = [
     "land_snapshots",
     "landed_counts",
     "latest_run",
+    "read_pieces",
     "read_states",
     "to_envelopes",
     "to_state_lines",
+    "write_array_snapshots",
 ]

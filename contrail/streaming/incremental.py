@@ -33,7 +33,7 @@ from contrail.operators.quality import check_count, quarantine_rows
 from contrail.operators.upsert import upsert
 from contrail.plans.layers import silver_latest
 from contrail.sinks.store import SILVER_STORED_SCHEMA, Commit, TableStore, read_silver, with_country_part, write_quarantine
-from contrail.sources.bronze import decode_states, run_stamp_of_file
+from contrail.sources.bronze import decode_states, read_pieces, run_stamp_of_file
 
 RECENCY_ORDER = (S.RUN_COL, S.LAST_CONTACT_EPOCH, "time_position", "callsign")
 
@@ -85,15 +85,14 @@ def bronze_stream(
     The file source lists the folder on every trigger; with ``archive_dir``
     processed files are moved there (``cleanSource=archive``), so the listing
     stays proportional to the backlog instead of the whole history."""
-    reader = spark.readStream.format("text")
-    if fmt == "array":
-        reader = reader.option("wholetext", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    raw = reader.load(bronze_dir)
-    return raw.select("value", run_stamp_of_file().alias("run_ts"))
+    if fmt == "array":
+        return read_pieces(reader, bronze_dir)
+    return reader.text(bronze_dir).select("value", run_stamp_of_file().alias("run_ts"))
 
 
 def run_incremental(

@@ -4,6 +4,7 @@ import json
 import math
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from contrail import schema as S
@@ -153,3 +154,56 @@ def test_unparsable_array_file_keeps_its_text(spark):
     df = spark.createDataFrame([("[[1, 2",)], "value string")
     r = decode_states(df, fmt="array").first()
     assert (r._decode_error, r._raw) == ("unparsable", "[[1, 2")
+
+
+# ---------------------------------------------------------------------------
+# Snapshot files read in pieces
+# ---------------------------------------------------------------------------
+
+STATES = [[f"{i:06x}", "line\nfeed ], [ \" \\" if i % 7 == 0 else "A", "X", 1, 2, 3.5, -4.5, None, i % 2 == 0, 0, 0, 0, [1, [2, 3]] if i % 5 == 0 else None,
+           7.5, "7700", True, 1] for i in range(60)]
+ODD = [[], ["short"], [[1], 2], STATES[0][:16] + [[9]], [None] * 17, []]
+
+
+@pytest.mark.parametrize("states", [STATES, STATES + ODD, ODD + STATES, ODD, [], [[]], [STATES[0]], [["a"]]])
+@pytest.mark.parametrize("split", [97, 1000, 1 << 27])
+def test_pieces_of_a_snapshot_file_are_its_states(spark, scratch, states, split):
+    import json
+    import os
+
+    base = scratch.replace("file:", "")
+    os.makedirs(base)
+    forms = {"20231114_220000": dict(indent=4), "20231114_230000": {}, "20231114_235900": dict(indent=2)}
+    for stamp, kw in forms.items():
+        with open(f"{base}/aircraft_data_{stamp}.json", "w") as f:
+            json.dump(states, f, **kw)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        df = read_states(spark, base, fmt="array")
+        got = sorted((tuple(r) for r in df.collect()), key=repr)
+        tasks = read_states(spark, f"{base}/aircraft_data_20231114_220000.json", fmt="array").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    lines = spark.createDataFrame([(json.dumps(s), run) for s in states for run in forms], "value string, run_ts string")
+    plain = decode_states(lines).drop("_raw").collect()
+    assert sorted((tuple(x[:-1]) for x in got), key=repr) == sorted((tuple(r) for r in plain), key=repr)
+    if len(states) > 50 and split < 1000:
+        assert tasks > 20  # one file, many tasks
+
+
+@pytest.mark.parametrize("cut", [25, 200, 900, -3, -9])
+def test_a_cut_off_snapshot_file_is_logged(spark, scratch, cut):
+    import json
+    import os
+
+    base = scratch.replace("file:", "")
+    os.makedirs(base)
+    whole = json.dumps(STATES[1:5], indent=4)
+    assert len(whole) > 930
+    with open(f"{base}/aircraft_data_20231114_220000.json", "w") as f:
+        f.write(whole[:cut])
+    rows = read_states(spark, base, fmt="array").collect()
+    assert any((r._raw or "").startswith("!no end of file") and r.run_ts == "20231114_220000" for r in rows)
+    good = [r.icao24 for r in rows if r._decode_error is None]
+    assert good == [s[0] for s in STATES[1:5]][: len(good)]
