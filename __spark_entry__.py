@@ -46,6 +46,7 @@ from contrail.operators.dedup import pick_winner
 from contrail.operators.quality import clean_rows
 from contrail.operators.upsert import newer_only_order
 from contrail.plans import (
+    UnsafeQueryError,
     adsb_share,
     airborne,
     climb_descend,
@@ -364,6 +365,32 @@ def q_incremental_silver(spark, d):
     return visible(read_silver(store))
 
 
+def q_incremental_gated(spark, d):
+    """The ledger's three runs, each in several files, streamed two files a batch; the gate holds for whole runs."""
+    ensure_checkpoint_dir(spark)
+    root = scratch_dir(spark, "gated")
+    store = TableStore(spark, f"{root}/store")
+    sv, stamps = _sv(spark, d), [run_stamp(a) for a in LEDGER_RUNS]
+    first, second, third = stamps
+    run = F.when(F.col("run_ts") <= first, F.lit(first)).when(F.col("run_ts") <= second, F.lit(second)).otherwise(F.lit(third))
+    responses = to_envelopes(sv.withColumn("run_ts", run), time_col=F.col("last_contact"))
+    most = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(most)
+    spark.conf.set(most, str(-(-sv.count() // 7)))
+    try:
+        run_bronze(spark, responses, f"{root}/bronze", store, runs=stamps, min_rows=1)
+    finally:
+        spark.conf.set(most, before)
+    q = run_incremental(
+        spark, f"{root}/bronze", store, f"{root}/checkpoint", max_files_per_trigger=2, min_rows=LEDGER_MIN_ROWS, gated=True
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    table = read_silver(store)
+    return visible(spark.createDataFrame([], S.SILVER_SCHEMA) if table is None else table)
+
+
 def q_airborne_in_bbox(spark, d):
     return airborne(_gold(spark, d), bbox=BBOX)
 
@@ -393,6 +420,49 @@ def q_gold_sql(spark, d):
     return gold_sql(spark, GOLD_SQL)
 
 
+def _scope_statements(d: str) -> list[tuple[int, str]]:
+    """Statements that stay on the Gold view (below 100), and some that try to read on (100 and above)."""
+    reflection = "java_method('java.lang.System', 'getProperty', 'user.name')"
+    wide = ", ".join(f"{i} AS c{i}" for i in range(40))
+    fine = [
+        "SELECT * FROM flights_gold",
+        "SELECT DISTINCT status, source_type FROM flights_gold",
+        "SELECT * FROM (WITH up AS (SELECT * FROM flights_gold WHERE vertical_rate > 0) SELECT * FROM up) x",
+        "SELECT * FROM flights_gold WHERE velocity > (SELECT avg(velocity) FROM flights_gold)",
+    ]
+    hostile = [
+        f"SELECT {wide}, {reflection} FROM flights_gold",
+        "SELECT * FROM IDENTIFIER('all_events')",
+        "SELECT * FROM IDENTIFIER('all_' || 'events')",
+        "SELECT IDENTIFIER('java_' || 'method')('java.lang.System', 'getProperty', 'user.name') FROM flights_gold",
+        "SELECT * FROM (WITH all_events AS (SELECT 1 AS a) SELECT * FROM all_events) x, all_events",
+        "SELECT * FROM flights_gold WHERE callsign IN (SELECT event_type FROM all_events)",
+        f"SELECT * FROM parquet.`{d}/events.parquet`",
+        "SELECT * FROM range(10)",
+        "SELECT * FROM sql_keywords()",
+        f"SELECT transform(array(1), x -> {reflection}) FROM flights_gold",
+        "SELECT 1; DROP TABLE flights_gold",
+        "DELETE FROM flights_gold",
+    ]
+    return [*enumerate(fine), *enumerate(hostile, 100)]
+
+
+def q_gold_sql_scope(spark, d):
+    """Which statements the query surface lets through, and how many rows those give."""
+    gold_df = _gold(spark, d)
+    path = f"{scratch_dir(spark, 'scope')}/gold"
+    gold_df.write.parquet(path)
+    register_gold(spark.read.schema(S.GOLD_SCHEMA).parquet(path))
+    spark.read.parquet(f"{d}/events.parquet").createOrReplaceTempView("all_events")
+    rows = []
+    for number, statement in _scope_statements(d):
+        try:
+            rows.append((number, True, gold_sql(spark, statement).count()))
+        except UnsafeQueryError:
+            rows.append((number, False, None))
+    return spark.createDataFrame(rows, "statement int, allowed boolean, n_rows bigint")
+
+
 def q_sql_audit(spark, d):
     conv = spark.read.parquet(f"{d}/conversations.parquet")
     # Each turn is audited three times: as a raw statement, interpolated into a SELECT
@@ -439,6 +509,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_written": q_gold_written,
     "gold_written_partitioned": q_gold_written_partitioned,
     "incremental_silver": q_incremental_silver,
+    "incremental_gated": q_incremental_gated,
     "airborne_in_bbox": q_airborne_in_bbox,
     "airborne_by_origin": q_airborne_by_origin,
     "top_countries": q_top_countries,
@@ -446,6 +517,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "adsb_share": q_adsb_share,
     "climb_descend": q_climb_descend,
     "gold_sql": q_gold_sql,
+    "gold_sql_scope": q_gold_sql_scope,
     "sql_audit": q_sql_audit,
 }
 
@@ -777,6 +849,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_written": f"{_two_runs()}SELECT * FROM gold2",
         "gold_written_partitioned": f"{_two_runs()}SELECT *, status AS status_part FROM gold2",
         "incremental_silver": _incremental_sql(),
+        "incremental_gated": f"{_ledger_sql()}SELECT {_silver_select('a')} FROM latest",
         "airborne_in_bbox": (
             f"{_BASE}SELECT count(*) AS n_airborne FROM flights_gold WHERE status = 'AIRBORNE' "
             f"AND latitude BETWEEN {BBOX[0]} AND {BBOX[1]} AND longitude BETWEEN {BBOX[2]} AND {BBOX[3]}"
@@ -800,5 +873,12 @@ def oracle_sql() -> dict[str, str]:
             "FROM flights_gold GROUP BY 1"
         ),
         "gold_sql": f"{_BASE}{GOLD_SQL}",
+        "gold_sql_scope": (
+            f"{_BASE}SELECT 0 AS statement, TRUE AS allowed, count(*) AS n_rows FROM flights_gold "
+            "UNION ALL SELECT 1, TRUE, count(*) FROM (SELECT DISTINCT status, source_type FROM flights_gold) "
+            "UNION ALL SELECT 2, TRUE, count(*) FROM flights_gold WHERE vertical_rate > 0 "
+            "UNION ALL SELECT 3, TRUE, count(*) FROM flights_gold WHERE velocity > (SELECT avg(velocity) FROM flights_gold) "
+            "UNION ALL SELECT CAST(i AS INTEGER), FALSE, NULL FROM range(100, 112) AS t(i)"
+        ),
         "sql_audit": _audit_sql(),
     }

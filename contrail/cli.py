@@ -63,10 +63,12 @@ def cmd_silver(spark, args) -> dict:
         drop_blank_country=args.drop_blank_country,
     )
     done = [run_silver(spark, store, run=args.run, **kw)] if args.run else run_silver_pending(spark, store, **kw)
+    rejected = [{"path": r.path, "records": r.record_count} for r in done if r.stage == "rejected"]
+    done = [r for r in done if r.stage == "silver"]
     if not done:
-        return {"runs": 0}
+        return {"runs": 0, "rejected": rejected}
     r = done[-1]
-    return {"runs": len(done), "version": r.version, "path": r.path, "silver_record_count": r.record_count, **r.counts}
+    return {"runs": len(done), "rejected": rejected, "version": r.version, "path": r.path, "silver_record_count": r.record_count, **r.counts}
 
 
 def cmd_gold(spark, args) -> dict:
@@ -83,11 +85,13 @@ def cmd_gold(spark, args) -> dict:
 
 def cmd_incremental(spark, args) -> dict:
     from contrail.streaming import run_incremental
+    from contrail.streaming.gated import publish_held
 
+    store = _store(spark, args.store)
     q = run_incremental(
         spark,
         args.bronze,
-        _store(spark, args.store),
+        store,
         args.checkpoint,
         fmt=args.format,
         max_files_per_trigger=args.max_files,
@@ -96,11 +100,16 @@ def cmd_incremental(spark, args) -> dict:
         quarantine_dir=args.quarantine,
         archive_dir=args.archive,
         min_rows=args.min_rows,
+        gated=args.gated,
     )
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return {"batches": len(q.recentProgress)}
+    out = {"batches": len(q.recentProgress)}
+    if args.gated:  # runs whose Bronze commit came after their last file
+        kw = {} if args.min_rows is None else {"min_rows": args.min_rows}
+        out["published_after"] = publish_held(store, quarantine_dir=args.quarantine, **kw)
+    return out
 
 
 def cmd_sql(spark, args) -> dict:
@@ -158,7 +167,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--processing-time", help="e.g. '10 minutes' for a continuous run")
     s.add_argument("--quarantine")
     s.add_argument("--archive")
-    s.add_argument("--min-rows", type=int, help="refuse a batch with a run below this (default: no gate)")
+    s.add_argument("--min-rows", type=int, help="refuse runs below this (default: no gate, or 5000 with --gated)")
+    s.add_argument("--gated", action="store_true", help="publish whole runs only, as counted by the manifest")
 
     s = sub.add_parser("sql", help="guarded read-only SQL over flights_gold")
     s.add_argument("--store", required=True)

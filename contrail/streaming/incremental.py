@@ -16,9 +16,11 @@ commutative and idempotent, so:
   give the same table as processing the snapshots in order, once.
 
 A batch is never skipped by its number: batch ids start again with a new
-checkpoint, and merging a batch twice is harmless. Each run of a batch passes the same
-record-count gate as in the batch job, if ``min_rows`` asks for one; a snapshot split
-over several batches can't be gated here, so the default is no gate.
+checkpoint, and merging a batch twice is harmless.
+
+With ``gated=True`` each run passes the record-count gate of the batch job, however many batches it is
+split over: see :mod:`contrail.streaming.gated`. It needs Bronze commits in the store's manifest, which
+say how many rows a run has. Without it there is no gate, or with ``min_rows`` one on each batch's share of a run.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from contrail.operators.upsert import upsert
 from contrail.plans.layers import silver_latest
 from contrail.sinks.store import SILVER_STORED_SCHEMA, Commit, TableStore, read_silver, with_country_part, write_quarantine
 from contrail.sources.bronze import decode_states, read_pieces, run_stamp_of_file
+from contrail.streaming.gated import hold, publish_held
 
 RECENCY_ORDER = (S.RUN_COL, S.LAST_CONTACT_EPOCH, "time_position", "callsign")
 
@@ -80,7 +83,7 @@ def bronze_stream(
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
 ) -> DataFrame:
-    """Streaming text source over a Bronze folder with the run stamp of each file.
+    """Streaming text source over a Bronze folder: ``value``, the run stamp and the name of its file.
 
     The file source lists the folder on every trigger; with ``archive_dir``
     processed files are moved there (``cleanSource=archive``), so the listing
@@ -92,7 +95,7 @@ def bronze_stream(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if fmt == "array":
         return read_pieces(reader, bronze_dir)
-    return reader.text(bronze_dir).select("value", run_stamp_of_file().alias("run_ts"))
+    return reader.text(bronze_dir).select("value", run_stamp_of_file().alias("run_ts"), F.col("_metadata.file_path").alias("_file"))
 
 
 def run_incremental(
@@ -109,13 +112,19 @@ def run_incremental(
     quarantine_dir: str | None = None,
     archive_dir: str | None = None,
     min_rows: int | None = None,
+    gated: bool = False,
 ) -> StreamingQuery:
-    """Start the incremental Silver stream; returns the running query."""
+    """Start the incremental Silver stream; returns the running query. ``gated`` publishes whole runs
+    that pass the gate (``min_rows``, by default the batch job's)."""
     src = bronze_stream(
         spark, bronze_dir, fmt=fmt, max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir
     )
 
     def _each(batch: DataFrame, batch_id: int) -> None:
+        if gated:
+            hold(batch, store, fmt=fmt)
+            publish_held(store, min_rows=S.SILVER_MIN_ROWS if min_rows is None else min_rows, as_of=as_of, quarantine_dir=quarantine_dir)
+            return
         process_batch(batch, batch_id, store, fmt=fmt, as_of=as_of, quarantine_dir=quarantine_dir, min_rows=min_rows)
 
     w = src.writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)

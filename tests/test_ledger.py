@@ -183,3 +183,67 @@ def test_counts_are_observed_in_the_staging_pass(spark, scratch, monkeypatch):
     want = {"input": 10, "malformed": 1, "null_records": 1, "invalid_geo": 1, "clean": 7}
     assert {k: seen[0][2][k] for k in want} == want
     assert r.counts == {**want, "deduped": 6, "table_rows": 6}
+
+
+# ---------------------------------------------------------------------------
+# The gate in the stream, for runs that come in several batches
+# ---------------------------------------------------------------------------
+
+
+def _stream(spark, scratch, store, ckpt="ckpt", **kw):
+    from contrail.streaming import run_incremental
+
+    q = run_incremental(spark, f"{scratch}/bronze", store, f"{scratch}/{ckpt}", max_files_per_trigger=1, gated=True, **kw)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def _write_part(scratch, run, part, states):
+    folder = f"{scratch.replace('file:', '')}/bronze/run_ts={run}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/part-{part}.txt", "w") as f:
+        f.writelines(json.dumps(s) + "\n" for s in states)
+
+
+def test_split_runs_are_published_whole(spark, scratch):
+    from contrail.streaming.gated import held, publish_held
+
+    store = TableStore(spark, f"{scratch}/store")
+
+    def commit(run, n):
+        store.commit(Commit("bronze", store.next_version("bronze"), f"{scratch}/bronze/run_ts={run}", n, run_ts=run))
+
+    parts = {k: [_js(f"{k}{i:05x}", f"A{k}{i}", NOW) for i in range(4)] for k in range(3)}
+    commit(A, 12)
+    _write_part(scratch, A, 0, parts[0])
+    _write_part(scratch, A, 1, parts[1])
+    _stream(spark, scratch, store, min_rows=10)
+    assert store.current("silver") is None and held(store).count() == 8  # eight of twelve: it waits
+    commit(B, 3)
+    _write_part(scratch, B, 0, [_js(f"b{i:05x}", "B", NOW) for i in range(3)])
+    _write_part(scratch, A, 2, parts[2])
+    _stream(spark, scratch, store, min_rows=10)
+    assert _ledger(store) == [(A, 1, "taken", 1), (B, 2, "rejected", None)]  # a third batch completed A; B is whole but short
+    assert len(_table(store)) == 12 and held(store).count() == 0
+    # A lost checkpoint delivers everything again: nothing is taken twice.
+    _stream(spark, scratch, store, ckpt="other", min_rows=10)
+    assert store.current("silver")["version"] == 1 and held(store).count() == 0
+    # A run whose commit comes after its files.
+    _write_part(scratch, C, 0, [_js(f"c{i:05x}", "C", NOW) for i in range(11)])
+    _stream(spark, scratch, store, min_rows=10)
+    assert held(store).count() == 11
+    commit(C, 11)
+    assert publish_held(store, min_rows=10) == [(C, "taken")]
+    assert len(_table(store)) == 23 and held(store).count() == 0
+
+
+def test_run_landed_again_while_held(spark, scratch):
+    store = TableStore(spark, f"{scratch}/store")
+    path = f"{scratch}/bronze/run_ts={A}"
+    _write_part(scratch, A, 0, [_js(f"0{i:05x}", "OLD", NOW) for i in range(4)])
+    _stream(spark, scratch, store, min_rows=2)
+    os.remove(f"{path.replace('file:', '')}/part-0.txt")  # the run's folder is replaced before it was committed
+    _write_part(scratch, A, 1, [_js(f"0{i:05x}", "NEW", NOW) for i in range(3)])
+    store.commit(Commit("bronze", 1, path, 3, run_ts=A))
+    _stream(spark, scratch, store, min_rows=2)
+    assert set(_table(store).values()) == {"NEW"} and len(_table(store)) == 3
