@@ -76,6 +76,7 @@ from contrail.sources import (
 )
 from contrail.sources.fixture import AS_OF, DUCKDB_VIEW
 from contrail.streaming import run_incremental
+from contrail.streaming.expiry import CHANGES_SCHEMA, run_expiry, status_at
 
 try:  # the training-data operators; everything else works without them
     import corpus_pipeline
@@ -391,6 +392,21 @@ def q_incremental_gated(spark, d):
     return visible(spark.createDataFrame([], S.SILVER_SCHEMA) if table is None else table)
 
 
+def q_status_expiry(spark, d):
+    """Aircraft by status at the end of each run, from the log of changes that the stateful stream writes."""
+    ensure_checkpoint_dir(spark)
+    root = scratch_dir(spark, "expiry")
+    land_snapshots(to_envelopes(_sv(spark, d), time_col=F.col("last_contact")), f"{root}/bronze")
+    q = run_expiry(spark, f"{root}/bronze", f"{root}/changes", f"{root}/checkpoint", max_files_per_trigger=INCREMENTAL_FILES_PER_TRIGGER)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    changes = spark.read.schema(CHANGES_SCHEMA).parquet(f"{root}/changes")
+    ends = sorted(r[0] for r in _sv(spark, d).select(run_ts_to_epoch(F.col("run_ts"))).distinct().collect())  # the run stamps
+    table = status_at(changes, F.array(*(F.lit(e).cast("long") for e in ends)))
+    return table.groupBy("as_of", "status").agg(F.count(F.lit(1)).alias("n_aircraft"), F.sum("last_contact").alias("sum_last_contact"))
+
+
 def q_airborne_in_bbox(spark, d):
     return airborne(_gold(spark, d), bbox=BBOX)
 
@@ -510,6 +526,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_written_partitioned": q_gold_written_partitioned,
     "incremental_silver": q_incremental_silver,
     "incremental_gated": q_incremental_gated,
+    "status_expiry": q_status_expiry,
     "airborne_in_bbox": q_airborne_in_bbox,
     "airborne_by_origin": q_airborne_by_origin,
     "top_countries": q_top_countries,
@@ -686,6 +703,21 @@ def _incremental_sql() -> str:
     )
 
 
+def _expiry_sql() -> str:
+    """Every run's end: the newest report of each aircraft up to then, its status derived anew at that moment."""
+    a = "(epoch_us(CAST(snapshot_day AS TIMESTAMP)) // 1000000 + 86399)"
+    order = "run_end DESC, " + _LATEST_ORDER
+    return (
+        f"WITH {DUCKDB_VIEW.strip()},\n"
+        f"ends AS (SELECT DISTINCT {a} AS as_of FROM sv),\n"
+        f"clean AS (SELECT *, {a} AS run_end FROM sv WHERE {_COMPLETE} AND {_GEO_OK}),\n"
+        "known AS (SELECT ends.as_of, clean.* FROM ends JOIN clean ON clean.run_end <= ends.as_of),\n"
+        f"latest AS ({_winner('known', 'as_of, icao24', order)})\n"
+        f"SELECT CAST(as_of AS BIGINT) AS as_of, {_status('as_of')} AS status, count(*) AS n_aircraft, "
+        "CAST(sum(last_contact) AS BIGINT) AS sum_last_contact FROM latest GROUP BY 1, 2"
+    )
+
+
 def _two_runs() -> str:
     """CTEs of the two-run pipeline: runs (r = 1, 2), silver1 and silver2 after each, gold2."""
     r1, r2 = run_stamp(FIRST_RUN_AS_OF), run_stamp(AS_OF)
@@ -850,6 +882,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_written_partitioned": f"{_two_runs()}SELECT *, status AS status_part FROM gold2",
         "incremental_silver": _incremental_sql(),
         "incremental_gated": f"{_ledger_sql()}SELECT {_silver_select('a')} FROM latest",
+        "status_expiry": _expiry_sql(),
         "airborne_in_bbox": (
             f"{_BASE}SELECT count(*) AS n_airborne FROM flights_gold WHERE status = 'AIRBORNE' "
             f"AND latitude BETWEEN {BBOX[0]} AND {BBOX[1]} AND longitude BETWEEN {BBOX[2]} AND {BBOX[3]}"
