@@ -4,8 +4,8 @@ A term's weight is w = floor(1000 ln((2N + 2) / (2 df + 1))), a document's norma
 the sum of w * ((10^9 tf) div (1000 tf + 20 m)) over an item's terms, in integers. The impact, the second factor, depends on tf and m
 alone, hence the index:
 
-* Documents are dealt by ranges of m and sorted by it, so those of equal m lie together: a stratum. A frequent m is
-  split over several tasks.
+* Documents are dealt by ranges of m that hold equal numbers of postings, and sorted by it, so those of equal m lie
+  together: a stratum. A frequent m is split over several ranges.
 * Within a stratum a term's postings are sorted by tf, the highest first. Impacts are computed once for each tf of a stratum, and the first
   one is the term's bound there.
 * An item's bound for a stratum is the sum of its terms' bounds, and at most the best of them for each place that a document of the
@@ -38,6 +38,8 @@ from contrail.llm.textvec import SIGNS, Words, prepare, text_slices
 MOST_VOCABULARY = 1 << 20
 BLOCK_TERMS = 1 << 18
 SHARD_POSTINGS = 3_000_000
+#: Postings in a range of m on average.
+TASK_POSTINGS = 1_000_000
 SEED_SHARE = 64
 #: Documents in an item's first visit; each next visit takes four times as many.
 FIRST_VISIT = 256
@@ -125,6 +127,23 @@ def _wanted(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return tokens.mapInArrow(run, schema)
 
 
+def _ranged(by_m: DataFrame, tasks: int) -> DataFrame:
+    """Deal documents by ranges of m that hold equal numbers of postings, each sorted by m; one m may fill several.
+
+    The numbers are taken by m, beyond 8,192 by 64ths of its power of two: at most some 12,000 rows reach the driver."""
+    far = F.lit(8192) + F.floor(F.log2(F.col("m") / 8192) * 64)
+    placed = by_m.withColumn("at", F.when(F.col("m") <= 8192, F.col("m")).otherwise(far).cast("long"))
+    rows, total = [], 0
+    for r in placed.groupBy("at").agg(F.sum(F.col("postings") + 1).alias("size")).orderBy("at").collect():
+        rows.append((r["at"], total, r["size"]))
+        total += r["size"]
+    bounds = by_m.sparkSession.createDataFrame(rows, "at long, before long, size long")
+    share = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / (1 << 30)
+    part = F.floor((F.col("before") + share * F.col("size")) * tasks / max(total, 1))
+    dealt = placed.join(F.broadcast(bounds), "at").withColumn("part", F.least(part, F.lit(tasks - 1)).cast("int"))
+    return dealt.repartitionById(tasks, F.col("part")).sortWithinPartitions("m", "row").drop("at", "before", "size", "part")
+
+
 class Items:
     """A block of items: their terms' weights, and the items of each term's list."""
 
@@ -261,9 +280,9 @@ def search(
     raw = staged(_tokenized(docs, doc_id, text_col, vocabulary), "tokenized")
     total = raw.agg(F.count(F.lit(1)).alias("N"), F.sum("n").alias("L"), F.sum("postings").alias("P")).first()
     n_docs, n_terms, postings = total["N"], total["L"] or 1, total["P"] or 0
-    tasks = max(sc.defaultParallelism, -(-postings // SHARD_POSTINGS))
     by_m = raw.withColumn("m", F.expr(f"50 + (50L * n * {n_docs}L) div {n_terms}L"))
-    index = staged(by_m.repartitionByRange(tasks, "m", "row").sortWithinPartitions("m", "row"), "strata")
+    tasks = max(sc.defaultParallelism, -(-postings // TASK_POSTINGS))
+    index = staged(_ranged(by_m, tasks), "strata")
 
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1).cast("double")))
     weighted = staged(wanted.join(_document_counts(index), "term").withColumn("w", weight), "weighted")
