@@ -63,7 +63,16 @@ from contrail.plans import (
 )
 from contrail.plans.jobs import RunResult, read_gold, run_bronze, run_gold, run_silver_pending
 from contrail.session import ensure_checkpoint_dir, scratch_dir
-from contrail.sinks import TableStore, read_quarantine, read_silver, run_config, run_ledger, write_quarantine
+from contrail.sinks import (
+    Commit,
+    TableStore,
+    read_quarantine,
+    read_silver,
+    run_config,
+    run_ledger,
+    with_country_part,
+    write_quarantine,
+)
 from contrail.sources import (
     decode_states,
     land_snapshots,
@@ -411,6 +420,18 @@ def q_airborne_in_bbox(spark, d):
     return airborne(_gold(spark, d), bbox=BBOX)
 
 
+def q_gold_by_location(spark, d):
+    """The flights of an area, asked of a Gold table that is laid out by location."""
+    ensure_checkpoint_dir(spark)
+    store = TableStore(spark, f"{scratch_dir(spark, 'located')}/store")
+    rows = silver_latest(_sv(spark, d), AS_OF, run_ts=run_stamp(AS_OF))
+    version, path = store.write_version(with_country_part(rows), "silver", partition_by=S.COUNTRY_PART, rebalance=S.COUNTRY_PART)
+    store.commit(Commit("silver", version, path, store.rows_in(path, S.SILVER_SCHEMA), run_ts=run_stamp(AS_OF)))
+    run_gold(spark, store, by_location=True)
+    la0, la1, lo0, lo1 = BBOX
+    return read_gold(store).filter(F.col("latitude").between(la0, la1) & F.col("longitude").between(lo0, lo1))
+
+
 def q_airborne_by_origin(spark, d):
     return airborne(_gold(spark, d), by="origin_country")
 
@@ -528,6 +549,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_gated": q_incremental_gated,
     "status_expiry": q_status_expiry,
     "airborne_in_bbox": q_airborne_in_bbox,
+    "gold_by_location": q_gold_by_location,
     "airborne_by_origin": q_airborne_by_origin,
     "top_countries": q_top_countries,
     "inactive_flights": q_inactive_flights,
@@ -887,6 +909,10 @@ def oracle_sql() -> dict[str, str]:
             f"{_BASE}SELECT count(*) AS n_airborne FROM flights_gold WHERE status = 'AIRBORNE' "
             f"AND latitude BETWEEN {BBOX[0]} AND {BBOX[1]} AND longitude BETWEEN {BBOX[2]} AND {BBOX[3]}"
         ),
+        "gold_by_location": (
+            f"{_BASE}SELECT * FROM flights_gold WHERE latitude BETWEEN {BBOX[0]} AND {BBOX[1]} "
+            f"AND longitude BETWEEN {BBOX[2]} AND {BBOX[3]}"
+        ),
         "airborne_by_origin": (
             f"{_BASE}SELECT origin_country, count(*) AS n_airborne FROM flights_gold "
             f"WHERE status = 'AIRBORNE' GROUP BY origin_country"

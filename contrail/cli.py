@@ -79,6 +79,7 @@ def cmd_gold(spark, args) -> dict:
         _store(spark, args.store),
         partition_by="origin_country" if args.partition_by_country else None,
         restatus_as_of=args.restatus_as_of,
+        by_location=args.by_location,
     )
     return {"version": r.version, "path": r.path, "gold_record_count": r.record_count}
 
@@ -157,6 +158,7 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--store", required=True)
     s.add_argument("--partition-by-country", action="store_true")
     s.add_argument("--restatus-as-of", type=int)
+    s.add_argument("--by-location", action="store_true", help="sort the table for questions about an area")
 
     s = sub.add_parser("incremental", help="stream new Bronze files into Silver")
     s.add_argument("--bronze", required=True)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schema as S
+from contrail.functions.space import space_key
 from contrail.functions.time import run_stamp
 from contrail.operators.quality import check_count, is_clean, log_reasons, quarantine_rows
 from contrail.operators.upsert import newer_only_order, upsert, withdraw
@@ -205,11 +206,16 @@ def run_gold(
     *,
     partition_by: str | None = None,
     restatus_as_of: int | None = None,
+    by_location: bool = False,
 ) -> RunResult:
     """Current Silver -> a new Gold version (full rewrite, as a Parquet table).
 
     ``partition_by`` names a Gold column; its folders are called ``<column>_part`` and hold
-    a tagged copy of its values, so blanks, nulls and number-like text read back as they were."""
+    a tagged copy of its values, so blanks, nulls and number-like text read back as they were. ``by_location`` sorts the
+    table along a curve through latitude and longitude, for questions about an area: a reader with bounds on both
+    skips the files and pages that lie elsewhere."""
+    if partition_by and by_location:
+        raise ValueError("a table is laid out by a column's folders or by location, not both")
     silver_df = read_silver(store)
     if silver_df is None:
         raise FileNotFoundError("no committed silver table")
@@ -221,7 +227,8 @@ def run_gold(
             g.withColumn(part, partition_tag(partition_by)), "gold", partition_by=part, rebalance=part
         )
     else:
-        version, path = store.write_version(g, "gold")
+        located = dict(cluster_by=space_key(), tie="icao24") if by_location else {}
+        version, path = store.write_version(g, "gold", **located)
     n = store.rows_in(path, S.GOLD_SCHEMA)
     store.commit(Commit("gold", version, path, n, run_ts=cur_silver["run_ts"], source_version=cur_silver["version"]))
     n_in = store.rows_in(cur_silver["output_path"], SILVER_STORED_SCHEMA)

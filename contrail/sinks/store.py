@@ -41,6 +41,8 @@ from contrail import schema as S
 
 #: Commit files after which the log is summed up.
 CHECKPOINT_EVERY = 50
+#: Rows in a page of a clustered table: what a reader can skip at the least.
+PAGE_ROWS = 1000
 _COMMIT_NAME = re.compile(r"([^-].*)-(\d{6,})\.json")
 _CHECKPOINT_NAME = re.compile(r"_checkpoint-(\d{6,})\.json")
 _NEEDED = ("stage", "version", "output_path", "record_count")
@@ -306,12 +308,22 @@ class TableStore:
         *,
         partition_by: str | None = None,
         rebalance: str | None = None,
+        cluster_by: Column | None = None,
+        tie: str | None = None,
     ) -> tuple[int, str]:
-        """Write ``df`` as the next (uncommitted) version; returns (version, path)."""
+        """Write ``df`` as the next (uncommitted) version; returns (version, path).
+
+        ``cluster_by`` deals the rows by ranges of a key and sorts each file by it, in small pages, so that the files' statistics let
+        a reader skip what it doesn't ask for; rows of one key are split by ``tie``, so a crowded place fills several files."""
         version = self.next_version(stage)
         path = f"{self.root}/{stage}/v={version:06d}-{uuid.uuid4().hex[:8]}"
         out = df.hint("rebalance", rebalance) if rebalance else df
+        if cluster_by is not None:
+            order = ["_key", *([tie] if tie else [])]
+            out = out.withColumn("_key", cluster_by).repartitionByRange(*order).sortWithinPartitions(*order).drop("_key")
         writer = out.write
+        if cluster_by is not None:
+            writer = writer.option("parquet.page.row.count.limit", str(PAGE_ROWS))
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
