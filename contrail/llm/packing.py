@@ -4,9 +4,11 @@
    matrix projects to DIMS dimensions; the rows are stored once with these numbers.
 2. The numbers, scaled by their mean and spread over all documents, become a place on a Hilbert
    curve, so near keys mean like texts.
-3. Ranges of the curve are cut so that each holds as many bytes of text (from byte counts by the key's
-   top BUCKET_BITS bits). A bucket that several ranges share, as one full of copies does, is dealt out among
-   them by a hash of the row, so no range grows with a group of copies or with long texts. Spark
+3. Ranges of the curve are cut so that each holds as many bytes of text, from byte counts by the whole key.
+   The counts are summed up along the curve in Spark, within buckets of the key's top BUCKET_BITS bits; the driver gets
+   the buckets' sums and the keys in which a range ends, at most one a range. Where a range ends within a
+   key, as in one full of copies, the key's rows are dealt by a hash of their row number, so no range grows
+   with a group of copies, and ranges follow one another along the curve whatever their number. Spark
    moves each row to its range and sorts the range by (key, id, text hash).
 4. Each range is read in order; documents are tokenized (added tokens of the vocabulary, such as <|endoftext|>, are
    found in the text and get their own ids; the parts between are coded by themselves) and laid one after another into sequences of
@@ -29,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +45,7 @@ END_ID = 1
 #: tokenizers library does by that file without adding special tokens (tests/llm compares them).
 TOKENIZER = "byte_bpe_50k.tiktoken"
 DIMS, KEY_BITS, HASH_BITS = 3, 10, 10
-#: Leading bits of the key by which the bytes are counted, and the most bytes that a range should hold.
+#: Leading bits of the key within which byte counts are summed up, and the most bytes that a range should hold.
 BUCKET_BITS, RANGE_BYTES = 14, 64_000_000
 #: Sequences of one range are numbered from the range's number times this.
 RANGE_SEQUENCES = 1 << 40
@@ -159,30 +161,24 @@ class Packer:
             self.used -= size
 
 
-def pack(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
-    sequence_tokens: int = SEQUENCE_TOKENS,
-) -> DataFrame:
-    """The pieces: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
-
-    ``tokenizer`` is a rank file, or the name of a public one; added tokens are those of the .json beside it, if any.
-    """
+def along_curve(docs: DataFrame, id_col: str, text_col: str, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, int]:
+    """(rows of id, text, size, row, tie, key and part, which is the range of the curve; the number of ranges)."""
     spark = docs.sparkSession
-    prepare(spark)
     axes = [f"p{d}" for d in range(DIMS)]
-    id_type = docs.schema[id_col].dataType
 
     def with_place(rows):
         for batch in rows:
             p = project(batch.column("text"))
             size = pc.add(pc.cast(pc.binary_length(batch.column("text")), pa.int64()), 1)
             places = [pa.array(p[:, d]) for d in range(DIMS)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, size, *places], ["id", "text", "size", *axes])
+            yield pa.RecordBatch.from_arrays([*batch.columns, size, *places], ["id", "text", "row", "size", *axes])
 
-    schema = T.StructType(
-        [T.StructField("id", id_type), T.StructField("text", T.StringType()), T.StructField("size", T.LongType()), *(T.StructField(a, T.DoubleType()) for a in axes)]
-    )
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    schema = T.StructType([
+        T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()), T.StructField("row", T.LongType()),
+        T.StructField("size", T.LongType()), *(T.StructField(a, T.DoubleType()) for a in axes),
+    ])
     placed = staged(rows.mapInArrow(with_place, schema), "placed")
     s = placed.agg(*(F.avg(a).alias(f"m{a}") for a in axes), *(F.stddev_pop(a).alias(f"s{a}") for a in axes)).first()
     mean = [s[f"m{a}"] or 0.0 for a in axes]
@@ -193,32 +189,62 @@ def pack(
         cell = 1 / (1 + np.exp(-1.7 * np.clip(z, -30, 30)))  # about the normal distribution's share below z
         return hilbert_key(np.minimum((cell * (1 << KEY_BITS)).astype(np.int64), (1 << KEY_BITS) - 1))
 
-    shift = DIMS * KEY_BITS - BUCKET_BITS
-
     @F.pandas_udf("long")
-    def bucket(*p: pd.Series) -> pd.Series:
-        return pd.Series(keys(*p) >> shift)
-
-    # At most 2**BUCKET_BITS counts, whatever the input.
-    counts = placed.groupBy(bucket(*axes).alias("b")).agg(F.sum("size").alias("n")).collect()
-    weight = np.zeros(1 << BUCKET_BITS)
-    for r in counts:
-        weight[r["b"]] = r["n"]
-    total, before = max(weight.sum(), 1.0), np.cumsum(weight) - weight
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(-(-total // RANGE_BYTES)))
+    def key_of(*p: pd.Series) -> pd.Series:
+        return pd.Series(keys(*p))
+
+    bucket = F.shiftright("key", DIMS * KEY_BITS - BUCKET_BITS)
+    sizes = placed.groupBy(key_of(*axes).alias("key")).agg(F.sum("size").alias("n"))
+    sizes = staged(sizes.withColumn("bucket", bucket), "sizes")
+    # At most 2**BUCKET_BITS sums, whatever the input; a bucket holds at most 2**(DIMS * KEY_BITS - BUCKET_BITS) keys.
+    sums, total = [], 0
+    for r in sorted(sizes.groupBy("bucket").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["bucket"]):
+        sums.append((r["bucket"], total))
+        total += r["n"]
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // range_bytes))
+
+    def part_of(place):  # the same double arithmetic in Spark and numpy
+        return place * float(ranges) / float(max(total, 1))
+
+    before = spark.createDataFrame(sums, "bucket long, base long")
+    up_to = Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = sizes.withColumn("up_to", F.sum("n").over(up_to)).join(F.broadcast(before), "bucket")
+    end = F.col("base") + F.col("up_to")
+    ends_here = F.floor(part_of((end - F.col("n")).cast("double"))) != F.floor(part_of(end.cast("double")))
+    cut = summed.filter(ends_here).select("key", (end - F.col("n")).alias("begin"), end.alias("end")).collect()
+    cut = np.array(sorted(map(tuple, cut)), np.int64).reshape(-1, 3)
+    shared = spark.sparkContext.broadcast(cut)
 
     @F.pandas_udf("key long, part int")
     def place(spread_by: pd.Series, *p: pd.Series) -> pd.DataFrame:
-        key = keys(*p)
-        b = key >> shift
+        key, (ends, begin, end) = keys(*p), shared.value.T
+        at = np.searchsorted(ends, key)
+        # A key between two of them lies wholly in the range that begins in the one before.
+        where = np.append(0, end)[at].astype(np.float64)
+        within = np.append(ends, -1)[at] == key
+        i = at[within]
         share = (spread_by.to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(11)) / float(1 << 53)
-        part = ((before[b] + share * weight[b]) / total * ranges).astype(np.int64)
+        where[within] = begin[i] + share[within] * (end[i] - begin[i])
+        part = np.floor(part_of(where)).astype(np.int64)
         return pd.DataFrame({"key": key, "part": np.clip(part, 0, ranges - 1).astype(np.int32)})
 
-    order = ["key", "id", "tie"]
-    keyed = placed.withColumn("tie", F.xxhash64("id", "text"))
-    keyed = keyed.select("id", "text", "tie", place("tie", *axes).alias("at")).select("id", "text", "tie", "at.*")
-    ranged = keyed.repartitionById(ranges, F.col("part")).sortWithinPartitions(*order).select("id", "text")
+    own = ["id", "text", "size", "row"]
+    keyed = placed.select(*own, F.xxhash64("id", "text").alias("tie"), place(F.xxhash64("row"), *axes).alias("at"))
+    return keyed.select(*own, "tie", "at.*"), ranges
+
+
+def pack(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
+    sequence_tokens: int = SEQUENCE_TOKENS,
+) -> DataFrame:
+    """The pieces: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``tokenizer`` is a rank file, or the name of a public one; added tokens are those of the .json beside it, if any.
+    """
+    prepare(docs.sparkSession)
+    id_type = docs.schema[id_col].dataType
+    keyed, ranges = along_curve(docs, id_col, text_col)
+    ranged = keyed.repartitionById(ranges, F.col("part")).sortWithinPartitions("key", "id", "tie").select("id", "text")
     out = T.StructType([
         T.StructField(id_col, id_type),
         *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")),
