@@ -67,16 +67,26 @@ def _gate():
 def _resolve(found: list[tuple]) -> list[tuple]:
     """found: (first, last, rule order, label, weight) with last exclusive; what remains, in order of place."""
     kept: list[tuple] = []
-    for d in sorted(set(found), key=lambda d: (d[0] - d[1], d[2], d[0])):
-        a, b, order, label, _ = d
-        if any(x[0] <= a and b <= x[1] for x in kept):
-            continue
-        kept.append(d)
-    out = []
-    for d in sorted(kept, key=lambda d: (d[2], d[0])):
-        if not any(d[0] < x[1] and x[0] < d[1] and d[3] != x[3] for x in out):
-            out.append(d)
-    return sorted(out)
+    # By place, the longer first: one that contains another comes before it and ends no earlier.
+    for d in sorted(set(found), key=lambda d: (d[0], -d[1], d[2])):
+        if not kept or d[1] > kept[-1][1]:
+            kept.append(d)
+    # Both ends now rise along the list, so whatever overlaps a detection stands right beside it, and starts
+    # being distinct, there are no more of those than a detection has words.
+    stays = [False] * len(kept)
+
+    def clash(i: int, step: int) -> bool:
+        a, b, _, label, _ = kept[i]
+        j = i + step
+        while 0 <= j < len(kept) and a < kept[j][1] and kept[j][0] < b:
+            if stays[j] and kept[j][3] != label:
+                return True
+            j += step
+        return False
+
+    for i in sorted(range(len(kept)), key=lambda i: (kept[i][2], kept[i][0])):
+        stays[i] = not clash(i, -1) and not clash(i, 1)
+    return [d for d, stay in zip(kept, stays, strict=True) if stay]
 
 
 def scan_text(words: list[str], hits: list[tuple[int, str]]) -> tuple[list[tuple[int, str]], list[tuple]]:
