@@ -6,9 +6,10 @@ no pair is left. Decoding: the id rows join the vocabulary and an ordered aggreg
 their bytes together. Texts are split into pre-tokens first (``pretoken``); each worker codes a
 pre-token once and keeps it in a bounded store, so the queries see distinct words only.
 
-A word longer than LONG_BYTES has all repeats of its least pair contracted at once, in runs of ROUNDS
-rounds: the same result (a merged token's pairs always rank after the merge that made it), with
-memory in proportion to the word.
+A word longer than LONG_BYTES is cut first at every place that no occurrence of a vocabulary token spans: each
+merge makes a token, so none crosses such a place and the parts are coded by themselves, distinct ones once. A part that is still
+longer has all repeats of its least pair contracted at once, in runs of ROUNDS rounds: the same result (a
+merged token's pairs always rank after the merge that made it), with memory in proportion to the part.
 
 Null text reads as empty: no ids, the hash of nothing. Repeated rows stay, null ids stay null. An empty
 table gives no rows.
@@ -101,7 +102,8 @@ def _database(name: str):
                 left.append(a)
                 right.append(b)
                 merged.append(rank)
-    con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
+    # Without a folder for spilling: nothing is written to the worker's disk.
+    con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
     made = pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "id": pa.array(merged, pa.int32())})
     words = pa.table({"id": pa.array(list(table.values()), pa.int32()), "bytes_hex": [t.hex() for t in table]})
     for view, rows, to in (("made", made, "merges"), ("words", words, "vocabulary")):
@@ -140,11 +142,48 @@ def _code_some(words: list[bytes], name: str, long: bool) -> tuple[np.ndarray, n
     return counts, flat, back
 
 
+@cache
+def _occurrences(name: str):
+    """Finds every occurrence of the vocabulary's tokens of two and more bytes, as (last byte, length)."""
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for token in ranks(public_file(name)):
+        if len(token) > 1:
+            found.add_word(token.decode("latin-1"), len(token))
+    found.make_automaton()
+    return found
+
+
+def safe_parts(word: bytes, name: str = RANK_FILE) -> list[bytes]:
+    """``word`` cut at all places that no occurrence of a token spans."""
+    # Places are numbered by the byte behind them; a token from byte s to byte e spans the places s + 1 to e.
+    spans = np.fromiter(
+        (x for end, size in _occurrences(name).iter(word.decode("latin-1")) for x in (end - size + 2, end + 1)), np.int64)
+    n = len(word)
+    change = np.bincount(spans[::2], minlength=n + 1) - np.bincount(spans[1::2], minlength=n + 1)
+    cuts = [0, *(np.flatnonzero(np.cumsum(change)[1:n] == 0) + 1).tolist(), n]
+    return [word[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def code_words(words: list[str], name: str = RANK_FILE) -> list[tuple[np.ndarray, np.ndarray]]:
     """[(number of ids, ids), (number of decoded bytes, bytes)] of pre-tokens, none of them empty."""
     coded = [w.encode() for w in words]
-    counts, back = np.zeros(len(words), np.int64), [b""] * len(words)
-    ids: list = [None] * len(words)
+    parts = [[w] if len(w) <= LONG_BYTES else safe_parts(w, name) for w in coded]
+    known = {p: i for i, p in enumerate(dict.fromkeys(p for own in parts for p in own))}
+    ids, back = _code_parts(list(known), name)
+    own_ids = [np.concatenate([ids[known[p]] for p in own]) for own in parts]
+    own_back = [b"".join(back[known[p]] for p in own) for own in parts]
+    return [
+        (np.fromiter(map(len, own_ids), np.int64, len(words)), np.concatenate(own_ids) if own_ids else np.zeros(0, np.uint32)),
+        (np.fromiter(map(len, own_back), np.int64, len(words)), np.frombuffer(b"".join(own_back), np.uint8)),
+    ]
+
+
+def _code_parts(coded: list[bytes], name: str) -> tuple[list[np.ndarray], list[bytes]]:
+    """(ids, decoded bytes) of each part."""
+    ids: list = [None] * len(coded)
+    back = [b""] * len(coded)
     for long in (False, True):
         which = [i for i, w in enumerate(coded) if (len(w) > LONG_BYTES) == long]
         at = 0
@@ -156,11 +195,9 @@ def code_words(words: list[str], name: str = RANK_FILE) -> list[tuple[np.ndarray
             n, flat, decoded = _code_some([coded[i] for i in which[at:end]], name, long)
             stop = np.cumsum(n)
             for i, s, e, b in zip(which[at:end], (stop - n).tolist(), stop.tolist(), decoded, strict=True):
-                counts[i], ids[i], back[i] = e - s, flat[s:e], b
+                ids[i], back[i] = flat[s:e], b
             at = end
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-    sizes = np.fromiter(map(len, back), np.int64, len(back))
-    return [(counts, flat), (sizes, np.frombuffer(b"".join(back), np.uint8))]
+    return ids, back
 
 
 @cache
