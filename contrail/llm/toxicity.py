@@ -5,7 +5,7 @@ bits each; a bucket that enough documents of the fitting sample hold has an embe
 one, and a word's embedding is the sum of its two buckets', so rare forms of a stem count too. Filters of several
 widths run over the whole word sequence, max pooling takes each filter's largest answer and a
 logistic unit makes the score. Everything is trained in numpy on the driver, on a bounded sample of
-labelled rows (``FIT_ROWS``); a part of it calibrates the score and sets one threshold per language.
+labelled rows (``FIT_ROWS`` rows of together ``FIT_WORDS`` words, whole texts); a part of it calibrates the score and sets one threshold per language.
 The language is never an input of the score.
 
 At scoring time the embeddings times the filters are one table per filter place, so a document
@@ -23,13 +23,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.llm.labelled import labelled_sample
+from contrail.llm.staging import staged
 from contrail.llm.textvec import SIGNS, Words, prepare, span_hashes, text_slices
 
-#: Most labelled rows that the model is fitted on.
-FIT_ROWS = 6_000
+#: Most labelled rows that the model is fitted on, and the most words that they hold together (8 bytes a word).
+FIT_ROWS, FIT_WORDS = 6_000, 12_000_000
 WORD_BITS, PREFIX_BYTES, MIN_DOCS, MOST_BUCKETS = 22, 6, 3, 60_000
 DIM, WIDTHS, FILTERS = 16, (1, 2, 3), 12
 EPOCHS, BATCH, RATE, RIDGE = 6, 32, 0.01, 1e-5
@@ -224,11 +226,29 @@ def _calibrate(model: ToxicityModel, z: np.ndarray, y: np.ndarray, group: list)
         model.thresholds[str(g)] = float(grid[best[len(best) // 2]])
 
 
+def within_words(sample: DataFrame, most: int) -> DataFrame:
+    """The rows of a stored sample (label, grp, words) that hold at most ``most`` words together.
+
+    By a hash of the row, each that still fits; a text of more words than that never does.
+    The driver sees a hash and a count of each sample row."""
+    own = F.xxhash64("words", "label", "grp").alias("h")
+    sizes = sample.select(own, (F.length("words") / 8).cast("long").alias("n")).groupBy("h").agg(F.sum("n").alias("n")).collect()
+    held, taken = 0, []
+    for r in sorted(sizes, key=lambda r: r["h"]):
+        if held + r["n"] <= most:
+            held += r["n"]
+            taken.append((r["h"],))
+    if len(taken) == len(sizes):
+        return sample
+    chosen = sample.sparkSession.createDataFrame(taken, "h long")
+    return sample.withColumn("h", own).join(F.broadcast(chosen), "h", "left_semi").drop("h")
+
+
 def train(
     docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-    lang_col: str = "lang", rows: int = FIT_ROWS,
+    lang_col: str = "lang", rows: int = FIT_ROWS, most_words: int = FIT_WORDS,
 ) -> ToxicityModel:
-    """Fit on at most ``rows`` labelled documents that aren't held out."""
+    """Fit on at most ``rows`` labelled documents that aren't held out, of at most ``most_words`` words together."""
     prepare(docs.sparkSession)
 
     def words(batches):
@@ -241,7 +261,8 @@ def train(
                 [batch.column("label"), batch.column("grp"), pa.array(got, pa.binary())], ["label", "grp", "words"])
 
     sample = labelled_sample(docs, labels, label_col, rows, id_col, text_col, lang_col).select("text", "label", "grp")
-    got = sample.mapInArrow(words, "label int, grp string, words binary").collect()
+    sample = staged(sample.mapInArrow(words, "label int, grp string, words binary"), "toxicity_sample")
+    got = within_words(sample, most_words).collect()
     got.sort(key=lambda r: (r["label"], r["grp"] or "", bytes(r["words"])))  # the same model whatever the order of rows
     y = np.array([int(r["label"] > 0) for r in got])
     if len(y) < 2 * CALIBRATE or not 0 < y.sum() < len(y):
