@@ -341,13 +341,16 @@ def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """One row of each component: the one with the smallest id (of repeated rows, one). Same columns as ``docs``."""
-    marked = with_fingerprint(docs, text_col, "__fp", shingle)
-    rows = staged(marked.withColumn("__row", F.monotonically_increasing_id()), "marked")
-    keys = rows.select(F.col("__fp").alias("fp"), F.col(id_col).alias("id"), F.col("__row").alias("row"))
+    taken, fp, row = {c.lower() for c in docs.columns}, "__fp", "__row"
+    while {fp, row} & taken:  # names that no column of the input has
+        fp, row = f"_{fp}", f"_{row}"
+    marked = with_fingerprint(docs, text_col, fp, shingle)
+    rows = staged(marked.withColumn(row, F.monotonically_increasing_id()), "marked")
+    keys = rows.select(F.col(fp).alias("fp"), F.col(id_col).alias("id"), F.col(row).alias("row"))
     groups = fingerprint_groups(keys.select("fp", "id"), max_bits)
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     first = keys.groupBy("fp").agg(F.min(rank).alias("first"))
     kept = first.join(groups, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = staged(kept.select(F.col("first.row").alias("__row")), "kept")
+    kept = staged(kept.select(F.col("first.row").alias(row)), "kept")
     # A merge join at every size: one shuffle of the rows, whichever rows remain.
-    return rows.join(kept.hint("merge"), "__row", "left_semi").select(*docs.columns)
+    return rows.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)

@@ -432,6 +432,30 @@ def test_toxicity_model_scores_like_a_plain_convolution():
     assert got[:120][y == 1].min() > got[:120][y == 0].max() and (0 <= got).all() and (got <= 1).all()
 
 
+def test_toxicity_sample_is_bounded_in_words(spark):
+    """Texts of 20,000 words: what the driver is sent stays within the bound, and is whole texts."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 20_000 if i % 3 == 0 else 12)), "en") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    sent = []
+    whole = toxicity.within_words
+
+    def watched(sample, most):
+        out = whole(sample, most)
+        sent.append([(len(r["words"]) // 8, n) for r, n in zip(out.collect(), itertools.repeat(sample.count()))])
+        return out
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "within_words", watched)
+        few = toxicity.train(docs, labels, most_words=100_500)
+        every = toxicity.train(docs, labels)
+    bounded, free = ([n for n, _ in x] for x in sent)
+    assert set(bounded) == {20_000, 12} and 80_000 < sum(bounded) <= 100_500
+    assert len(free) == sent[1][0][1] and sum(free) > 400_000
+    assert few.constant is None and every.constant is None
+
+
 # ---------------------------------------------------------------- 7 licenses
 
 
@@ -479,6 +503,44 @@ def test_license_rules_and_suppression():
     assert [d[3] for d in keep] == ["long", "far"]
 
 
+def slow_resolve(found):
+    """Every detection against every other."""
+    kept = []
+    for d in sorted(set(found), key=lambda d: (d[0] - d[1], d[2], d[0])):
+        if not any(x[0] <= d[0] and d[1] <= x[1] for x in kept):
+            kept.append(d)
+    out = []
+    for d in sorted(kept, key=lambda d: (d[2], d[0])):
+        if not any(d[0] < x[1] and x[0] < d[1] and d[3] != x[3] for x in out):
+            out.append(d)
+    return sorted(out)
+
+
+def test_license_suppression_matches_all_pairs():
+    rng = np.random.default_rng(3)
+    for n in [0, 1, 2, *rng.integers(3, 60, 400)]:
+        first, order = rng.integers(0, 50, n), rng.integers(0, 12, n)
+        last = first + rng.integers(1, 12, n)
+        found = [(int(a), int(b), int(o), f"l{o // 3}", 0.5) for a, b, o in zip(first, last, order)]
+        assert sorted(licenses._resolve(found)) == slow_resolve(found)
+
+
+def test_license_list_of_a_megabyte():
+    """Every notice of a long list of notices is resolved in one sweep."""
+    import time
+
+    words = "mit license alpha apache license version 2 beta gnu gpl v3 or later".split() * 18_000
+    assert len(" ".join(words)) > 1_200_000
+    names = set(licenses._gate()[1])
+    begin = time.monotonic()
+    _, found = licenses.scan_text(words, [(i, w) for i, w in enumerate(words) if w in names])
+    assert time.monotonic() - begin < 60
+    assert {d[3] for d in found} >= {"apache-2.0"} and len(found) >= 18_000 * 2
+    part = words[: 13 * 40]
+    _, few = licenses.scan_text(part, [(i, w) for i, w in enumerate(part) if w in names])
+    assert [d for d in found if d[1] < 13 * 30] == [d for d in few if d[1] < 13 * 30]
+
+
 def alternatives(parsed):
     """Texts that a rule's pattern matches: every branch, with a gap of no word and of one."""
     from re import _constants as c
@@ -566,6 +628,31 @@ def test_bpe_long_and_repeating_words():
     assert back.tobytes() == "".join(words).encode()
 
 
+def test_bpe_parts_of_long_words():
+    """Long words of any kind: equal to the library, in parts that no token spans."""
+    import time
+
+    from contrail.llm import bpe
+
+    rng = np.random.default_rng(12)
+    enc = pretoken.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    letters, mixed = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = ["".join(rng.choice(list(a), n)) for a, n in ((letters, 200), (letters, 5_000), (mixed, 5_000), ("ab", 3_000), ("été日本", 2_000))]
+    words += ["thequickbrownfoxjumpsoverthelazydog" * 60, "=" * 900, "internationalization" * 50 + "zq" * 50]
+    (n, flat), (_, back) = bpe.code_words(words)
+    ends = np.cumsum(n)
+    for i, w in enumerate(words):
+        assert flat[ends[i] - n[i] : ends[i]].tolist() == enc._encode_single_piece(w)
+        parts = bpe.safe_parts(w.encode())
+        assert b"".join(parts) == w.encode() and all(parts)
+    assert back.tobytes() == "".join(words).encode()
+    assert len(bpe.safe_parts(words[1].encode())) > 100
+    word = "".join(rng.choice(list(letters), 200_000))
+    begin = time.monotonic()
+    (_, flat), _ = bpe.code_words([word])
+    assert time.monotonic() - begin < 60 and flat.tolist() == enc._encode_single_piece(word)
+
+
 # ---------------------------------------------------------------- 9 quality rules
 
 
@@ -664,6 +751,54 @@ def test_packing_finds_added_tokens_in_texts(spark):
         assert at == len(ids)
 
 
+def placed_rows(docs, range_bytes):
+    keyed, ranges = packing.along_curve(docs, "doc_id", "text", range_bytes)
+    return keyed.select("id", "size", "key", "part").collect(), ranges
+
+
+def check_ranges(rows, ranges):
+    """Ranges follow one another along the curve and hold about as many bytes."""
+    held, low, high = {}, {}, {}
+    for r in rows:
+        held[r.part] = held.get(r.part, 0) + r.size
+        low[r.part], high[r.part] = min(r.key, low.get(r.part, r.key)), max(r.key, high.get(r.part, r.key))
+    order = sorted(held)
+    assert all(high[a] <= low[b] for a, b in zip(order[:-1], order[1:]))
+    return max(held.values()) / (sum(held.values()) / ranges), len(held)
+
+
+def test_packing_splits_repeats_of_one_row(spark):
+    """A third and more of all rows is one row: no range holds twice the mean."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 4000, 60)) for _ in range(6_000)]
+    rows = [*enumerate(texts), *[(99_999, texts[0])] * 3_000, *[(None, texts[1])] * 1_500]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got, ranges = placed_rows(docs, 60_000)
+    assert len(got) == len(rows) and ranges > 30
+    most, used = check_ranges(got, ranges)
+    assert most < 2 and used == ranges
+    assert len({r.part for r in got if r.id == 99_999}) > 5
+    docs = spark.createDataFrame([(r.id, texts[0]) for r in got[:500]], "doc_id long, text string")
+    assert check_ranges(*placed_rows(docs, 10_000))[0] < 2  # a single key
+
+
+def test_packing_keeps_the_curve_across_a_crowded_bucket(spark):
+    """Near texts that share the key's leading bits, over many ranges: still in the order of the whole key."""
+    rng = np.random.default_rng(4)
+    common = " ".join(f"word{x}" for x in rng.integers(0, 500, 400))
+    near = [f"{common} {rng.integers(0, 1 << 40)}" for _ in range(1_500)]
+    far = ["".join(chr(rng.integers(40, 120)) for _ in range(3)) * 9 for _ in range(3_000)]
+    docs = spark.createDataFrame(list(enumerate(near + far)), "doc_id long, text string").repartition(5)
+    got, ranges = placed_rows(docs, 50_000)
+    own = [r for r in got if r.id < len(near)]
+    buckets = {}
+    for r in own:
+        buckets.setdefault(r.key >> (packing.DIMS * packing.KEY_BITS - packing.BUCKET_BITS), []).append(r)
+    crowded = max(buckets.values(), key=len)
+    assert len({r.part for r in crowded}) >= 3 and len({r.key for r in crowded}) > 20
+    assert check_ranges(got, ranges)[0] < 2
+
+
 def test_hilbert_curve_visits_neighbours():
     grid = np.array([[i, j, k] for i in range(8) for j in range(8) for k in range(8)])
     key = packing.hilbert_key(grid, 3)

@@ -20,7 +20,7 @@ def odd(spark):
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     clash = ("id", "fp", "fingerprint", "key", "size", "host", "label", "score", "kept", "toxicity", "is_toxic", "p0", "labels",
-             "component_id", "row", "n_words", "expected_grade", "tail_probability", "start", "tie", "part")
+             "component_id", "row", "__fp", "__row", "n_words", "expected_grade", "tail_probability", "start", "tie", "part")
     return df.selectExpr("*", *(f"'{c}' AS {c}" for c in clash))
 
 
