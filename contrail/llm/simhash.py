@@ -3,9 +3,10 @@
 1. Each text gets a 64-bit fingerprint from its word shingles (``with_fingerprint``).
 2. Copies fall together first: one row per distinct fingerprint. A fingerprint has at
    most sum(C(64, i), i <= d) others within d bits, so the join stays linear in rows.
-3. The trie over the fingerprints is cut into subtrees (``_cut``). Every pair of
-   subtrees whose prefixes differ in few enough bits is one task-sized unit of work;
-   a subtree's fingerprints (8 bytes each) go to each pair that needs them.
+3. Cut into d + 1 blocks of bits, two fingerprints within d bits agree in a whole block. So the trie is built d + 1
+   times, with the bits turned to let each block lead, and cut into subtrees (``_cut``). A subtree that isn't deeper
+   than a block is one unit of work, joined with itself alone: each fingerprint (8 bytes) is sent d + 1 times. Where
+   a block holds too many, its deeper subtrees are also paired, if their prefixes differ in few enough bits.
 4. In a pair, ``trie_links`` goes down both subtrees together, one bit at a time, adds up
    the differing bits and prunes a node pair as soon as they exceed the budget. A unit
    returns a spanning forest of its links, so no group is expanded into all pairs.
@@ -21,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +33,10 @@ from contrail.llm.textvec import Words, prepare, text_slices
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 HASH_SEED = 42
-#: Fingerprints in a subtree: at least, and as a share of all, which bounds the number of subtrees.
-SUBTREE_LEAVES, MOST_SUBTREES = 32_768, 4_096
-#: Bits by which the cut goes deeper where a prefix holds too many.
-CUT_STEP = 12
+#: Fingerprints in a subtree: at least, and as a share of all, four times the mean of a prefix of FIRST_CUT bits.
+SUBTREE_LEAVES, MOST_SUBTREES = 32_768, 16_384
+#: Bits of the first cut, and those by which it goes deeper where a prefix holds too many.
+FIRST_CUT, CUT_STEP = 16, 4
 _CHUNK = 200_000
 
 
@@ -195,85 +196,140 @@ def trie_links(keys: np.ndarray, lo: int, hi: int, lo2: int, hi2: int, budget: i
 # ---------------------------------------------------------------- distribution
 
 
-def _cut(fps: DataFrame, leaves: int) -> list[tuple[int, int]]:
-    """(prefix, bits) of subtrees that cover all fingerprints, each with few enough of them.
+def _turned(turn: int) -> Column:
+    """The fingerprint with its bits turned left."""
+    if not turn:
+        return F.col("fp")
+    return F.shiftleft("fp", turn).bitwiseOR(F.shiftrightunsigned("fp", 64 - turn))
 
-    The driver sees only counts by prefix, of those prefixes that hold too many one step
-    above; their number is bounded by 2**CUT_STEP times MOST_SUBTREES whatever the input.
+
+def _light(p: np.ndarray, n: np.ndarray, top: int, bits: int, leaves: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """From counts by prefixes of ``bits`` bits: the highest subtrees below level ``top`` that hold at most
+    ``leaves``, as (prefix, bits), and the prefixes that hold more."""
+    order = np.argsort(p)
+    p, total = p[order], np.append(0, np.cumsum(n[order]))
+    light, heavy = [], []
+    stack = [(q, top) for q in np.unique(p >> (bits - top)).tolist()]
+    while stack:
+        q, level = stack.pop()
+        lo, hi = np.searchsorted(p, [q << (bits - level), (q + 1) << (bits - level)])
+        if lo == hi:
+            continue
+        if total[hi] - total[lo] <= leaves:
+            light.append((q, level))
+        elif level == bits:
+            heavy.append(q)
+        else:
+            stack += [(2 * q, level + 1), (2 * q + 1, level + 1)]
+    return light, heavy
+
+
+def _cut(fps: DataFrame, turns: list[int], first: int, leaves: int) -> list[list[tuple[int, int]]]:
+    """For each turn of the bits, (prefix, bits) of subtrees that cover all fingerprints, each with few enough of them.
+
+    The counts are summed up in Spark. The driver sees those by prefix: at most 2**first a turn, then
+    2**CUT_STEP for each prefix that holds too many, of which there are at most all / leaves a turn.
     """
-    done, heavy, bits = [], None, 0
-    while bits < 60:
-        bits += CUT_STEP
-        prefix = F.shiftrightunsigned("fp", 64 - bits)
-        counts = fps.select(prefix.alias("p"))
+    spark = fps.sparkSession
+    each = F.explode(F.array(*(F.struct(F.lit(t).alias("turn"), _turned(t).alias("key")) for t in turns)))
+    keys = fps.select(each.alias("x")).select("x.turn", "x.key")
+    done: dict[int, list[tuple[int, int]]] = {t: [] for t in turns}
+    heavy, top, bits = None, 0, first
+    while True:
+        counts = keys.select("turn", F.shiftrightunsigned("key", 64 - bits).alias("p"))
         if heavy is not None:
-            above = fps.sparkSession.createDataFrame([(p,) for p in heavy], "q long")
-            counts = counts.join(F.broadcast(above), F.shiftright("p", CUT_STEP) == F.col("q"), "left_semi")
-        got = {r["p"]: r["n"] for r in counts.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
-        # Sum the counts upwards and keep the highest prefixes that are light enough.
-        top, heavy = bits - CUT_STEP, []
-
-        def take(level: int, part: dict[int, int]) -> None:
-            groups: dict[int, dict[int, int]] = {}
-            for p, n in part.items():
-                groups.setdefault(p >> (bits - level), {})[p] = n  # noqa: B023
-            for q, own in groups.items():
-                if sum(own.values()) <= leaves:
-                    done.append((q, level))
-                elif level == bits:  # noqa: B023
-                    heavy.append(q)  # noqa: B023
-                else:
-                    take(level + 1, own)
-
-        take(top, got)
-        if not heavy:
-            return done
-    return done + [(p, bits) for p in heavy or []]
-
-
-def _pairs(cut: list[tuple[int, int]], budget: int) -> list[tuple[int, int]]:
-    """Pairs (i <= j) of subtrees whose common leading bits differ in at most ``budget`` places."""
+            above = spark.createDataFrame(heavy, "turn int, q long")
+            counts = counts.withColumn("q", F.shiftright("p", bits - top)).join(F.broadcast(above), ["turn", "q"], "left_semi")
+        got = counts.groupBy("turn", "p").agg(F.count(F.lit(1)).alias("n")).toArrow()
+        turn, p, n = (got[c].to_numpy() for c in ("turn", "p", "n"))
+        heavy = []
+        for t in turns:
+            light, more = _light(p[turn == t], n[turn == t], top, bits, leaves)
+            done[t] += light
+            heavy += [(t, q) for q in more]
+        if not heavy or bits + CUT_STEP > 63:
+            for t, q in heavy:
+                done[t].append((q, bits))
+            return [sorted(done[t], key=lambda c: c[0] << (64 - c[1])) for t in turns]
+        top, bits = bits, bits + CUT_STEP
+
+
+def _pairs(cut: list[tuple[int, int]], block: int, budget: int) -> np.ndarray:
+    """Pairs (i <= j) of subtrees to join: each with itself, and those within one block of leading
+    bits whose common leading bits differ in at most ``budget`` places."""
     p, bits = np.array([c[0] for c in cut], np.uint64), np.array([c[1] for c in cut], np.uint64)
-    out = []
-    for i in range(len(cut)):
-        low = np.minimum(bits[i:], bits[i])
-        x = (p[i] >> (bits[i] - low)) ^ (p[i:] >> (bits[i:] - low))
-        out += [(i, i + int(j)) for j in np.flatnonzero(np.bitwise_count(x) <= budget)]
-    return out
+    out = [np.repeat(np.arange(len(cut)), 2).reshape(-1, 2)]
+    deep = np.flatnonzero(bits > block)
+    head = p[deep] >> (bits[deep] - np.uint64(block))
+    edges = np.flatnonzero(np.diff(head)) + 1
+    for own in np.split(deep, edges):  # the subtrees are in order, so a block's are together
+        for k, i in enumerate(own[:-1].tolist()):
+            j = own[k + 1 :]
+            low = np.minimum(bits[j], bits[i])
+            x = (p[i] >> (bits[i] - low)) ^ (p[j] >> (bits[j] - low))
+            j = j[np.bitwise_count(x) <= budget]
+            out.append(np.stack((np.full(len(j), i), j), axis=1))
+    return np.concatenate(out)
+
+
+def units(fps: DataFrame, max_bits: int, subtree_leaves: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each turn: (bits to the left, the subtrees' first keys, the pairs of subtrees to join)."""
+    total, block = fps.count(), 64 // (max_bits + 1)
+    leaves = max(subtree_leaves, total // MOST_SUBTREES)
+    if total <= leaves:
+        return [(0, np.zeros(1, np.uint64), np.zeros((1, 2), np.int64))]
+    turns = [k * block for k in range(max_bits + 1)]
+    return [
+        (turn, np.array([p << (64 - b) for p, b in cut], np.uint64), _pairs(cut, block, max_bits))
+        for turn, cut in zip(turns, _cut(fps, turns, min(FIRST_CUT, block), leaves), strict=True)
+    ]
+
+
+def _turn(keys: np.ndarray, turn: int) -> np.ndarray:
+    return (keys << np.uint64(turn)) | (keys >> np.uint64(64 - turn)) if turn else keys
 
 
 def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, subtree_leaves: int = SUBTREE_LEAVES) -> DataFrame:
     """Links (u, v) that join the distinct fingerprints ``fps`` (long column fp) as all links within ``max_bits`` do.
 
     Each unit of work returns a spanning forest of its links, so the components are those
-    of the full set of links, with at most one row per fingerprint and unit.
+    of the full set of links, with at most one row per fingerprint and unit. Links that an
+    earlier turn's block has too are left to that turn's forest.
     """
-    spark = fps.sparkSession
-    total = fps.count()
-    cut = sorted(_cut(fps, max(subtree_leaves, total // MOST_SUBTREES)), key=lambda c: c[0] << (64 - c[1]))
-    shared = spark.sparkContext.broadcast(
-        (np.array([p << (64 - b) for p, b in cut], np.uint64), np.array(_pairs(cut, max_bits), np.int64).reshape(-1, 2))
-    )
+    shared, block = fps.sparkSession.sparkContext.broadcast(units(fps, max_bits, subtree_leaves)), 64 // (max_bits + 1)
+    names = ["unit", "side", "keys", "own", "turn"]
 
     def deal(batches):
-        begins, pairs = shared.value
-        uses = [[] for _ in begins]
-        for k, (i, j) in enumerate(pairs.tolist()):
-            uses[i].append((k, 0))
-            if j != i:
-                uses[j].append((k, 1))
+        plan, before = [], 0
+        for turn, begins, pairs in shared.value:
+            uses = [[] for _ in begins]
+            for k, (i, j) in enumerate(pairs.tolist()):
+                uses[i].append((before + k, 0, int(i == j), turn))
+                if j != i:
+                    uses[j].append((before + k, 1, 0, turn))
+            plan.append((turn, begins, uses))
+            before += len(pairs)
 
         def emit(got):
-            keys = np.sort(np.concatenate(got))
-            cell = np.searchsorted(begins, keys, side="right") - 1
-            edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-2))
-            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                data = keys[s:e].tobytes()
-                for at in range(0, len(uses[cell[s]]), 256):
-                    use = uses[cell[s]][at : at + 256]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k for k, _ in use], pa.int64()), pa.array([x for _, x in use], pa.int32()),
-                         pa.array([data] * len(use), pa.binary())], ["unit", "side", "keys"])
+            rows, size = [], 0
+            for turn, begins, uses in plan:
+                keys = np.sort(_turn(np.concatenate(got), turn))
+                cell = np.searchsorted(begins, keys, side="right") - 1
+                edges = np.flatnonzero(np.diff(cell, prepend=-1, append=-2))
+                for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    data = keys[s:e].tobytes()
+                    for unit, side, own, _ in uses[cell[s]]:
+                        rows.append((unit, side, data, own, turn))
+                        size += len(data)
+                        if len(rows) >= 4096 or size >= 8_000_000:
+                            yield batch_of(rows)
+                            rows, size = [], 0
+            if rows:
+                yield batch_of(rows)
+
+        def batch_of(rows):
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
         got, held = [], 0
         for batch in batches:
@@ -293,24 +349,19 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, subtree_leaves:
         a = np.sort(np.concatenate(sides[0])) if sides[0] else np.zeros(0, np.uint64)
         b = np.sort(np.concatenate(sides[1])) if sides[1] else np.zeros(0, np.uint64)
         forest, keys = _Forest(len(a) + len(b)), np.concatenate((a, b))
-        own = not len(b) and int(table["own"][0].as_py())
-        if own:
+        if table["own"][0].as_py():
             trie_links(keys, 0, len(a), 0, len(a), max_bits, forest)
         elif len(a) and len(b):
             trie_links(keys, 0, len(a), len(a), len(keys), max_bits, forest)
         ends = np.array(forest.links, np.int64).reshape(-1, 2)
-        return pa.table({"u": keys[ends[:, 0]].view(np.int64), "v": keys[ends[:, 1]].view(np.int64)})
-
-    own = [int(i == j) for i, j in _pairs(cut, max_bits)]
-    flags = spark.sparkContext.broadcast(np.array(own, np.int8))
-
-    def marked(batches):
-        for batch in deal(batches):
-            units = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(flags.value[units].astype(np.int32))], ["unit", "side", "keys", "own"])
-
-    dealt = fps.select("fp").mapInArrow(marked, "unit long, side int, keys binary, own int")
+        turn = table["turn"][0].as_py()
+        u, v = (_turn(keys[ends[:, k]], 64 - turn if turn else 0) for k in (0, 1))
+        new = np.ones(len(u), bool)
+        for earlier in range(0, turn, block):
+            new &= _turn(u ^ v, earlier) >> np.uint64(64 - block) != 0
+        return pa.table({"u": u[new].view(np.int64), "v": v[new].view(np.int64)})
+
+    dealt = fps.select("fp").mapInArrow(deal, "unit long, side int, keys binary, own int, turn int")
     return dealt.groupBy("unit").applyInArrow(join, "u long, v long")
 
 

@@ -251,11 +251,21 @@ def test_trie_finds_every_link():
     assert sink.found == set(zip(i.tolist(), j.tolist()))
 
 
-def test_links_over_many_subtrees_join_the_same_components(spark):
-    keys = _near_keys(1500, 1)
+def crowded_keys():
+    """Random keys, and near ones that share one block of 16 bits each, or two."""
+    rng = np.random.default_rng(5)
+    near = rng.integers(0, 1 << 48, 1_200, dtype=np.uint64)
+    for _ in range(2):
+        near = np.concatenate([near, near[:400] ^ (np.uint64(1) << rng.integers(0, 48, 400).astype(np.uint64))])
+    mid = (rng.integers(0, 1 << 20, 500, dtype=np.uint64) << np.uint64(44)) | np.uint64(0xABCDE)
+    return np.unique(np.concatenate([_near_keys(600, 2), near, np.uint64(0xBEEF << 48) | near, mid]))
+
+
+@pytest.mark.parametrize("keys,leaves", [(_near_keys(1500, 1), 60), (crowded_keys(), 100), (crowded_keys(), 40)])
+def test_links_over_many_subtrees_join_the_same_components(spark, keys, leaves):
     textvec.prepare(spark)
     df = spark.createDataFrame([(int(k), n) for n, k in enumerate(keys.view(np.int64))], "fp long, id long")
-    links = simhash.fingerprint_links(df, 3, subtree_leaves=60)
+    links = simhash.fingerprint_links(df, 3, subtree_leaves=leaves)
     from contrail.llm.components import components
 
     root = {r.node: r.root for r in components(links).collect()}
@@ -267,6 +277,33 @@ def test_links_over_many_subtrees_join_the_same_components(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, slow.values()))
 
 
+def test_fingerprints_are_sent_once_a_block(spark):
+    """Copies of a fingerprint, and the counts that the driver is sent, with many subtrees."""
+    textvec.prepare(spark)
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 1 << 63, 40_000, dtype=np.uint64) * np.uint64(2))
+
+    def copies(keys, leaves):
+        df = spark.createDataFrame(pa.table({"fp": keys.view(np.int64)}))
+        out = 0
+        for turn, begins, pairs in simhash.units(df, 3, leaves):
+            uses = np.bincount(pairs.ravel(), minlength=len(begins)) - 1  # a subtree with itself is one use
+            turned = simhash._turn(keys, turn)
+            cell = np.searchsorted(begins, turned, side="right") - 1
+            assert np.bincount(cell).max() <= leaves
+            out += uses[cell].sum()
+        return out / len(keys)
+
+    assert copies(keys, 100_000) == 1 and copies(keys, 100) == 4 and copies(keys, 10) == 4
+    crowded = np.unique(keys >> np.uint64(16))  # all in one block of the first turn
+    assert 4 < copies(crowded, 2_000) <= 3 + 93
+    p = np.arange(1 << 12)
+    light, heavy = simhash._light(p, np.full(len(p), 25), 0, 12, 100)
+    assert not heavy and len(light) == 1 << 10 and {b for _, b in light} == {10}
+    light, heavy = simhash._light(p, np.where(p == 77, 500, 25), 0, 12, 100)
+    assert heavy == [77] and sum(2.0 ** -b for _, b in light) == 1 - 2.0 ** -12
+
+
 def test_components_of_a_long_chain(spark):
     from contrail.llm.components import components
 
