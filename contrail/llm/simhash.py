@@ -134,9 +134,11 @@ class _Forest:
             self.root = moved[self.root]
 
 
-def trie_links(keys: np.ndarray, lo: int, hi: int, lo2: int, hi2: int, budget: int, sink: _Forest) -> None:
+def trie_links(keys: np.ndarray, lo: int, hi: int, lo2: int, hi2: int, budget: int, sink: _Forest, equal: int = 0) -> None:
     """Links within ``budget`` bits between keys[lo:hi] and keys[lo2:hi2] (the same range: within it).
 
+    Of links whose ``equal`` leading bits aren't the same, only some are found.
+
     ``keys`` are sorted unsigned 64-bit numbers in each range. A trie node at some depth
     is a range of equal leading bits; the frontier holds node pairs with the bits by which they differ.
     """
@@ -183,8 +185,8 @@ def trie_links(keys: np.ndarray, lo: int, hi: int, lo2: int, hi2: int, budget: i
         nxt = [
             (a, m, c, k, err, np.ones(len(a), bool)),
             (m, b, k, d, err, np.ones(len(a), bool)),
-            (a, m, k, d, err + 1, np.ones(len(a), bool)),
-            (m, b, c, k, err + 1, ~same),  # the mirror of the pair above where both nodes are one
+            (a, m, k, d, err + 1, np.full(len(a), depth >= equal)),
+            (m, b, c, k, err + 1, ~same & (depth >= equal)),  # the mirror of the pair above where both nodes are one
         ]
         kept = []
         for x in nxt:
@@ -294,9 +296,11 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, subtree_leaves:
 
     Each unit of work returns a spanning forest of its links, so the components are those
     of the full set of links, with at most one row per fingerprint and unit. Links that an
-    earlier turn's block has too are left to that turn's forest.
+    earlier turn's block has too are left to that turn's forest, and those that differ in the leading block
+    to the turn in which they don't.
     """
-    shared, block = fps.sparkSession.sparkContext.broadcast(units(fps, max_bits, subtree_leaves)), 64 // (max_bits + 1)
+    plan, block = units(fps, max_bits, subtree_leaves), 64 // (max_bits + 1)
+    shared, equal = fps.sparkSession.sparkContext.broadcast(plan), block if len(plan) > 1 else 0
     names = ["unit", "side", "keys", "own", "turn"]
 
     def deal(batches):
@@ -350,9 +354,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, subtree_leaves:
         b = np.sort(np.concatenate(sides[1])) if sides[1] else np.zeros(0, np.uint64)
         forest, keys = _Forest(len(a) + len(b)), np.concatenate((a, b))
         if table["own"][0].as_py():
-            trie_links(keys, 0, len(a), 0, len(a), max_bits, forest)
+            trie_links(keys, 0, len(a), 0, len(a), max_bits, forest, equal)
         elif len(a) and len(b):
-            trie_links(keys, 0, len(a), len(a), len(keys), max_bits, forest)
+            trie_links(keys, 0, len(a), len(a), len(keys), max_bits, forest, equal)
         ends = np.array(forest.links, np.int64).reshape(-1, 2)
         turn = table["turn"][0].as_py()
         u, v = (_turn(keys[ends[:, k]], 64 - turn if turn else 0) for k in (0, 1))
