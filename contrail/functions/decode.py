@@ -31,8 +31,9 @@ from contrail.functions.time import MAX_EPOCH_S, MIN_EPOCH_S
 #   Python's int(float); NaN, infinities and overflow have no integer reading.
 # * Booleans: JSON true/false by value, numbers by non-zero, empty text or
 #   empty containers false, any other text true (truthiness).
+# * Text that ends with a digit has no suffix, so the pattern isn't tried on it.
 _NUM = (
-    "CASE WHEN NOT {e} RLIKE '[0-9.][dDfF][ \"]*$' "
+    "CASE WHEN substr({e}, -1) BETWEEN '0' AND '9' OR NOT {e} RLIKE '[0-9.][dDfF][ \"]*$' "
     "THEN coalesce(try_cast({e} AS DOUBLE), try_cast(btrim({e}, '\"') AS DOUBLE)) END"
 )
 _SQL = {
@@ -49,38 +50,44 @@ _SQL = {
 }
 
 
-def typed_sql(element: str, dtype: T.DataType) -> str:
-    """SQL text of the typed reading of ``element`` (itself SQL text)."""
-    tmpl = _SQL.get(dtype.simpleString())
-    return element if tmpl is None else tmpl.format(e=element)
+#: The state columns of each type with a rule, in the layout's order.
+_READ = {t: [c for c in S.STATE_COLUMNS if S.state_type(c).simpleString() == t] for t in _SQL}
 
 
-def typed(x: str, dtype: T.DataType) -> Column:
-    """Column form of :func:`typed_sql`; ``x`` is a column name or SQL text."""
-    return F.expr(typed_sql(x, dtype))
+def _elements(arr: str, dtype: str) -> str:
+    """SQL text of an array with the elements that the state columns of a type are read from."""
+    at = [i for i, name in enumerate(S.STATE_COLUMNS) if name in _READ[dtype]]
+    return f"array({', '.join(f'get({arr}, {i})' for i in at)})"
+
+
+def readings(arr: str = "_arr") -> list[Column]:
+    """``_arr_double``, ``_arr_bigint`` and ``_arr_boolean``: the typed readings of a state's elements of each type, in the
+    layout's order. The rule for a type is one small function over an array: written out for each column, the
+    code of one row grows beyond what the JVM compiles, and every row is interpreted."""
+    return [F.expr(f"transform({_elements(arr, t)}, e -> {rule.format(e='e')})").alias(f"_arr_{t}") for t, rule in _SQL.items()]
 
 
 def state_columns(arr: str = "_arr") -> list[Column]:
-    """17 typed columns from an ``array<string>`` column; ``sensors`` is always null."""
+    """17 typed columns from an ``array<string>`` column and its :func:`readings`; ``sensors`` is always null."""
     out = []
     for i, name in enumerate(S.STATE_COLUMNS):
-        dtype = S.state_type(name)
+        dtype = S.state_type(name).simpleString()
         if name == "sensors":
             out.append(F.lit(None).cast(dtype).alias(name))
+        elif dtype in _READ:
+            out.append(F.expr(f"get(_arr_{dtype}, {_READ[dtype].index(name)})").alias(name))
         else:
-            out.append(F.expr(typed_sql(f"get({arr}, {i})", dtype)).alias(name))
+            out.append(F.expr(f"get({arr}, {i})").alias(name))
     return out
 
 
 def decode_error(arr: str = "_arr") -> Column:
-    """Why a parsed state cannot be used, over already typed columns:
+    """Why a parsed state cannot be used, over its :func:`readings` and typed columns:
     'unparsable' (not a JSON array), 'short_row' (fewer than 17 elements),
     'bad_value' (a numeric element with no numeric reading, or an epoch outside
     the years 1 to 9999, which has no date text). Null when clean."""
     bad = " OR ".join(
-        f"(get({arr}, {i}) IS NOT NULL AND `{name}` IS NULL)"
-        for i, name in enumerate(S.STATE_COLUMNS)
-        if name != "sensors" and S.state_type(name).simpleString() in ("bigint", "double")
+        f"exists(zip_with({_elements(arr, t)}, _arr_{t}, (e, x) -> e IS NOT NULL AND x IS NULL), b -> b)" for t in ("bigint", "double")
     )
     bad += "".join(f" OR {c} NOT BETWEEN {MIN_EPOCH_S} AND {MAX_EPOCH_S}" for c in ("time_position", "last_contact"))
     return F.expr(

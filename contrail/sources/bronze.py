@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail import schema as S
-from contrail.functions.decode import decode_error, state_columns, state_json, state_json_indented
+from contrail.functions.decode import decode_error, readings, state_columns, state_json, state_json_indented
 
 # ``_corrupt_record`` takes the text of a body that isn't a JSON object with a list of states.
 ENVELOPE_SCHEMA = "struct<states: array<string>, _corrupt_record: string>"
@@ -173,11 +173,12 @@ def decode_states(df: DataFrame, *, value_col: str = "value", fmt: str = "line")
         raw = F.coalesce(F.col("_text"), F.to_json(F.col("_arr")))
     else:
         raise ValueError(f"unknown bronze format {fmt!r}")
-    # Typed values first, the error flag second: the flag reads the typed
-    # columns, so every cast runs once (the two projections stay separate
-    # because the typed expressions are referenced twice).
+    # Readings first, the typed columns and the error flag after them: both take the
+    # readings, so every cast runs once (the projections stay separate
+    # because the readings are referenced several times).
     # The raw text is only rendered for malformed rows.
-    typed = staged.select(*keep, *state_columns("_arr"), "_arr", "_text")
+    read = staged.select(*keep, "_arr", "_text", *readings("_arr"))
+    typed = read.select("*", *state_columns("_arr"))
     err = decode_error("_arr")
     return typed.select(
         *keep,

@@ -3,11 +3,13 @@
 import json
 import math
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from contrail import schema as S
+from contrail.operators.quality import is_clean, log_reasons
 from contrail.sources import decode_states, envelope_states, land_snapshots, read_states
 
 GOOD = ["abc123", "FL1  ", "Xland", 1700000000, 1700000100, -180, 90, 1000.5, True, 250.0, 90, -5,
@@ -207,3 +209,23 @@ def test_a_cut_off_snapshot_file_is_logged(spark, scratch, cut):
     assert any((r._raw or "").startswith("!no end of file") and r.run_ts == "20231114_220000" for r in rows)
     good = [r.icao24 for r in rows if r._decode_error is None]
     assert good == [s[0] for s in STATES[1:5]][: len(good)]
+
+
+def test_decoding_and_counting_compile_to_code_the_jvm_compiles(spark, tmp_path, capsys):
+    """A method of more than 8000 bytes stays interpreted; a rule written out for every column made one of a row's work."""
+    (tmp_path / "part-0.txt").write_text(_line(GOOD))
+    df = decode_states(spark.read.text(str(tmp_path)))
+    seen = df.observe("seen", *(F.count_if(c).alias(r) for r, c in log_reasons(df).items()), F.count_if(is_clean(df)).alias("clean"))
+    seen.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000, sizes
+
+
+def test_number_suffixes_and_quotes_read_as_before(spark):
+    for text, want in (("12", 12.0), ("1.5e3", 1500.0), ('"12"', 12.0), ('"12d"', None), ('"12f "', None), ('"1d2"', None),
+                       ('" 7 "', 7.0), ("NaN", float("nan")), ('""', None), ('"0x1p3"', 8.0), ("true", 1.0)):
+        line = _line(GOOD).replace("1000.5", text)
+        r = _decode(spark, line)[0]
+        got = r["baro_altitude"]
+        assert (got == want) or (want is not None and got is not None and math.isnan(want) and math.isnan(got)), text
+        assert r["_decode_error"] == (None if want is not None else "bad_value"), text
