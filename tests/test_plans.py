@@ -41,3 +41,10 @@ def test_failfast_mode_raises_on_malformed(spark, scratch):
     with pytest.raises(DataQualityError):
         read_states(spark, scratch, mode="failfast")
     assert read_states(spark, scratch).filter(F.col("_decode_error") == "unparsable").count() == 1
+
+
+def test_event_rows_are_dealt_before_the_work_on_them(spark, capsys):
+    """A small file is one row group, so one task reads it; the work on its rows begins after a shuffle."""
+    state_vectors(spark, SF_SMALL).explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.index("Generate") < plan.index("RebalancePartitions") < plan.index("Relation")
