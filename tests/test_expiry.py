@@ -1,5 +1,7 @@
 """Status changes by silence: the stream's log, read at any moment, is the status derived anew at that moment."""
 
+import json
+import os
 import random
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from contrail.plans.jobs import stamp_epoch
 from contrail.sources import land_snapshots
+from contrail.streaming import expiry
 from contrail.streaming.expiry import CHANGES_SCHEMA, run_expiry, status_at
 from test_store_stream import _envelopes, _js
 
@@ -84,3 +87,61 @@ def test_silent_aircraft_expires_when_others_report(spark, scratch):
     assert go() == [(0, "AIRBORNE"), (10801, "INACTIVE")]
     land_snapshots(_envelopes(spark, {third: [_js("00000b", "B", t + 28800)]}), f"{scratch}/bronze")
     assert go() == [(0, "AIRBORNE"), (10801, "INACTIVE"), (21601, "EXPIRED")]
+
+
+def test_files_come_in_any_order_and_runs_in_pieces(spark, scratch):
+    """Files are read by modification time: runs that were landed together come in any order, each in several batches."""
+    rng = random.Random(9)
+    reports = {}
+    for run in RUNS:
+        end = stamp_epoch(run)
+        reports[run] = []
+        for i in rng.sample(range(30), 20):
+            for _ in range(rng.randint(1, 4)):
+                last = end - rng.choice([0, 10800, 10801, 21601, 90000])
+                row = _js(f"{i:06x}", rng.choice(["A", "B", None]), last)
+                row[3], row[8] = last - rng.randint(0, 1), rng.choice([True, False, None])
+                reports[run].append(row)
+    pieces = [(run, rows[k::4]) for run, rows in reports.items() for k in range(4)]
+    rng.shuffle(pieces)
+    root = scratch.removeprefix("file:")
+    for n, (run, rows) in enumerate(pieces):
+        os.makedirs(folder := f"{root}/bronze/run_ts={run}", exist_ok=True)
+        with open(path := f"{folder}/part-{n:05d}.txt", "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+        os.utime(path, (1e9 + n, 1e9 + n))
+    q = run_expiry(spark, f"{root}/bronze", f"{root}/changes", f"{root}/ckpt", max_files_per_trigger=4, groups=3)
+    q.awaitTermination()
+    assert q.exception() is None
+    # A few groups of aircraft are the stream's keys, not each aircraft.
+    assert q.lastProgress.stateOperators[0].numRowsTotal == 3
+    changes = spark.read.schema(CHANGES_SCHEMA).parquet(f"{root}/changes")
+    ends = [stamp_epoch(r) for r in RUNS]
+    moments = sorted({*ends, *(e + s for e in ends[:-1] for s in (1, 3600, 10801, 15000) if e + s < ends[-1])})
+    got = {}
+    for r in status_at(changes, F.array(*(F.lit(m).cast("long") for m in moments))).collect():
+        assert r.icao24 not in got.setdefault(r.as_of, {})
+        got[r.as_of][r.icao24] = r.status
+    for m in moments:
+        assert got.get(m, {}) == _derived(reports, m), m
+
+
+def test_a_line_is_parsed_once(spark):
+    """The filter on decoded columns is not pushed below the decoding, which it would repeat for each use of a column."""
+    df = expiry.reports(spark.read.text(__file__).withColumn("run_ts", F.lit(RUNS[0])))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.index("Filter") < plan.index("from_json")
+
+
+def test_state_partitions_follow_the_cores(spark, scratch):
+    setting = "spark.sql.shuffle.partitions"
+    before, cores = spark.conf.get(setting), spark.sparkContext.defaultParallelism
+    land_snapshots(_envelopes(spark, {RUNS[0]: [_js("00000a", "A", stamp_epoch(RUNS[0]))]}), f"{scratch}/bronze")
+    spark.conf.set(setting, str(5 * cores))
+    try:
+        q = run_expiry(spark, f"{scratch}/bronze", f"{scratch}/changes", f"{scratch}/ckpt")
+        q.awaitTermination()
+        assert q.exception() is None and spark.conf.get(setting) == str(5 * cores)
+        assert q.lastProgress.stateOperators[0].numShufflePartitions == 2 * cores
+    finally:
+        spark.conf.set(setting, before)
