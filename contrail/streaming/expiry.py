@@ -154,12 +154,14 @@ def status_changes(
 
 def run_expiry(
     spark: SparkSession, bronze_dir: str, changes_dir: str, checkpoint: str, *, fmt: str = "line",
-    max_files_per_trigger: int | None = None, available_now: bool = True, processing_time: str | None = None, **limits,
+    max_files_per_trigger: int | None = None, available_now: bool = True, processing_time: str | None = None, state_partitions: int | None = None,
+    **limits,
 ) -> StreamingQuery:
     """Start the stream from a Bronze folder to a Parquet log of changes; returns the running query.
 
-    A new checkpoint takes two state partitions a core, and no more than the session's shuffle partitions: a partition
-    costs each batch a task with its state file, however few rows there are, and a batch is a few files only."""
+    A new checkpoint takes ``state_partitions``, by default two a core that the session has now and no more than its shuffle
+    partitions: a partition costs each batch a task with its state file, however few rows there are, and a batch is a
+    few files only. An old checkpoint keeps its number."""
     source = bronze_stream(spark, bronze_dir, fmt=fmt, max_files_per_trigger=max_files_per_trigger).drop("_file")
     w = status_changes(reports(source, fmt), **limits).writeStream.format("parquet").option("path", changes_dir).option("checkpointLocation", checkpoint)
     if available_now:
@@ -167,7 +169,7 @@ def run_expiry(
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     before = spark.conf.get(_PARTITIONS)
-    spark.conf.set(_PARTITIONS, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    spark.conf.set(_PARTITIONS, str(state_partitions or min(int(before), 2 * spark.sparkContext.defaultParallelism)))
     try:
         return w.start()  # takes over the session's settings as they are now
     finally:

@@ -133,15 +133,16 @@ def test_a_line_is_parsed_once(spark):
     assert plan.count("from_json") == 1 and plan.index("Filter") < plan.index("from_json")
 
 
-def test_state_partitions_follow_the_cores(spark, scratch):
+@pytest.mark.parametrize("given", [None, 3])
+def test_state_partitions_are_given_or_follow_the_cores(spark, scratch, given):
     setting = "spark.sql.shuffle.partitions"
     before, cores = spark.conf.get(setting), spark.sparkContext.defaultParallelism
     land_snapshots(_envelopes(spark, {RUNS[0]: [_js("00000a", "A", stamp_epoch(RUNS[0]))]}), f"{scratch}/bronze")
     spark.conf.set(setting, str(5 * cores))
     try:
-        q = run_expiry(spark, f"{scratch}/bronze", f"{scratch}/changes", f"{scratch}/ckpt")
+        q = run_expiry(spark, f"{scratch}/bronze", f"{scratch}/changes", f"{scratch}/ckpt", state_partitions=given)
         q.awaitTermination()
         assert q.exception() is None and spark.conf.get(setting) == str(5 * cores)
-        assert q.lastProgress.stateOperators[0].numShufflePartitions == 2 * cores
+        assert q.lastProgress.stateOperators[0].numShufflePartitions == (given or 2 * cores)
     finally:
         spark.conf.set(setting, before)
